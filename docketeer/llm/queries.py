@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketeer.llm import tiff, token_files
+from docketeer.llm import pieces, tiff, token_files
 from docketeer.llm.common import table
 
 #: Folder of the public tokenizer files.
@@ -18,12 +18,17 @@ def op4_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.document_media(table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.document_pieces(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_tiff_media": op4_tiff_media,
+    "op6_sentencepiece": op6_sentencepiece,
     "op9_token_files": op9_token_files,
 }
 
