@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketeer.llm import pieces, tiff, token_files
+from docketeer.llm import pieces, quality, tiff, token_files
 from docketeer.llm.common import table
 
 #: Folder of the public tokenizer files.
@@ -22,6 +22,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.document_pieces(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.document_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
@@ -29,6 +33,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_tiff_media": op4_tiff_media,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_quality_rules": op7_quality_rules,
     "op9_token_files": op9_token_files,
 }
 
