@@ -36,7 +36,7 @@ MARK = "▁"
 LITERAL = b"\xff"
 WORDS = re.compile(r" *[^ ]+| +")
 #: Words whose ids a worker remembers, and bytes up to which words go through the trie together.
-WORDS_KEPT, TOGETHER = 500_000, 64
+WORDS_KEPT, TOGETHER = 400_000, 64
 #: What an unknown character scores below the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -252,6 +252,17 @@ class Encoder:
         return [b"".join(map(self.known.__getitem__, words)) for words in cut]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def process_encoder(model_path: str, vocabulary: Vocabulary) -> Encoder:
+    """The encoder of this worker process, which later tasks use again."""
+    if model_path not in _encoders:
+        _encoders.clear()
+        _encoders[model_path] = Encoder(vocabulary)
+    return _encoders[model_path]
+
+
 def decode_ids(ids: list[int], v: Vocabulary) -> str:
     """The text of ids: pieces joined, markers as spaces, bytes put together, the added space taken off."""
     text = b"".join(map(v.text.__getitem__, ids)).decode("utf-8", "replace")
@@ -268,7 +279,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", out: str = "ids")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow, encoder = to_arrow_schema(schema), Encoder(shared.value)
+        arrow, encoder = to_arrow_schema(schema), process_encoder(model_path, shared.value)
         for batch in slices(batches):
             rows = encoder.ids(batch.column(len(keep)).to_pylist())
             offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows]))).astype(np.int32)

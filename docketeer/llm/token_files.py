@@ -11,8 +11,11 @@ their ids' digest; null doc_id sorts first; an empty table gives an empty file s
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,44 +37,64 @@ FILE_OPTIONS = {
     "parquet.page.size": str(256 * 1024),
     "parquet.page.row.count.limit": "2000",
 }
-#: Words whose ids a worker remembers; when full it starts anew.
-WORDS_KEPT = 150_000
+#: Words whose ids a worker process remembers; when full it starts anew.
+WORDS_KEPT = 400_000
+#: Punctuation at the end of a word after a letter is a token group of its own, as if a space stood before it.
+_ENDS = re.compile(r"(?<=[a-zß-öø-ÿ])([.,!?;:]+)(?=[ \t-\r]|$)")
+#: Words that the tokenizer takes as one group.
+_PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
 
 
 class WordEncoder:
-    """Ids of a tokenizer that drops white space, word by word.
+    """Ids of a tokenizer that ignores case and drops white space, word by word.
 
-    Such a tokenizer never merges over white space, so a text's ids are those of its ASCII-space-separated words in
-    turn; words repeat, and a remembered word costs a dictionary look-up.  Words hold ids as little-endian uint32.
+    Such a tokenizer never merges over white space, so a text's ids are those of its words in turn; words repeat, and
+    a remembered word costs a dictionary look-up.  Words hold their ids as little-endian uint32.  A-Z are lower-cased
+    first, unless the text may hold a special token.
     """
 
     def __init__(self, tokenizer_path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = False
         self.known: dict[str, bytes] = {}
 
+    def _words(self, text: str) -> list[str]:
+        if "<|" not in text:
+            text = _ENDS.sub(r" \1", text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
+        for space in "\t\n\x0b\x0c\r":
+            text = text.replace(space, " ")
+        return text.split(" ")
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        for at in range(0, len(plain), 2000):
+            part = plain[at : at + 2000]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            group, data = np.array(found.word_ids), np.array(found.ids, "<u4").tobytes()
+            ends = (4 * np.searchsorted(group, np.arange(len(part)), "right")).tolist()
+            for word, a, b in zip(part, [0, *ends], ends):
+                self.known[word] = data[a:b]
+        rest = list(set(words).difference(plain))
+        for at in range(0, len(rest), 2000):
+            part = rest[at : at + 2000]
+            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+                self.known[word] = array("I", found.ids).tobytes()
+
     def ids(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            words = text.translate(_SPACES).split(" ") if not text.isascii() else text.split()
-            known = self.known
-            new = list({w for w in words if w not in known})
-            if new:
-                if len(known) + len(new) > WORDS_KEPT:
-                    self.known = known = {}
-                    new = list(set(words))
-                for at in range(0, len(new), 5000):
-                    part = new[at : at + 5000]
-                    for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                        known[word] = np.array(found.ids, "<u4").tobytes()
-            out.append(b"".join(map(known.__getitem__, words)))
-        return out
-
-
-#: ASCII white space as a plain space, for texts where str.split() would also split on other spaces.
-_SPACES = {c: " " for c in (9, 10, 11, 12, 13)}
+        cut = [self._words(text) for text in texts]
+        needed = set().union(*cut) if cut else set()
+        new = needed.difference(self.known)
+        if len(self.known) + len(new) > WORDS_KEPT:
+            self.known, new = {}, needed
+        self._learn(list(new))
+        return [b"".join(map(self.known.__getitem__, words)) for words in cut]
+
+
+@lru_cache(maxsize=2)
+def word_encoder(tokenizer_path: str) -> WordEncoder:
+    """The encoder of this worker process, which later tasks use again."""
+    return WordEncoder(tokenizer_path)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID) -> None:
@@ -89,7 +112,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "do
         from pyspark.sql.pandas.types import to_arrow_schema
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        arrow, encoder, part, start = to_arrow_schema(schema), WordEncoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        arrow, encoder, part, start = to_arrow_schema(schema), word_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in slices(batches):
             rows = [x + end for x in encoder.ids(batch.column(1).to_pylist())]
             counts = np.array([len(x) // 4 for x in rows], np.int64)
