@@ -7,13 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketeer.llm import pieces, quality, simhash, tiff, token_files
+from docketeer.llm import pieces, pii, quality, simhash, tiff, token_files
 from docketeer.llm.common import table
 
 #: Folder of the public tokenizer files.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.document_pii(table(spark, sf_dir, "documents"))
+
+
 def op4_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.document_media(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_pii": op3_pii,
     "op4_tiff_media": op4_tiff_media,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
