@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketeer.llm import pieces, pii, quality, simhash, tiff, token_files
+from docketeer.llm import pieces, pii, quality, simhash, tiff, token_files, toxicity
 from docketeer.llm.common import table
 
 #: Folder of the public tokenizer files.
@@ -22,6 +22,10 @@ def op4_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.document_media(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.document_pieces(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
 
@@ -41,6 +45,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_tiff_media": op4_tiff_media,
+    "op5_toxicity": op5_toxicity,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
     "op9_token_files": op9_token_files,
