@@ -7,13 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketeer.llm import pieces, pii, quality, simhash, tiff, token_files, toxicity
+from docketeer.llm import pieces, pii, quality, simhash, suffixes, tiff, token_files, toxicity
 from docketeer.llm.common import table
 
 #: Folder of the public tokenizer files.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.document_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.document_pii(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op3_pii": op3_pii,
     "op4_tiff_media": op4_tiff_media,
     "op5_toxicity": op5_toxicity,
