@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketeer.llm import pieces, pii, quality, simhash, suffixes, tiff, token_files, toxicity
+from docketeer.llm import lines, mixing, pieces, pii, quality, simhash, suffixes, tiff, token_files, toxicity
 from docketeer.llm.common import table
 
 #: Folder of the public tokenizer files.
@@ -18,6 +18,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.document_passages(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.document_mix(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.document_pii(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.document_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.document_lines(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
@@ -48,13 +56,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_mixing": op2_mixing,
     "op3_pii": op3_pii,
     "op4_tiff_media": op4_tiff_media,
     "op5_toxicity": op5_toxicity,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
+    "op8_line_dedup": op8_line_dedup,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.ORACLE_SQL, "op8_line_dedup": lines.ORACLE_SQL}
