@@ -124,15 +124,15 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = MAX_LABELLED) -> DataFrame:
-    """Statistics of at most limit labelled documents, with bad (1 for label 0) and part (0 grow, 1 prune)."""
+    """FEATURES and base_failed of at most limit labelled documents, with bad (1 for label 0) and part (0 grow, 1 prune)."""
     chosen = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("__label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     stats = document_stats(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), ["doc_id", "__label"])
-    return stats.where("not base_failed").select((1 - F.col("__label")).alias("bad"), F.expr("int(pmod(xxhash64(doc_id, 7L), 3) = 0)").alias("part"), *(F.expr(f"double({e})").alias(f) for f, e in FEATURES.items()))
+    return stats.select("base_failed", (1 - F.col("__label")).alias("bad"), F.expr("int(pmod(xxhash64(doc_id, 7L), 3) = 0)").alias("part"), *(F.expr(f"double({e})").alias(f) for f, e in FEATURES.items()))
 
 
 def learn_rules(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = MAX_LABELLED) -> list[Rule]:
-    sample = written(labelled_sample(docs, labels, label, limit), "labelled")
+    sample = written(labelled_sample(docs, labels, label, limit), "labelled").where("not base_failed")  # written first: else the filter runs before the join, on all documents
     names = list(FEATURES)
     cuts = sample.agg(*(F.percentile(f, F.array(*(F.lit(i / BINS) for i in range(1, BINS)))).alias(f) for f in names), F.percentile("words", F.lit(0.5)).alias("__any")).first()
     thresholds = {f: sorted(set(cuts[f] or [])) for f in names}
