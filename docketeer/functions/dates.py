@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docketeer.functions.text import collapse
+from docketeer.functions.text import collapse, let
 
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
@@ -51,7 +51,7 @@ def parse_date(c: Column) -> Column:
     text = F.regexp_replace(collapse(c), rf"(?i)^(?:{_WEEKDAY})\s*,?\s+", "")
     text = F.regexp_replace(text, r"([0-9]{1,2})\s*,\s*([0-9]{4})", "$1, $2")
     text = F.regexp_replace(text, r"(?i)([0-9]{1,2})\s+(st|nd|rd|th)\b", "$1")
-    return F.when(text.rlike(ISO), _iso(text)).when(text.rlike(NUMERIC), _numeric(text)).when(text.rlike(LONG), _long(text))
+    return let(text, lambda x: F.when(x.rlike(ISO), _iso(x)).when(x.rlike(NUMERIC), _numeric(x)).when(x.rlike(LONG), _long(x)))
 
 
 def find_date(c: Column) -> Column:

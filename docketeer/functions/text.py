@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once a row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def blank(c: Column) -> Column:
     """Null as the empty string."""
     return F.coalesce(c.cast("string"), F.lit(""))

@@ -11,8 +11,9 @@ PER_MINUTE, PER_CHECK, PER_DAY, PER_WEEK, PER_ADDRESS_DAY, SESSIONS_PER_HOUR, TR
 PAUSE_SECONDS = 600
 
 
-def micros(ts: str | Column) -> Column:
-    return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
+def micros(ts: str) -> Column:
+    """Microseconds since 1970 of a column without time zone (or in the session's)."""
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', cast({ts} as timestamp_ntz))")
 
 
 def trailing_count(events: DataFrame, key: str, ts: str, seconds: int, name: str = "n") -> DataFrame:

@@ -10,6 +10,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from docketeer.functions.text import collapse, mask
 
@@ -79,7 +80,7 @@ class _Text(HTMLParser):
             self.out.append(data)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_to_text(pages: pd.Series) -> pd.Series:
     """Lines of visible text: blocks start lines, blanks collapse, empty lines go; null is ''."""
 
