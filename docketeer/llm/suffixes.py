@@ -111,8 +111,8 @@ def repeated_passages(docs: DataFrame, length: int = MIN_WORDS, gram: int = GRAM
     whole = suffixes.groupBy("rid").agg(F.max("n_words").alias("n_words"))
     marked = written(rows.join(whole, "rid").select("doc_id", "rid", "n_words", F.col("first.doc_id").alias("copy_of"), (F.col("first.rid") == F.col("rid")).alias("leads"), "copies"), "texts")
 
-    hot = suffixes.join(repeated_seeds(suffixes), "seed").groupBy("rid").agg(F.collect_set("pos").alias("places"))
-    single = hot.join(marked.where("leads").select("rid"), "rid", "left_semi")
+    leading = suffixes.join(marked.where("leads").select("rid"), "rid", "left_semi")  # first, so that copies don't meet at their seeds
+    single = leading.join(repeated_seeds(leading), "seed").groupBy("rid").agg(F.collect_set("pos").alias("places"))
     windows = written(_extended(source.join(single, "rid").dropDuplicates(["rid"]), length, gram), "windows")
     partial = _merged(repeated_windows(windows), length)
 
