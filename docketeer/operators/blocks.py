@@ -36,7 +36,7 @@ def split_at(docs: DataFrame, anchor: str, keep: list[str], text: str = "text")
     parts = docs.select(*keep, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), lead)).alias("i", "block"))
     before = Window.partitionBy(*keep).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     placed = parts.withColumn("start", F.coalesce(F.sum(F.length("block")).over(before), F.lit(0)))
-    blocks = placed.where(F.col("block").rlike(rf"\A(?:{anchor})"))
+    blocks = placed.where(F.col("block").rlike(rf"(?m)\A(?:{anchor})"))
     return blocks.withColumn("position", F.row_number().over(Window.partitionBy(*keep).orderBy("i"))).select(*keep, "position", "start", "block")
 
 

@@ -121,7 +121,7 @@ def extract(docs: DataFrame, spec: ParserSpec) -> DataFrame:
 
     head = F.substring("block", 1, 2000)
     case = F.upper(F.regexp_extract(head, spec.number, 1))
-    title = F.regexp_extract(head, spec.title.replace("CASE_NUMBER", spec.number.strip("()")), 1)
+    title = F.regexp_extract(head, spec.title.replace("CASE_NUMBER", spec.number[1:-1]), 1)
     rows = found.withColumn("case_number", case).where("case_number <> ''").withColumn("case_title", collapse(title))
     after = F.substring_index(F.col("block"), "\n", 1)
     rest = F.substring(F.col("block"), F.length(after) + 2, F.length("block"))

@@ -14,20 +14,24 @@ from pyspark.sql.window import Window
 CORRUPT = "_corrupt"
 
 
+def _parsed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """line_no, the line as it is, and what it says (_corrupt is null if it parses)."""
+    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), "value").where(F.trim("value") != "")
+    return lines.withColumn("row", F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+
+
 def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All lines that parse, with line_no; keys that the schema lacks are left out, missing ones are null."""
-    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    rows = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    return rows.withColumn("line_no", F.monotonically_increasing_id()).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    good = _parsed(spark, path, schema).where(F.col("row").isNotNull() & F.col(f"row.{CORRUPT}").isNull())
+    return good.select(*(F.col(f"row.{f}").alias(f) for f in schema.names), "line_no")
 
 
 def malformed(spark: SparkSession, path: str, schema: StructType, samples: int = 3) -> DataFrame:
     """One row: how many lines don't parse, and the first few of them."""
-    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    rows = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    bad = rows.select(F.monotonically_increasing_id().alias("line_no"), CORRUPT).where(F.col(CORRUPT).isNotNull())
-    first = bad.orderBy("line_no").limit(samples).agg(F.sort_array(F.collect_list(F.struct("line_no", CORRUPT))).alias("s"))
-    return bad.agg(F.count("*").alias("lines")).crossJoin(first).select("lines", F.transform("s", lambda x: x[CORRUPT]).alias("samples"))
+    bad = _parsed(spark, path, schema).where(F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull()).select("line_no", "value")
+    first = bad.orderBy("line_no").limit(samples).agg(F.sort_array(F.collect_list(F.struct("line_no", "value"))).alias("s"))
+    return bad.agg(F.count("*").alias("lines")).join(first).select("lines", F.transform("s", lambda x: x["value"]).alias("samples"))
 
 
 def last_by(rows: DataFrame, *keys: str, order: str = "line_no") -> DataFrame:

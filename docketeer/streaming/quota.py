@@ -4,7 +4,7 @@ Every browser has one state; events of a browser are taken in order of time.  Ea
 order: paused, session ended, too fast (more than 50 different documents in the trailing 60 s: the window is emptied,
 access pauses and the session ends), already opened that day (passes without charge), daily limit, weekly limit,
 batch limit, else it is charged.  A day is a UTC day; a week is seven days with today.  State of a browser that stays
-idle for IDLE_DAYS times out.
+idle for IDLE_DAYS of event time goes; events later than LATENESS behind the newest are dropped.
 """
 
 from __future__ import annotations
@@ -15,11 +15,13 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.window import Window
 
 from docketeer.operators import quota as limits
 
-DAY_MS, IDLE_DAYS = 86_400_000, 8
+DAY_MS, IDLE_DAYS, LATENESS = 86_400_000, 8, "1 hour"
 OUTPUT = "browser_id string, doc_key string, ts_ms long, passed boolean, charged boolean, why string, retry_after long"
 
 
@@ -90,17 +92,15 @@ def charge(events: DataFrame, lim: Limits = Limits()) -> DataFrame:
         rows = pd.concat(list(batches)).sort_values(["ts_ms", "doc_key"], kind="stable")
         out = [(key[0], r.doc_key, r.ts_ms, *step(held, r.doc_key, r.session_id, int(r.ts_ms), lim)) for r in rows.itertuples()]
         state.update((json.dumps(held),))
-        state.setTimeoutDuration(IDLE_DAYS * DAY_MS)
+        state.setTimeoutTimestamp(max(int(rows.ts_ms.max()), state.getCurrentWatermarkMs()) + IDLE_DAYS * DAY_MS)
         yield pd.DataFrame(out, columns=["browser_id", "doc_key", "ts_ms", "passed", "charged", "why", "retry_after"])
 
-    return events.groupBy("browser_id").applyInPandasWithState(update, OUTPUT, "state string", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    timed = events.withColumn("ts", F.timestamp_millis("ts_ms")).withWatermark("ts", LATENESS)
+    return timed.groupBy("browser_id").applyInPandasWithState(update, OUTPUT, "state string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def charge_addresses(charged: DataFrame, per_day: int = limits.PER_ADDRESS_DAY) -> DataFrame:
     """Finished charges (with address and day) to those that the address's daily limit refuses: these are refunded."""
-    from pyspark.sql import functions as F
-    from pyspark.sql.window import Window
-
     first = F.row_number().over(Window.partitionBy("address", "day", "doc_key").orderBy("ts_ms"))
     opened = charged.withColumn("__first", first == 1)
     place = Window.partitionBy("address", "day").orderBy("ts_ms", "doc_key").rowsBetween(Window.unboundedPreceding, 0)
