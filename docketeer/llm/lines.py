@@ -125,9 +125,9 @@ def without_lines(text: str | None, starts: list[int] | None, length: int = MIN_
 def dedup_lines(docs: DataFrame, length: int = MIN_LINES) -> DataFrame:
     """docs with later repeated runs deleted from text, plus n_lines and n_deleted (earlier columns of these names go)."""
     names = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
-    runs = written(later_runs(docs, length), "runs").withColumnRenamed("rid", "__rid")
+    runs = written(later_runs(docs, length), "runs").select(F.col("rid").alias("__rid"), F.col("starts").alias("__starts"))
     # hashed, not sorted: texts are moved once, and the side with runs fits a task at every size
-    joined = docs.select(*names, _rid().alias("__rid")).join(runs.hint("shuffle_hash"), "__rid", "left").select(*names, "starts")
+    joined = docs.select(*names, _rid().alias("__rid")).join(runs.hint("shuffle_hash"), "__rid", "left").select(*names, "__starts")
     schema = T.StructType([*docs.select(*names).schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_deleted", T.LongType())])
     at = names.index("text")
 

@@ -132,12 +132,12 @@ def repeated_passages(docs: DataFrame, length: int = MIN_WORDS, gram: int = GRAM
 
 def remove_repeats(docs: DataFrame, found: DataFrame) -> DataFrame:
     """docs without the words of the removed spans: where words go, the rest is joined by single spaces."""
-    spans = found.select("rid", "removed").where("size(removed) > 0").dropDuplicates(["rid"])
+    spans = found.where("size(removed) > 0").select(F.col("rid").alias("__rid"), F.col("removed").alias("__removed")).dropDuplicates(["__rid"])
     names = docs.columns
-    joined = docs.withColumn("__rid", F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")))).join(spans.withColumnRenamed("rid", "__rid"), "__rid", "left")
+    joined = docs.withColumn("__rid", F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")))).join(spans, "__rid", "left")
     words = r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
-    kept = F.expr(f"array_join(filter({words}, (w, i) -> not exists(removed, r -> i >= r.start and i < r.end)), ' ')")
-    return joined.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)).select(names)
+    kept = F.expr(f"array_join(filter({words}, (w, i) -> not exists(__removed, r -> i >= r.start and i < r.end)), ' ')")
+    return joined.withColumn("text", F.when(F.col("__removed").isNull(), F.col("text")).otherwise(kept)).select(names)
 
 
 def document_passages(docs: DataFrame) -> DataFrame:

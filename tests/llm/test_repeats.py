@@ -48,7 +48,7 @@ def test_passages_of_odd_rows(odd_docs, no_docs):
     cleaned = suffixes.remove_repeats(odd_docs, suffixes.repeated_passages(odd_docs))
     assert cleaned.columns == odd_docs.columns and cleaned.count() == odd_docs.count()
     text = {r["doc_id"]: r["text"] for r in cleaned.collect()}
-    assert text[4] == "" and len(text[2].split()) == 160 and len(text[1].split()) == 200
+    assert text[4] == "" and len(text[2].split()) == 160 and len(text[1].split()) == 220
 
 
 def test_selection_finds_every_repeat():
