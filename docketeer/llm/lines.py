@@ -104,7 +104,7 @@ def later_runs(docs: DataFrame, length: int = MIN_LINES) -> DataFrame:
     lines = written(hashed_lines(docs), "lines")
     marks = written(fingerprints(lines, length), "fingerprints")
     places = marks.join(repeated_seeds(marks), "seed").groupBy(F.col("owner").alias("rid")).agg(F.collect_set("pos").alias("places"))
-    found = repeated_windows(_windows(lines.join(places, "rid"), length))
+    found = repeated_windows(written(_windows(lines.join(places, "rid"), length), "windows"))
     return found.where("later").groupBy("rid").agg(F.sort_array(F.collect_list("s")).alias("starts"))
 
 

@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketeer.llm.common import written
+
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
@@ -72,16 +74,18 @@ def selected(units: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.
 
 
 def repeated_seeds(seeds: DataFrame) -> DataFrame:
-    """seeds (seed, owner, pos) to the distinct seeds that occur at two places or more."""
+    """seeds (seed, owner, pos) to the distinct seeds that occur at two places or more.
+
+    Written, so that in a join with all seeds both sides are plain shuffles, of which Spark splits a hot seed's."""
     place = F.struct("owner", "pos")
-    return seeds.groupBy("seed").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("seed")
+    return written(seeds.groupBy("seed").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("seed"), "seeds")
 
 
 def repeated_windows(windows: DataFrame) -> DataFrame:
     """windows (w, doc_id, rid, s) to (doc_id, rid, s, later) of those that occur twice or more; later: not the first,
     by doc_id, rid and s."""
     place = F.struct("doc_id", "rid", "s")
-    known = windows.groupBy("w").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("w", "first")
+    known = written(windows.groupBy("w").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("w", "first"), "known")  # as for seeds
     return windows.join(known, "w").select("doc_id", "rid", "s", (place != F.col("first")).alias("later"))
 
 
