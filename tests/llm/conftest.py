@@ -23,7 +23,7 @@ def odd_docs(spark):
         (6, "", "en", "s0"),
         (7, "   \n\t ", "en", "s1"),
         (8, long, "de", "s0"),
-        (9, "a.b@c.de +1 (229) 555-4838 4046195599780836 10.0.0.1 ▁ 😀 \x00", "en", "s0"),
+        (9, "a.b@c.de +1 (229) 555-4838, 4046195599780836; 10.0.0.1 ▁ 😀 \x00", "en", "s0"),
         (None, prose(15, 70), "en", "s0"),
         (10, "line one\nline two\nline three\n\nown line", "en", "s0"),
         (11, "other\nline one\nline two \nline three\nline four", "en", "s0"),

@@ -32,6 +32,12 @@ def test_base_spans_equal_the_patterns():
         assert pii.base_spans(text) == brute_spans(text), text
 
 
+def test_numbers_that_touch_are_one_match():
+    """With nothing but spaces between them a phone, a card and an address are one match of too many digits each."""
+    text = "a.b@c.de +1 (229) 555-4838 4046195599780836 10.0.0.1"
+    assert pii.base_spans(text) == brute_spans(text) and [k for k, _, _ in pii.base_spans(text)] == [0, 1]
+
+
 def test_base_spans_of_hostile_texts():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "@" * 100_000, "+1" * 100_000, "a@" * 100_000):
         pii.base_spans(text)
