@@ -23,7 +23,9 @@ from docketeer.operators import blocks
 @dataclass(frozen=True)
 class ParserSpec:
     """anchor: at a line start, without groups.  number and title: patterns whose first group is read in the block's
-    head.  dept and section: patterns whose first group is carried forward.  id_parts: what the ruling id is made of."""
+    head.  dept and section: patterns whose first group is carried forward.  id_parts: what the ruling id is made of.
+    date_chars: the stretches from the text's start in which the hearing date is sought, one after the other (None: the
+    whole text).  A county whose reference parser reads nothing but a stretch has that one alone."""
 
     county: str
     anchor: str
@@ -37,6 +39,7 @@ class ParserSpec:
     html: bool = False
     id_parts: tuple[str, ...] = ("sha", "index", "case")
     version: str = "1"
+    date_chars: tuple[int | None, ...] = (4000, None)
 
     @property
     def rules(self) -> classify.Rules:
@@ -65,7 +68,7 @@ SPECS: dict[str, ParserSpec] = {
     s.county: s
     for s in (
         _headed("amador", _RULING, _GENERIC),
-        _numbered("butte", r"[0-9]{2}(?:CV|PR)[0-9]{5}", r"(?:[0-9]+(?:-[0-9]+)?\.[ \t]+|[0-9]{1,2}:[0-9]{2}[ \t]+)?", section=_PROBATE_SECTION),
+        _numbered("butte", r"[0-9]{2}(?:CV|PR)[0-9]{5}", r"(?:[0-9]+(?:-[0-9]+)?\.[ \t]+|[0-9]{1,2}:[0-9]{2}[ \t]+)?", section=_PROBATE_SECTION, date_chars=(800,)),
         _numbered("calaveras", r"[0-9]{2}[A-Z]{2,4}[0-9]{4,6}|[A-Z]{1,4}[0-9]{4,6}", section=_PROBATE_SECTION),
         _numbered("contra_costa", r"(?:MS)?C[0-9]{2}-[0-9]{5}|[CLNPD][0-9]{2}-[0-9]{5}", r"(?:[0-9]{1,3}\.[ \t]+)?(?:[0-9:]+[ \t]+[AP]M[ \t]+)?(?i:case\s+number:?[ \t]+)?", id_parts=("sha", "case", "index")),
         _headed("el_dorado", r"(?i:tentative\s+ruling\s*#\s*[0-9]{1,3}\s*:)", _GENERIC, id_parts=("sha", "index", "start", "case")),
@@ -73,27 +76,27 @@ SPECS: dict[str, ParserSpec] = {
         _headed("imperial", r"(?i:tentative\s+ruling)(?:[ \t]+[A-Z]{3,5}[0-9]{5,})?[ \t]*$", r"[A-Z]{3,5}[0-9]{5,}"),
         _numbered("los_angeles", r"[0-9]{2}[A-Z]{4,5}[0-9]{5}|[A-Z]{2}[0-9]{6}", r"(?i:case\s+number:[ \t]*)?", html=True),
         _numbered("marin", r"(?:CIV|CV|FL|PR|PRO)[0-9]{7}", section=_PROBATE_SECTION),
-        _numbered("merced", r"[0-9]{2}[A-Z]{2,3}-[0-9]{4,6}(?:-[A-Z]{2,5})?|[A-Z]{1,3}[0-9]{2}-[0-9]{4,6}", section=_PROBATE_SECTION),
+        _numbered("merced", r"[0-9]{2}[A-Z]{2,3}-[0-9]{4,6}(?:-[A-Z]{2,5})?|[A-Z]{1,3}[0-9]{2}-[0-9]{4,6}", section=_PROBATE_SECTION, date_chars=(4000,)),
         _numbered("monterey", r"[0-9]{2}CV[0-9]{6}"),
         _headed("napa", r".{3,160}?[ \t]+(?:[0-9]{2}(?:PR|CV|FL)[0-9]{6}|PR[0-9]{5})[ \t]*$", r"[0-9]{2}(?:PR|CV|FL)[0-9]{6}|PR[0-9]{5}", title=r"\A([^\n]*?)[ \t]+(?:CASE_NUMBER)", section=r"(?m)^([A-Z][A-Z &/]+CALENDAR)"),
         _numbered("nevada", r"[A-Z]{1,3}[0-9]{2}-[0-9]{4,6}|[A-Z]{2,3}[0-9]{7}|CU[0-9]{7}", r"[0-9]{1,3}\.[ \t]+", extensions=(".pdf", ".docx")),
         _numbered("orange", r"(?:30-)?20[0-9]{2}-[0-9]{7,8}|[0-9]{2}-[0-9]{7,8}", r"(?:[0-9]{1,3}\.?[ \t]+)?[^\n]{0,120}?"),
         _numbered("placer", r"[A-Z]-[A-Z]{2,3}-[0-9]{4,10}|[A-Z]{2,5}[0-9]{3,8}", r"[0-9]{1,3}\.[ \t]+", id_parts=("sha", "index", "start", "case")),
-        _numbered("plumas", r"[A-Z]{2}[0-9]{2}-[0-9]{5}|[A-Z]{2,3}[0-9]{4,8}"),
+        _numbered("plumas", r"[A-Z]{2}[0-9]{2}-[0-9]{5}|[A-Z]{2,3}[0-9]{4,8}", date_chars=(2500,)),
         _headed("riverside", r"[ \t]*[0-9]{1,3}\.[ \t]*$", r"CV[A-Z]{2}[0-9]{7}|[A-Z]{2,5}[0-9]{7}"),
-        _numbered("san_benito", r"(?:FL|CU|PR)-[0-9]{2}-[0-9]{5}", body=r"(?is)(.*?)(?:\n\s*end\s+of\s+tentative\s+decisions|\z)"),
+        _numbered("san_benito", r"(?:FL|CU|PR)-[0-9]{2}-[0-9]{5}", body=r"(?is)(.*?)(?:\n\s*end\s+of\s+tentative\s+decisions|\z)", date_chars=(1200,)),
         _numbered("san_bernardino", r"CIV[A-Z]{2}[0-9]{5,7}|[A-Z]{4}[0-9]{5,7}", r"[0-9]{1,3}\.[ \t]+[^\n]{0,160}?", title=r"\A[ \t]*[0-9]{1,3}\.[ \t]+([^\n]*?),?[ \t]+(?:(?i:case\s+no\.?)[ \t]+)?(?:CASE_NUMBER)"),
         _headed("san_francisco", r"[ \t]*(?i:tentative\s+ruling)[ \t]*$", r"[A-Z]{3}-?[0-9]{2}-?[0-9]{6}"),
         _numbered("san_luis_obispo", r"[0-9]{2}(?:CV|PR|LC|CVP|PRP)-?[0-9]{4}|[0-9]{2}[A-Z]{2,3}-[0-9]{4}", r"(?:[0-9]+[ \t]+)?"),
         _numbered("san_mateo", r"[0-9]{2}-(?:CIV|CLJ|PRO)-[0-9]{5}", r"(?:[0-9]{1,3}\.?[ \t]+)?"),
         _numbered("santa_barbara", r"[0-9]{2}(?:CV|PR|FL)[0-9]{5}", r"(?i:case\s+number:?[ \t]+)?", html=True),
         _headed("santa_clara", r"[ \t]*LINE[ \t]+[0-9]{1,3}\b", r"[0-9]{2}(?:CV|PR)[0-9]{6}"),
-        _headed("santa_cruz", r"[ \t]*Nos?\.[ \t]+[0-9A-Z,\s]+?[ \t]*$", r"[0-9]{2}CV[0-9]{5}"),
+        _headed("santa_cruz", r"[ \t]*Nos?\.[ \t]+[0-9A-Z,\s]+?[ \t]*$", r"[0-9]{2}CV[0-9]{5}", date_chars=(1000,)),
         _headed("shasta", r"[^\n]{0,80}?(?i:case\s+number:?)[ \t]+", r"[0-9]{2}[A-Z]{2}-?[0-9]{5,7}|CV[A-Z]{0,2}[0-9]{2}-[0-9]{4,7}|[0-9]{5,7}"),
         _numbered("sierra", r"[A-Z]{2,3}[0-9]{5,7}"),
         _headed("solano", r"[ \t]*(?i:tentative\s+ruling|pregrant\s+order)[ \t]*:?[ \t]*$", r"[A-Z]{2,3}[0-9]{2}-[0-9]{5}|FCS[0-9]{6}"),
-        _numbered("sonoma", r"SCV-[0-9]{6}|[0-9]{2}CV[0-9]{5}|S?PR-?[0-9]{6}|MCV-[0-9]{6}", r"(?:[0-9]{1,2}\.[ \t]+)?", html=True, body=r"(?is)(.*?)(?:\n\s*\*+\s*end\s+of\s+tentative\s+rulings|\z)"),
-        _numbered("stanislaus", r"(?:CV|FL|PR|UD)-[0-9]{2}-[0-9]{6}", html=True),
+        _numbered("sonoma", r"SCV-[0-9]{6}|[0-9]{2}CV[0-9]{5}|S?PR-?[0-9]{6}|MCV-[0-9]{6}", r"(?:[0-9]{1,2}\.[ \t]+)?", html=True, body=r"(?is)(.*?)(?:\n\s*\*+\s*end\s+of\s+tentative\s+rulings|\z)", date_chars=(None,)),
+        _numbered("stanislaus", r"(?:CV|FL|PR|UD)-[0-9]{2}-[0-9]{6}", html=True, date_chars=(None,)),
         _numbered("tulare", r"[VP]PR[0-9]{6}|VCU[0-9]{6}|PCU[0-9]{6}", extensions=(".pdf",), html=True),
         _numbered("tuolumne", r"[A-Z]{2,5}[0-9]{5,7}", title=r"\A[ \t]*(?:CASE_NUMBER)[ \t]+[0-9]{2}/[0-9]{2}/[0-9]{4}[ \t]+[0-9]{1,3}[ \t]+([^\n]*)"),
         _headed("ventura", r"[A-Z0-9]{5,30}:[ \t]*[^\n]+$", r"[A-Z0-9]{5,30}(?=:)", title=r"\A[A-Z0-9]{5,30}:[ \t]*([^\n]*)"),
@@ -116,7 +119,7 @@ def extract(docs: DataFrame, spec: ParserSpec) -> DataFrame:
     hints = [c for c in ("dept_hint", "division_hint") if c in docs.columns]
     base = docs.select("source_sha256", "source_url", *hints, blocks.joined_pages(F.transform("pages", clean_lines)).alias("j"), F.size("pages").alias("n_pages"))
     keep = ["source_sha256", "source_url", *hints, "n_pages", "starts", "hearing_date", "text"]
-    dated = base.select("source_sha256", "source_url", *hints, "n_pages", F.col("j.starts").alias("starts"), F.col("j.text").alias("text"), dates.find_date(F.substring("j.text", 1, 4000)).alias("hearing_date"))
+    dated = base.select("source_sha256", "source_url", *hints, "n_pages", F.col("j.starts").alias("starts"), F.col("j.text").alias("text"), F.coalesce(*(dates.find_date(F.substring("j.text", 1, n) if n else F.col("j.text")) for n in spec.date_chars)).alias("hearing_date"))
     found = blocks.split_at(dated.where("hearing_date is not null").withColumn("length", F.length("text")), spec.anchor, [c for c in keep if c != "text"] + ["length"])
 
     head = F.substring("block", 1, 2000)
@@ -144,7 +147,7 @@ def extract(docs: DataFrame, spec: ParserSpec) -> DataFrame:
     first_page = blocks.page_for_offset(F.col("starts"), F.col("start"))
     return rows.select(
         ids.ruling_id(*(part[p] for p in spec.id_parts)).alias("ruling_id"), F.lit(spec.county).alias("county"), "division", "dept", "hearing_date", "ruling_index", "case_number", "case_title", "motion_type",
-        spec.rules.outcome(F.col("body_text")).alias("outcome"), F.substring("body_text", 1, 2000).alias("outcome_text"), spec.rules.is_conditional(F.col("body_text")).alias("conditional"), spec.rules.continued_to(F.col("body_text")).alias("continued_to"),
+        spec.rules.outcome(F.col("body_text")).alias("outcome"), F.col("body_text").alias("outcome_text"), spec.rules.is_conditional(F.col("body_text")).alias("conditional"), spec.rules.continued_to(F.col("body_text")).alias("continued_to"),
         "body_text", F.col("block").alias("full_text"), first_page.alias("page_start"), F.greatest(first_page, blocks.page_for_offset(F.col("starts"), end)).alias("page_end"),
         "source_sha256", "source_url", F.lit(f"{spec.county}-v{spec.version}").alias("parser_version"), F.lit(f"{spec.county}-declared").alias("style"),
     )

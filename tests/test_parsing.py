@@ -30,6 +30,28 @@ def test_nothing_found(spark, pages):
     assert parsing.extract(docs(spark, pages), parsing.SPECS["tuolumne"]).count() == 0
 
 
+def test_whole_body_is_the_outcome_text(spark):
+    body = "The motion is discussed here. " * 100 + "The motion is denied."
+    found = parsing.extract(docs(spark, [TUOLUMNE[0], f"CV68039 01/02/2020 1 Smith v. Jones\nMotion to Compel\n{body}\n"]), parsing.SPECS["tuolumne"]).collect()
+    assert len(found) == 1 and found[0]["outcome_text"] == found[0]["body_text"] == body
+
+
+@pytest.mark.parametrize("county, case", [("stanislaus", "CV-20-001234"), ("sonoma", "SCV-123456"), ("amador", None), ("butte", "20CV01234")])
+def test_late_dates(spark, county, case):
+    """A date behind the first 4,000 characters counts, but where the reference reads a stretch alone."""
+    notice = "How to ask for oral argument. \n" * 160
+    ruling = f"{case} Smith v. Jones\nMotion\nGranted." if case else "Tentative ruling\n20CV01234 Smith v. Jones\nMotion\nGranted."
+    found = parsing.extract(docs(spark, [f"{notice}June 1, 2020\n{ruling}"], county=county), parsing.SPECS[county]).collect()
+    assert [r["hearing_date"] for r in found] == ([] if county == "butte" else [dt.date(2020, 6, 1)])
+
+
+def test_early_dates_come_first(spark):
+    """Where the start of the text has a date, later ones of another form don't replace it."""
+    page = "June 1, 2020\nTentative ruling\n20CV01234 Smith v. Jones\nMotion\n" + "Granted. " * 600 + "\nContinued to Monday, July 6, 2020."
+    found = parsing.extract(docs(spark, [page], county="amador"), parsing.SPECS["amador"]).collect()
+    assert [r["hearing_date"] for r in found] == [dt.date(2020, 6, 1)]
+
+
 def test_every_county_has_a_spec_that_runs(spark):
     assert set(parsing.SPECS) == set(classify.COUNTY_RULES) | set(classify.SHARED_COUNTIES)
     sample = {
