@@ -15,7 +15,8 @@ reachable, never all pairs.  Buckets over BUCKET fingerprints are cut in parts b
 task of their own, so no task holds more than BUCKET of them, and none is left out.
 
 Defined results: null text is empty; a text without words has fingerprint zero; fewer than 4 words make one shingle.
-Rows with equal doc_id are kept, each with the component of its fingerprint.
+Rows with equal doc_id are kept, each with the component of its fingerprint.  keep_one leaves one row of each component:
+a null doc_id comes last, of equal ones the smaller hash of the text comes first, and rows equal in both count once.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from docketeer.llm.common import map_text, written
 from docketeer.llm.components import components
@@ -180,10 +182,15 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return ordered.mapInArrow(_links_of_sorted, "a long, b long").distinct()
 
 
+def _linked(fps: DataFrame) -> DataFrame:
+    """fps (fp, distinct, and more) plus component: the smallest fingerprint reachable."""
+    joined = components(links(fps.select("fp")))
+    return fps.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def fingerprint_components(fps: DataFrame) -> DataFrame:
     """fps (fp, low: smallest doc_id) to (fp, component_id): the smallest doc_id reachable."""
-    joined = components(links(fps.select("fp")))
-    linked = fps.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    linked = _linked(fps)
     least = linked.groupBy("component").agg(F.min("low").alias("component_id"))
     return linked.join(least, "component").select("fp", "component_id")
 
@@ -206,6 +213,11 @@ def document_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of their component."""
-    chosen = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi").select(docs.columns)
+    """One row of docs of each component: that with the smallest row key."""
+    key = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h"))
+    prints = fingerprints(docs.select(key.alias("__key"), "text"), ["__key"])
+    distinct = written(prints.groupBy("fp").agg(F.min("__key").alias("low")), "fingerprints")
+    chosen = _linked(distinct).groupBy("component").agg(F.min("low").alias("__key")).select("__key")  # structs compare null-safe
+    kept = docs.withColumn("__key", key).join(written(chosen, "chosen"), "__key")
+    one = Window.partitionBy("__key").orderBy(F.xxhash64(*docs.columns))  # rows equal in doc_id and text
+    return kept.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(docs.columns)

@@ -97,3 +97,14 @@ def test_odd_rows(odd_docs, no_docs):
     assert simhash.document_components(no_docs).count() == 0
     kept = simhash.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns and 4 not in {r["doc_id"] for r in kept.collect()}
+
+
+def test_keep_one_by_row(spark, odd_docs):
+    """A null doc_id that is near no other stays, and texts that share a doc_id are judged one by one."""
+    kept = simhash.keep_one(odd_docs)
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert ids.count(None) == 1 and ids.count(12) == 1 and 6 not in ids and 7 not in ids
+    texts = [" ".join(f"w{(i * 7919 + j * j) % 10_007}" for j in range(60)) for i in (1, 2, 3)]
+    rows = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (None, texts[1]), (None, texts[2]), (None, None), (3, ""), (None, texts[2])]
+    out = [tuple(r) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(out, key=str) == sorted([(1, texts[0]), (2, texts[1]), (None, texts[2]), (3, "")], key=str)
