@@ -2,7 +2,8 @@
 
 Two dictionaries are trained.  The ordinary one comes from windows of ordinary documents.  The toxic one comes from
 the toxic documents' marked words: those whose distinct contexts (word before, word after) are far more frequent in
-toxic than in ordinary documents, so that copies of one document count once.  A window is compressed with the
+toxic than in ordinary documents, so that copies of one document count once.  It holds all of them, however rare beside
+the commonest, the most frequent last.  A window is compressed with the
 ordinary dictionary alone and with the toxic one put before it; the difference of the two lengths is what toxic
 vocabulary saves.  Boosted trees turn a document's differences (the largest, their mean, their sum) into a
 probability; they are fitted on labelled documents that the dictionaries have not seen.
@@ -33,10 +34,10 @@ from docketeer.llm.common import crc32_mod, map_text
 MAX_DOCS, MAX_CHARS = 2_000, 30_000
 #: Bytes of a window, and how far the next one starts.
 WINDOW, STEP = 96, 84
-#: Bytes of the dictionaries.
-TOXIC_BYTES, ORDINARY_BYTES = 256, 4096
-#: A marked word: contexts in toxic text at least, as a share of the most frequent marked word, log odds at least.
-MIN_CONTEXTS, MIN_SHARE, MIN_LOG_ODDS = 3, 0.15, 3.0
+#: Bytes of the ordinary dictionary.
+ORDINARY_BYTES = 4096
+#: A marked word: contexts in toxic text at least, log odds at least.
+MIN_CONTEXTS, MIN_LOG_ODDS = 3, 3.0
 THRESHOLD, HELD_OUT = 0.3, 2
 
 
@@ -54,13 +55,12 @@ def _contexts(texts: Iterable[str]) -> dict[bytes, int]:
     return {w: len(s) for w, s in seen.items()}
 
 
-def marked_words(toxic: list[str], ordinary: list[str]) -> set[bytes]:
+def marked_words(toxic: list[str], ordinary: list[str]) -> list[bytes]:
+    """The words over the odds, by rising number of contexts."""
     t, o = _contexts(toxic), _contexts(ordinary)
     all_t, all_o = sum(t.values()) + 1, sum(o.values()) + 1
     odds = {w: math.log((n + 0.5) / all_t) - math.log((o.get(w, 0) + 0.5) / all_o) for w, n in t.items() if n >= MIN_CONTEXTS}
-    found = {w for w, x in odds.items() if x > MIN_LOG_ODDS}
-    most = max((t[w] for w in found), default=0)
-    return {w for w in found if t[w] >= MIN_SHARE * most}
+    return sorted((w for w, x in odds.items() if x > MIN_LOG_ODDS), key=lambda w: (t[w], w))
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
@@ -126,10 +126,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int =
     if not toxic or not ordinary or not part(1, 1) or not part(1, 0):
         return Model(None, None)
     marks = marked_words(toxic, ordinary)
-    samples = [b" ".join([b"", *(w for w in t.lower().encode("utf-8", "surrogatepass").split() if w in marks), b""]) for t in toxic]
     plain = [w for t in ordinary for w in windows(t)]
     plain = plain[:: max(1, len(plain) // 20_000)]
-    distance = Distance(_dictionary([s for s in samples if len(s) > 8], TOXIC_BYTES), _dictionary(plain, ORDINARY_BYTES))
+    distance = Distance(b" ".join([b"", *marks, b""]), _dictionary(plain, ORDINARY_BYTES))
     other = [r for r in rows if r[1] == 1]
     trees = boosting.fit(distance.measure([r[2] for r in other]), np.array([r[0] for r in other]), trees=30, depth=2, smooth=3.0)
     return Model(distance, trees)

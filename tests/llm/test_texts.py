@@ -107,6 +107,26 @@ def test_toxicity_held_out(spark):
     assert unlabelled.agg(F.max("score")).first()[0] == 0.0
 
 
+def test_toxicity_of_rare_words(spark):
+    """Documents that hold only insults far rarer than the commonest."""
+    rng = random.Random(10)
+    vocabulary = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(400)]
+    rare = ["blockhead", "verminous", "halfwitted", "nincompoop"]
+    rows, labels = [], []
+    for i in range(1600):
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(40, 200))]
+        if i % 4 == 0:
+            for _ in range(4):
+                words.insert(rng.randrange(len(words)), rng.choice(rare) if i % 20 == 0 else "scoundrel")
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    out = [(r["doc_id"], r["predicted"]) for r in toxicity.document_toxicity(docs, known).collect() if r["held_out"]]
+    only_rare = [p for i, p in out if i % 20 == 0]
+    assert len(only_rare) > 10 and sum(only_rare) / len(only_rare) > 0.9
+    assert sum(p == (i % 4 == 0) for i, p in out) / len(out) > 0.95
+
+
 def test_toxicity_odd_rows(odd_docs, no_docs, odd_labels):
     out = toxicity.document_toxicity(odd_docs, odd_labels)
     rows = out.collect()
