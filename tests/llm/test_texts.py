@@ -69,6 +69,23 @@ def test_pii_model_adds_other_formats(spark):
     assert pii.redact("call +1 229 555 4838 now", [(3, 5, 20)]) == "call [phone] now"
 
 
+def test_pii_training_on_many_candidates(spark):
+    """Dates fill the bound on candidates many times over; both halves and labels still reach the model."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(1200):
+        dates = " on ".join(f"{rng.randrange(2000, 2030)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}" for _ in range(40))
+        mail = f"{rng.choice('abcde')}{i}.x@mail{i % 9}.example.com"
+        rows.append((i, f"{dates} write {mail} now {dates}" if i % 6 == 0 else dates))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert pii.training_rows(docs).count() > 2 * pii.MAX_CANDIDATES
+    model = pii.train(docs)
+    assert model.thresholds[0] <= 1
+    found = model.added(["write to bob.y [at] mail7[dot]example[dot]com now", "2024-01-02 2011-11-12"], [[], []])
+    assert [s[0] for s in found[0]] == [0] and found[1] == []
+    assert pii.shares({(0, 0): 50, (0, 1): 3, (1, 0): 9, (1, 1): 1}, 30) == {(0, 0): 17, (0, 1): 3, (1, 0): 9, (1, 1): 1}
+
+
 def test_pii_odd_rows(odd_docs, no_docs):
     rows = {r["doc_id"]: r for r in pii.document_pii(odd_docs).collect()}
     assert [rows[9][f"n_{k}"] for k in pii.KINDS] == [1, 1, 1, 1] and rows[5]["spans"] == "" and pii.document_pii(odd_docs).count() == odd_docs.count()
