@@ -9,11 +9,16 @@ idle for IDLE_DAYS of event time goes; events later than LATENESS behind the new
 
 from __future__ import annotations
 
+import heapq
 import json
+import tempfile
 from collections.abc import Iterator
+from contextlib import ExitStack
 from dataclasses import dataclass
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -22,6 +27,8 @@ from pyspark.sql.window import Window
 from docketeer.operators import quota as limits
 
 DAY_MS, IDLE_DAYS, LATENESS = 86_400_000, 8, "1 hour"
+#: Events of a browser that a task sorts in memory, and that it hands on at once; more are sorted in files and merged.
+HELD, SLICE = 50_000, 10_000
 OUTPUT = "browser_id string, doc_key string, ts_ms long, passed boolean, charged boolean, why string, retry_after long"
 
 
@@ -81,6 +88,32 @@ def renew(state: dict, session: str, visible: bool) -> None:
         state |= {"visible": False, "batch": 0}
 
 
+def in_order(batches: Iterator[pd.DataFrame], held: int = HELD) -> Iterator[tuple[int, str, str]]:
+    """(ts_ms, doc_key, session_id) of all rows by time, then document, then as they came; about held rows are in memory."""
+    names, parts, runs = ["ts_ms", "doc_key", "session_id"], [], []
+
+    def ordered() -> pd.DataFrame:
+        return pd.concat(parts).sort_values(names[:2], kind="stable") if parts else pd.DataFrame(columns=names)
+
+    def read(path: str) -> Iterator[tuple]:
+        with pa.ipc.open_stream(path) as stream:
+            for batch in stream:
+                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+    with ExitStack() as stack:
+        for batch in batches:
+            parts.append(batch[names])
+            if sum(map(len, parts)) >= held:
+                folder = folder if runs else stack.enter_context(tempfile.TemporaryDirectory(prefix="quota-"))
+                table = pa.Table.from_pandas(ordered(), preserve_index=False)
+                runs.append(f"{folder}/{len(runs)}")
+                with pa.OSFile(runs[-1], "wb") as sink, pa.ipc.new_stream(sink, table.schema) as out:
+                    out.write_table(table, max_chunksize=1000)
+                parts.clear()
+        last = ordered().itertuples(index=False, name=None)
+        yield from heapq.merge(*map(read, runs), last, key=lambda r: (r[0], r[1] is None, r[1] or ""))
+
+
 def charge(events: DataFrame, lim: Limits = Limits()) -> DataFrame:
     """events (browser_id, session_id, doc_key, ts_ms), streaming, to one OUTPUT row each."""
 
@@ -89,11 +122,12 @@ def charge(events: DataFrame, lim: Limits = Limits()) -> DataFrame:
             state.remove()
             return
         held = json.loads(state.get[0]) if state.exists else fresh()
-        rows = pd.concat(list(batches)).sort_values(["ts_ms", "doc_key"], kind="stable")
-        out = [(key[0], r.doc_key, r.ts_ms, *step(held, r.doc_key, r.session_id, int(r.ts_ms), lim)) for r in rows.itertuples()]
+        rows, newest = in_order(batches), 0
+        while out := [(key[0], doc, ts, *step(held, doc, session, int(ts), lim)) for ts, doc, session in islice(rows, SLICE)]:
+            newest = int(out[-1][2])
+            yield pd.DataFrame(out, columns=["browser_id", "doc_key", "ts_ms", "passed", "charged", "why", "retry_after"])
         state.update((json.dumps(held),))
-        state.setTimeoutTimestamp(max(int(rows.ts_ms.max()), state.getCurrentWatermarkMs()) + IDLE_DAYS * DAY_MS)
-        yield pd.DataFrame(out, columns=["browser_id", "doc_key", "ts_ms", "passed", "charged", "why", "retry_after"])
+        state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + IDLE_DAYS * DAY_MS)
 
     timed = events.withColumn("ts", F.timestamp_millis("ts_ms")).withWatermark("ts", LATENESS)
     return timed.groupBy("browser_id").applyInPandasWithState(update, OUTPUT, "state string", "append", GroupStateTimeout.EventTimeTimeout)

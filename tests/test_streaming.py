@@ -1,5 +1,9 @@
 """Streams against plain models."""
 
+import random
+
+import pandas as pd
+
 from docketeer.plans import stream_queries
 from docketeer.plans.registry import QUERIES
 from docketeer.streaming import quota, windows
@@ -17,6 +21,25 @@ def test_quota_stream_equals_the_steps(spark):
     assert out == model and len({w for *_, w in model}) >= 3
 
 
+def test_hot_browser_is_sorted_in_pieces():
+    """Rows of one browser that are sorted in pieces come in order, and each is there once."""
+    rng = random.Random(0)
+    rows = [(rng.randrange(500), f"d{rng.randrange(9)}", f"s{i}") for i in range(20_000)]
+
+    def batches():
+        for i in range(0, len(rows), 500):
+            yield pd.DataFrame(rows[i : i + 500], columns=["ts_ms", "doc_key", "session_id"])
+
+    assert list(quota.in_order(batches(), held=1200)) == sorted(rows, key=lambda r: r[:2])
+    assert list(quota.in_order(batches(), held=10**9)) == sorted(rows, key=lambda r: r[:2])
+    assert list(quota.in_order(iter([]))) == []
+
+
+def test_each_user_is_a_browser(spark):
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    assert stream_queries.access_events(events).select("browser_id").distinct().count() == events.select("user_id").distinct().count()
+
+
 def test_steps():
     lim = quota.Limits(per_minute=50, per_check=100, per_day=500, per_week=1000)
     state = quota.fresh()
