@@ -80,5 +80,5 @@ def _fields(ddl: str):
 
 
 def crc32_mod(column, divisor: int):
-    """crc32 of the column as text, modulo divisor."""
-    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(divisor))
+    """crc32 of the column as text (null: the empty text), modulo divisor."""
+    return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(divisor))

@@ -144,11 +144,53 @@ def test_toxicity_of_rare_words(spark):
     assert sum(p == (i % 4 == 0) for i, p in out) / len(out) > 0.95
 
 
+def test_toxicity_scores_by_hand(spark):
+    """Every score worked out from the two dictionaries and the calibration, window by window."""
+    import zstandard as z
+
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    toxic, ordinary = (
+        z.ZstdCompressor(dict_data=z.ZstdCompressionDict(d, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=z.ZstdCompressionParameters.from_level(6, source_size=88, dict_size=len(d), min_match=6, strategy=z.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False))
+        for d in (model.distance.toxic, model.distance.ordinary)
+    )
+    found = {r["doc_id"]: r["score"] for r in queries.op5_toxicity(spark, DATA).collect()}
+    for r in docs.collect():
+        data, odds, at = (r["text"] or "").lower().encode(), [], 0
+        while at == 0 or at < len(data) - 8:
+            window = toxicity.PREAMBLE + data[at : at + 56]
+            gain = len(ordinary.compress(window)) - len(toxic.compress(window))
+            odds.append(float(model.odds[max(-12, min(12, gain)) + 12]))
+            at += 48
+        x = [sum(odds), sum(odds) / len(odds) ** 0.5, max(odds), np.log(len(odds))]
+        log_odds = model.weights[0] + sum(w * (v - m) / s for w, v, m, s in zip(model.weights[1:], x, model.middle, model.spread, strict=True))
+        assert abs(found[r["doc_id"]] - 1 / (1 + np.exp(-log_odds))) < 1e-9
+
+
+def test_toxicity_held_out_in_four_languages(spark):
+    """On the labelled documents that nothing was learned from."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic is not null")
+    rows = queries.op5_toxicity(spark, folder).where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    toxic, clean = [[r["predicted"] for r in rows if r["toxic"] == k] for k in (1, 0)]
+    assert len(toxic) > 100 and sum(toxic) / len(toxic) > 0.85 and sum(clean) / len(clean) < 0.05
+
+
+def test_toxicity_key_segments():
+    rng = random.Random(12)
+    words = ["".join(rng.choice("bcdfgl") + rng.choice("aeiou") for _ in range(3)) for _ in range(200)]
+    plain = [" ".join(rng.choices(words, k=60)) for _ in range(200)]
+    marked = [" ".join([*rng.choices(words, k=30), "stemwort" + rng.choice(words), *rng.choices(words, k=30)]) for _ in range(200)]
+    assert b" stemwort" in toxicity.key_segments(marked, plain) and toxicity.key_segments(plain, marked) == b""
+    assert toxicity.key_segments([marked[0]] * 500, plain) == b""  # copies of one document count once
+    assert toxicity.key_segments([], plain) == b"" and toxicity.key_segments(plain, []) == b""
+
+
 def test_toxicity_odd_rows(odd_docs, no_docs, odd_labels):
     out = toxicity.document_toxicity(odd_docs, odd_labels)
     rows = out.collect()
     assert len(rows) == odd_docs.count() and all(0 <= r["score"] <= 1 for r in rows)
-    assert len({r["score"] for r in rows if r["doc_id"] in (5, 6)}) == 1
+    assert len({r["score"] for r in rows if r["doc_id"] in (5, 6)}) == 1 and all(r["held_out"] is not None for r in rows)
     assert toxicity.document_toxicity(no_docs, odd_labels).count() == 0
 
 
