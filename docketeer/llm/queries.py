@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from docketeer.llm import lines, mixing, pieces, pii, quality, simhash, suffixes, tiff, token_files, toxicity
 from docketeer.llm.common import table
 
-#: Folder of the public tokenizer files.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+#: Places of the public tokenizer files; the operators take them as parameters.
+PIECES, WORD_IDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.document_pieces(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return pieces.document_pieces(table(spark, sf_dir, "documents"), PIECES)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.token_file_digest(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return token_files.token_file_digest(table(spark, sf_dir, "documents"), WORD_IDS)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,12 +6,14 @@ pages carry min/max indexes, a filter on doc_id reads only the pages it needs, a
 without the ids.
 
 Defined results: null text is empty and gives only the end id; rows with equal doc_id are all written, in order of
-their ids' digest; null doc_id sorts first; an empty table gives an empty file set and no rows.
+their texts; null doc_id sorts first; an empty table gives an empty file set and no rows.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -37,31 +39,59 @@ FILE_OPTIONS = {
     "parquet.page.size": str(256 * 1024),
     "parquet.page.row.count.limit": "2000",
 }
-#: Words whose ids a worker process remembers; when full it starts anew.
-WORDS_KEPT = 400_000
+#: Words whose ids a worker process remembers for good, and words that it remembers until there are too many of them.
+WORDS_KEPT, WORDS_PASSING = 400_000, 200_000
 #: Punctuation at the end of a word after a letter is a token group of its own, as if a space stood before it.
 _ENDS = re.compile(r"(?<=[a-zß-öø-ÿ])([.,!?;:]+)(?=[ \t-\r]|$)")
 #: Words that the tokenizer takes as one group.
 _PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
+#: How a tokenizer file says that it composes, ignores case, drops white space and groups as below.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_GROUPS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_at_space(config: dict) -> bool:
+    """Whether a tokenizer's file says that a text's ids are those of its words, and that ASCII case makes no difference."""
+    normalizer, split = config.get("normalizer") or {}, ((config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    return (
+        normalizer.get("normalizers") == _NORMALIZERS
+        and (split.get("pattern"), split.get("behavior"), split.get("invert")) == ({"Regex": _GROUPS}, "Removed", True)
+        and not any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) or "<|" not in t["content"] for t in config.get("added_tokens", []))
+        and not config.get("truncation") and not config.get("padding")
+    )
+
+
+def lowered(text: str) -> str | None:
+    """The text with A-Z as a-z, or None where the tokenizer might compose other characters then.
+
+    It composes first and lowers later, and a-z have composed forms that A-Z lack (U+1E97 for t, none for T)."""
+    if text.isascii():
+        return text.lower()
+    small = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+    return small if unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", small) else None
 
 
 class WordEncoder:
-    """Ids of a tokenizer that ignores case and drops white space, word by word.
+    """Ids of a tokenizer, word by word where it ignores case and drops white space, else of whole texts.
 
-    Such a tokenizer never merges over white space, so a text's ids are those of its words in turn; words repeat, and
-    a remembered word costs a dictionary look-up.  Words hold their ids as little-endian uint32.  A-Z are lower-cased
-    first, unless the text may hold a special token.
+    Such a tokenizer never composes or merges over white space, so a text's ids are those of its words in turn; words
+    repeat, and a remembered word costs a dictionary look-up.  Words hold their ids as little-endian uint32.  A-Z are
+    lower-cased first where that is safe, and never where the text may hold a special token.
     """
 
     def __init__(self, tokenizer_path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        with open(tokenizer_path, encoding="utf-8") as file:
+            self.by_word = splits_at_space(json.load(file))
         self.known: dict[str, bytes] = {}
+        self.passing: list[str] = []
 
     def _words(self, text: str) -> list[str]:
-        if "<|" not in text:
-            text = _ENDS.sub(r" \1", text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
+        small = lowered(text) if "<|" not in text else None
+        if small is not None:
+            text = _ENDS.sub(r" \1", small)
         for space in "\t\n\x0b\x0c\r":
             text = text.replace(space, " ")
         return text.split(" ")
@@ -82,11 +112,17 @@ class WordEncoder:
                 self.known[word] = array("I", found.ids).tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return [array("I", found.ids).tobytes() for found in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         cut = [self._words(text) for text in texts]
-        needed = set().union(*cut) if cut else set()
-        new = needed.difference(self.known)
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known, new = {}, needed
+        new = set().union(*cut).difference(self.known)
+        if len(self.passing) + len(new) > WORDS_PASSING:  # words seen early are the frequent ones, and stay
+            for word in self.passing:
+                del self.known[word]
+            self.passing = []
+            new = set().union(*cut).difference(self.known)
+        if len(self.known) - len(self.passing) >= WORDS_KEPT:
+            self.passing += new
         self._learn(list(new))
         return [b"".join(map(self.known.__getitem__, words)) for words in cut]
 
@@ -122,7 +158,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "do
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(rows), part, np.int32)), pa.array(start + offsets[:-1]), pa.array(counts), lists], schema=arrow)
             start += int(offsets[-1])
 
-    ordered = source.repartitionByRange(F.col(key)).sortWithinPartitions(key, F.sha2("text", 256)) if docs.columns else source
+    # by the key alone where rows are dealt out: a key's rows stay together, and only ties compare texts
+    ordered = source.repartitionByRange(F.col(key)).sortWithinPartitions(key, "text")
     ordered.mapInArrow(run, schema).write.options(**FILE_OPTIONS).parquet(path)
 
 

@@ -1,10 +1,12 @@
 """PII, toxicity, quality rules, tokens, pieces and TIFF: brute force, round trips, held-out accuracy, odd rows."""
 
 import hashlib
+import json
 import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from docketeer.llm import boosting, mixing, pieces, pii, quality, queries, tiff, token_files, toxicity
 from tests.conftest import DATA
 
-MODEL, TOKENS = f"{queries.TOKENIZERS}/piece_bpe_32k.model", f"{queries.TOKENIZERS}/word_bpe_49k.json"
+MODEL, TOKENS = queries.PIECES, queries.WORD_IDS
 
 
 def brute_spans(t):
@@ -305,6 +307,40 @@ def test_word_encoder_equals_the_tokenizer():
         assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_word_encoder_over_all_of_unicode(tmp_path):
+    """Capitals before combining marks, characters that compose, case maps of several characters, odd spaces."""
+    encoder = token_files.WordEncoder(TOKENS)
+    assert encoder.by_word
+    rng = random.Random(13)
+    marks = [chr(c) for c in (*range(0x300, 0x370), 0x1DC0, 0x20D0, 0x3099, 0x0F71, 0x0F72, 0x1161, 0x11A8)]
+    spaces = [chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+    letters = [chr(c) for c in (*range(33, 127), *range(0xC0, 0x250), *range(0x370, 0x3FF), 0x1100, 0xAC00, 0x1F600)]
+    texts = [a + m for a in map(chr, range(33, 127)) for m in marks] + ["T̈", "W̊.", "J̌ x̌"]
+    texts += ["".join(rng.choice(rng.choice((marks, spaces, letters))) for _ in range(rng.randrange(1, 60))) for _ in range(5000)]
+    texts += ["".join(chr(c) for c in (rng.randrange(0x11000) for _ in range(30)) if not 0xD800 <= c < 0xE000) for _ in range(2000)]
+    for at in range(0, len(texts), 1000):
+        part = texts[at : at + 1000]
+        for text, ids, whole in zip(part, encoder.ids(part), encoder.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == whole.ids, ascii(text)
+    config = json.loads(Path(TOKENS).read_text())
+    config["normalizer"] = None  # case counts now, so whole texts must be encoded
+    (tmp_path / "cased.json").write_text(json.dumps(config))
+    cased = token_files.WordEncoder(str(tmp_path / "cased.json"))
+    assert not cased.by_word and np.frombuffer(cased.ids(["The COURT  x"])[0], "<u4").tolist() == cased.tokenizer.encode("The COURT  x", add_special_tokens=False).ids
+
+
+def test_word_encoder_forgets(monkeypatch):
+    """Ids don't depend on what is remembered."""
+    monkeypatch.setattr(token_files, "WORDS_KEPT", 50)
+    monkeypatch.setattr(token_files, "WORDS_PASSING", 30)
+    encoder, rng = token_files.WordEncoder(TOKENS), random.Random(14)
+    for _ in range(60):
+        texts = [" ".join("".join(rng.choices("abé", k=rng.randrange(1, 5))) for _ in range(20)) for _ in range(3)]
+        for text, ids in zip(texts, encoder.ids(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder.known) <= 50 + 60 + 90
+
+
 def test_token_files(spark, odd_docs, no_docs, tmp_path):
     from tokenizers import Tokenizer
 
