@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docketeer.llm import lines, mixing, pieces, quality, simhash
 from docketeer.llm.common import table, written
-from docketeer.llm.queries import TOKENIZERS
+from docketeer.llm.queries import PIECES
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id and SentencePiece ids, with the round trip checked."""
-    return pieces.document_pieces(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
+    return pieces.document_pieces(docs, PIECES)
 
 
 STAGES = [
