@@ -10,10 +10,12 @@ character without a piece becomes its UTF-8 bytes as byte pieces; a marker chara
 does, so that decoding restores every text exactly.
 
 No piece has a marker after another character, so pieces never cross the start of a word.  Texts are therefore cut
-into words with the spaces before them, each distinct word is segmented once per worker (remembered words are
-bounded), and all new words of a batch go through the trie together in numpy.
+into words with the spaces before them, where the vocabulary allows it also between letters and punctuation; each
+distinct word is segmented once while a worker remembers it (remembered words are bounded), and all new words of a
+batch go through the trie together in numpy.  Decoding gathers the pieces of a batch in one Arrow take.
 
-Defined results: null or empty text gives no ids and decodes to the empty text; decoding null gives the empty text.
+Defined results: null or empty text gives no ids and decodes to the empty text; decoding null gives the empty text;
+rows with equal or null doc_id are coded each for itself.
 """
 
 from __future__ import annotations
@@ -35,8 +37,12 @@ MARK = "▁"
 #: Stands for a marker character of the text itself while words are cut: it has no piece and so becomes bytes.
 LITERAL = b"\xff"
 WORDS = re.compile(r" *[^ ]+| +")
-#: Words whose ids a worker remembers, and bytes up to which words go through the trie together.
-WORDS_KEPT, TOGETHER = 400_000, 64
+#: ASCII marks and controls; words cut between these and all else, which holds for texts of ASCII and Latin letters.
+_MARKS, _LATIN = r"\x00-\x1f!-/:-@\[-`{-\x7f", "0-9A-Za-z\u00c0-\u024f"
+FINE_WORDS, MIXED, OTHER = re.compile(f" *(?:[{_MARKS}]+|[^ {_MARKS}]+)| +"), re.compile(f"[{_MARKS}][{_LATIN}]|[{_LATIN}][{_MARKS}]"), re.compile(f"[^\x00-\x7f\u00c0-\u024f]")
+#: Words that a worker remembers for good, those that it remembers until there are too many of them, and bytes up to
+#: which words go through the trie together.
+WORDS_KEPT, WORDS_PASSING, TOGETHER = 400_000, 200_000, 64
 #: What an unknown character scores below the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -57,6 +63,7 @@ class Vocabulary:
     byte_ids: np.ndarray
     unknown: float
     text: list[bytes]  # of each id, markers as spaces; b"" for control pieces
+    fine: bool  # whether no piece has both ASCII marks and Latin letters side by side
 
 
 def build_trie(keys: list[tuple[bytes, int]]) -> Trie:
@@ -129,7 +136,8 @@ def load_vocabulary(model_path: str) -> Vocabulary:
         raise ValueError("the vocabulary lacks byte pieces")
     text = [bytes([int(names[i][3:5], 16)]) if as_byte[i] else b"" if special[i] else names[i].replace(MARK, " ").encode() for i in range(n)]
     trie = build_trie([(text[i], i) for i in normal])
-    return Vocabulary(trie, score, byte_ids, float(score[normal].min() - UNKNOWN_PENALTY), text)
+    fine = not any(MIXED.search(names[i]) for i in normal)
+    return Vocabulary(trie, score, byte_ids, float(score[normal].min() - UNKNOWN_PENALTY), text, fine)
 
 
 def _char_length(lead: np.ndarray) -> np.ndarray:
@@ -138,7 +146,7 @@ def _char_length(lead: np.ndarray) -> np.ndarray:
 
 
 def segment_one(word: bytes, v: Vocabulary) -> list[int]:
-    """Viterbi for one word, piece by piece: for long words, and the model for segment_many()."""
+    """Viterbi for one word, piece by piece: for long words, and the model for segment_packed()."""
     n, base, check, piece = len(word), v.trie.base, v.trie.check, v.trie.piece
     best, back = [-np.inf] * (n + 1), [(-1, -1)] * (n + 1)
     best[0] = 0.0
@@ -171,8 +179,8 @@ def _bytes_of(char: bytes, v: Vocabulary) -> list[int]:
     return [int(v.byte_ids[b]) for b in (MARK.encode() if char == LITERAL else char)]
 
 
-def segment_many(words: list[bytes], v: Vocabulary) -> list[list[int]]:
-    """Viterbi for many short words at once: one row per word, all rows advance byte by byte together."""
+def segment_packed(words: list[bytes], v: Vocabulary) -> list[bytes]:
+    """Viterbi for many short words at once: one row per word, all rows advance byte by byte together.  Ids as int32."""
     if not words:
         return []
     lengths = np.array([len(w) for w in words])
@@ -215,14 +223,29 @@ def segment_many(words: list[bytes], v: Vocabulary) -> list[list[int]]:
         lone = ~single
         if lone.any():
             offer(who[lone], start, start + char[lone], v.unknown, -1)
-    spans: list[list[tuple[int, int, int]]] = [[] for _ in range(n)]
+    row, begin, end, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     who, at = np.arange(n)[lengths > 0], lengths[lengths > 0]
     while len(who):
-        start, ids = back_at[who, at], back_id[who, at]
-        for w, s, e, i in zip(who.tolist(), start.tolist(), at.tolist(), ids.tolist(), strict=True):
-            spans[w].append((s, e, i))
+        start = back_at[who, at]
+        for held, now in ((row, who), (begin, start), (end, at), (ids, back_id[who, at])):
+            held.append(now)
         who, at = who[start > 0], start[start > 0]
-    return [[x for s, e, i in reversed(found) for x in ([i] if i >= 0 else _bytes_of(words[w][s:e], v))] for w, found in enumerate(spans)]
+    row, begin, end, ids = (np.concatenate(x).astype(np.int64) for x in (row, begin, end, ids))
+    order = np.lexsort((begin, row))
+    data, ends = ids[order].astype("<i4").tobytes(), (4 * np.cumsum(np.bincount(row, minlength=n))).tolist()
+    out = [data[a:b] for a, b in zip([0, *ends], ends)]
+    unknown = np.unique(row[ids < 0])
+    inside = order[np.isin(row[order], unknown)]
+    spelled: dict[int, list[int]] = {w: [] for w in unknown.tolist()}
+    for w, a, b, i in zip(row[inside].tolist(), begin[inside].tolist(), end[inside].tolist(), ids[inside].tolist()):
+        spelled[w] += [i] if i >= 0 else _bytes_of(words[w][a:b], v)
+    for w, found in spelled.items():
+        out[w] = array("i", found).tobytes()
+    return out
+
+
+def segment_many(words: list[bytes], v: Vocabulary) -> list[list[int]]:
+    return [array("i", packed).tolist() for packed in segment_packed(words, v)]
 
 
 class Encoder:
@@ -230,25 +253,37 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v, self.known = vocabulary, {}
+        self.passing: list[str] = []
 
-    def _learn(self, words: list[str]) -> None:
-        new = list(set(words).difference(self.known))
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known, new = {}, list(set(words))
+    def _words(self, text: str) -> list[str]:
+        if not text:
+            return []
+        fine = self.v.fine and (text.isascii() or not OTHER.search(text))
+        return (FINE_WORDS if fine else WORDS).findall(" " + text)
+
+    def _learn(self, new: list[str]) -> None:
         raw = [w.encode("utf-8", "surrogatepass").replace(MARK.encode(), LITERAL) for w in new]
-        order = sorted(range(len(new)), key=lambda i: len(raw[i]))
-        short = [i for i in order if len(raw[i]) <= TOGETHER]
+        lengths = np.array([len(r) for r in raw], np.int64)
+        order = np.argsort(lengths, kind="stable").tolist()
+        short = order[: int((lengths <= TOGETHER).sum())]
         for at in range(0, len(short), 20_000):
             part = short[at : at + 20_000]
-            for i, ids in zip(part, segment_many([raw[i] for i in part], self.v), strict=True):
-                self.known[new[i]] = array("i", ids).tobytes()
+            self.known.update(zip(map(new.__getitem__, part), segment_packed([raw[i] for i in part], self.v)))
         for i in order[len(short):]:
             self.known[new[i]] = array("i", segment_one(raw[i], self.v)).tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian int32."""
-        cut = [WORDS.findall(" " + t) if t else [] for t in texts]
-        self._learn([w for words in cut for w in words])
+        cut = [self._words(t) for t in texts]
+        new = set().union(*cut).difference(self.known)
+        if len(self.passing) + len(new) > WORDS_PASSING:  # words seen early are the frequent ones, and stay
+            for word in self.passing:
+                del self.known[word]
+            self.passing = []
+            new = set().union(*cut).difference(self.known)
+        if len(self.known) - len(self.passing) >= WORDS_KEPT:
+            self.passing += new
+        self._learn(list(new))
         return [b"".join(map(self.known.__getitem__, words)) for words in cut]
 
 
@@ -264,52 +299,87 @@ def process_encoder(model_path: str, vocabulary: Vocabulary) -> Encoder:
 
 
 def decode_ids(ids: list[int], v: Vocabulary) -> str:
-    """The text of ids: pieces joined, markers as spaces, bytes put together, the added space taken off."""
-    text = b"".join(map(v.text.__getitem__, ids)).decode("utf-8", "replace")
-    return text[1:] if text.startswith(" ") else text
+    """The text of one list of ids."""
+    return decode_lists(pa.array([ids], pa.list_(pa.int32())), piece_table(v))[0]
 
 
-def encode(df: DataFrame, model_path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """df with the ids of its text column added (an earlier column of that name goes)."""
+def decode_lists(lists: pa.ListArray, table: pa.Array) -> list[str]:
+    """The text of each list of ids: pieces joined, markers as spaces, bytes put together, the added space taken off.
+
+    table holds the pieces by id; a null list gives the empty text."""
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    joined = table.take(lists.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])))
+    places = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
+    data, at = memoryview(joined.buffers()[2] or b""), places[offsets - offsets[0]].tolist()
+    texts = (bytes(data[a:b]).decode("utf-8", "replace") for a, b in zip(at, at[1:]))
+    return [t[1:] if t.startswith(" ") else t for t in texts]
+
+
+def piece_table(v: Vocabulary) -> pa.Array:
+    return pa.array(v.text, pa.large_binary())
+
+
+#: Rows decoded together: bounds what a worker holds of their pieces.
+ROWS_DECODED = 200
+
+
+def _mapped(df: DataFrame, extra: str, keep: list[str], fields: list[T.StructField], model_path: str, make) -> DataFrame:
+    """keep columns of df, then fields, which make(vocabulary, column of extra) gives as Arrow arrays for a slice of rows."""
     shared = df.sparkSession.sparkContext.broadcast(load_vocabulary(model_path))
-    keep = [c for c in df.columns if c != out]
-    source = df.select(*keep, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
-    schema = T.StructType(df.select(*keep).schema.fields + [T.StructField(out, T.ArrayType(T.IntegerType(), False))])
+    source = df.select(*keep, F.col(extra).alias("__in"))
+    schema = T.StructType(df.select(*keep).schema.fields + fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow, encoder = to_arrow_schema(schema), process_encoder(model_path, shared.value)
+        arrow = to_arrow_schema(schema)
         for batch in slices(batches):
-            rows = encoder.ids(batch.column(len(keep)).to_pylist())
-            offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows]))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), "<i4")), type=arrow.field(len(keep)).type)
             kept = [c.cast(f.type) for c, f in zip(batch.columns[: len(keep)], arrow)]
-            yield pa.RecordBatch.from_arrays([*kept, lists], schema=arrow)
+            made = [c.cast(f.type) for c, f in zip(make(shared.value, batch.column(len(keep))), list(arrow)[len(keep):], strict=True)]
+            yield pa.RecordBatch.from_arrays([*kept, *made], schema=arrow)
 
     return source.mapInArrow(run, schema)
 
 
+def _ids(model_path: str, v: Vocabulary, texts: pa.Array) -> pa.ListArray:
+    rows = process_encoder(model_path, v).ids([t or "" for t in texts.to_pylist()])
+    offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), "<i4")))
+
+
+def _texts(v: Vocabulary, lists: pa.ListArray) -> pa.Array:
+    table, texts = piece_table(v), []
+    for at in range(0, len(lists), ROWS_DECODED):
+        texts += decode_lists(lists.slice(at, ROWS_DECODED), table)
+    return pa.array(texts, pa.string())
+
+
+def _ids_field(name: str) -> T.StructField:
+    return T.StructField(name, T.ArrayType(T.IntegerType(), False))
+
+
+def encode(df: DataFrame, model_path: str, text: str = "text", out: str = "ids") -> DataFrame:
+    """df with the ids of its text column added (an earlier column of that name goes)."""
+    source = df.withColumn(text, F.col(text).cast("string")) if dict(df.dtypes)[text] != "string" else df
+    return _mapped(source, text, [c for c in df.columns if c != out], [_ids_field(out)], model_path, lambda v, texts: [_ids(model_path, v, texts)])
+
+
 def decode(df: DataFrame, model_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """df with the text of its ids column added (an earlier column of that name goes)."""
-    shared = df.sparkSession.sparkContext.broadcast(load_vocabulary(model_path))
-    keep = [c for c in df.columns if c != out]
-    source = df.select(*keep, F.col(ids).alias("__ids"))
-    schema = T.StructType(df.select(*keep).schema.fields + [T.StructField(out, T.StringType())])
+    return _mapped(df, ids, [c for c in df.columns if c != out], [T.StructField(out, T.StringType())], model_path, lambda v, lists: [_texts(v, lists)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow, v = to_arrow_schema(schema), shared.value
-        for batch in slices(batches, 200):
-            texts = [decode_ids(x or [], v) for x in batch.column(len(keep)).to_pylist()]
-            kept = [c.cast(f.type) for c, f in zip(batch.columns[: len(keep)], arrow)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, arrow.field(len(keep)).type)], schema=arrow)
+def recode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """df with the ids of its text column and the text decoded from these ids added, in one pass over the rows."""
 
-    return source.mapInArrow(run, schema)
+    def make(v: Vocabulary, texts: pa.Array) -> list[pa.Array]:
+        lists = _ids(model_path, v, texts)
+        return [lists, _texts(v, lists)]
+
+    return _mapped(df, text, [c for c in df.columns if c not in (ids, out)], [_ids_field(ids), T.StructField(out, T.StringType())], model_path, make)
 
 
 def document_pieces(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, n_tokens, ids, the digest of the decoded text and whether it is the text: the columns of op6."""
-    coded = decode(encode(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), model_path), model_path)
+    coded = recode(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), model_path)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.col("text")).alias("round_trip"))

@@ -1,12 +1,14 @@
 """The pipeline against its stages worked out one by one in plain Python."""
 
-import re
+import hashlib
 from collections import defaultdict
 
 import corpus_pipeline
-from docketeer.llm import mixing, quality
+from docketeer.llm import mixing, pieces, quality
+from docketeer.llm.queries import PIECES
 from tests.conftest import DATA
 from tests.llm.test_simhash import brute, reach
+from tests.llm.test_texts import best_score, piece_scores, score_of
 
 
 def test_pipeline_equals_brute_force(spark):
@@ -41,7 +43,13 @@ def test_pipeline_equals_brute_force(spark):
     found = corpus_pipeline.run(spark, DATA).collect()
     assert {r["doc_id"] for r in found} == chosen and len(found) == len(chosen)
     assert all(r["round_trip"] for r in found) and 0 < len(found) < len(texts)
-    assert all(re.fullmatch("[0-9a-f]{64}", r["decoded_sha256"]) for r in found)
+    vocabulary = pieces.load_vocabulary(PIECES)
+    scores = piece_scores(vocabulary)
+    longest = max(len(t) for t in scores if t)
+    for r in found:
+        text = single[r["doc_id"]]
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest() and r["n_tokens"] == len(r["ids"])
+        assert abs(score_of(r["ids"], vocabulary) - best_score(text, scores, longest)) < 1e-6
 
 
 def test_stages_keep_the_columns(spark):

@@ -291,6 +291,79 @@ def test_segments_are_best(vocabulary):
         assert abs(sum(vocabulary.score[i] for i in ids) - best(word)) < 1e-9
 
 
+def best_score(text, v, longest):
+    """The greatest sum of scores over all segmentations of a whole text, character by character."""
+    marked = " " + text
+    best = [0.0] + [-np.inf] * len(marked)
+    for end in range(1, len(marked) + 1):
+        for start in range(max(0, end - longest), end):
+            score = v.get(marked[start:end])
+            if score is not None and best[start] + score > best[end]:
+                best[end] = best[start] + score
+        if marked[end - 1] not in v:
+            best[end] = max(best[end], best[end - 1] + v[None])
+    return best[-1]
+
+
+def piece_scores(vocabulary):
+    """Scores by text; None: of a character without a piece."""
+    is_byte = set(vocabulary.byte_ids.tolist())
+    scores = {t.decode(): float(vocabulary.score[i]) for i, t in enumerate(vocabulary.text) if t and i not in is_byte}
+    return scores | {None: vocabulary.unknown}
+
+
+def score_of(ids, vocabulary):
+    """The summed scores of ids; bytes that spell one character count once."""
+    is_byte, total, at = set(vocabulary.byte_ids.tolist()), 0.0, 0
+    while at < len(ids):
+        if ids[at] not in is_byte:
+            total, at = total + float(vocabulary.score[ids[at]]), at + 1
+        else:
+            lead = vocabulary.text[ids[at]][0]
+            total, at = total + vocabulary.unknown, at + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
+    return total
+
+
+def test_pieces_query_equals_brute_force(spark, vocabulary):
+    """Every document's ids spell its text and have the best score of all segmentations of the whole text."""
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    scores = piece_scores(vocabulary)
+    longest = max(len(t) for t in scores if t)
+    rows = queries.op6_sentencepiece(spark, DATA).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        text = texts[r["doc_id"]]
+        assert r["n_tokens"] == len(r["ids"]) and r["round_trip"] and r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert b"".join(vocabulary.text[i] for i in r["ids"]).decode() == " " * bool(text) + text
+        if text:
+            assert abs(score_of(r["ids"], vocabulary) - best_score(text, scores, longest)) < 1e-6
+
+
+def test_pieces_mixed_scripts_are_best(vocabulary, monkeypatch):
+    """Texts that are cut finely and ones that aren't, with little memory for words."""
+    monkeypatch.setattr(pieces, "WORDS_KEPT", 40)
+    monkeypatch.setattr(pieces, "WORDS_PASSING", 30)
+    assert vocabulary.fine
+    scores, encoder, rng = piece_scores(vocabulary), pieces.Encoder(vocabulary), random.Random(15)
+    longest = max(len(t) for t in scores if t)
+    for alphabet in ("the.,(); $$a-b_1é\n", "“a”.,’x— б日.a\u0301 😀"):
+        for _ in range(60):
+            texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 50))) for _ in range(4)]
+            for text, packed in zip(texts, encoder.ids(texts), strict=True):
+                ids = np.frombuffer(packed, "<i4").tolist()
+                assert pieces.decode_ids(ids, vocabulary) == text and abs(score_of(ids, vocabulary) - best_score(text, scores, longest)) < 1e-9, ascii(text)
+
+
+def test_pieces_coded_alone(spark, odd_docs, vocabulary):
+    """encode() and decode() by themselves give what the one pass gives; null ids decode to the empty text."""
+    docs = odd_docs.select("doc_id", "text")
+    both, apart = pieces.recode(docs, MODEL), pieces.decode(pieces.encode(docs, MODEL), MODEL)
+    assert both.columns == apart.columns and sorted(map(str, both.collect())) == sorted(map(str, apart.collect()))
+    assert all(r["decoded"] == (r["text"] or "") for r in both.collect())
+    none = spark.createDataFrame([(1, None), (2, [])], "k int, ids array<int>")
+    assert [r["decoded"] for r in pieces.decode(none, MODEL).orderBy("k").collect()] == ["", ""]
+
+
 def test_pieces_odd_rows(odd_docs, no_docs):
     out = pieces.document_pieces(odd_docs, MODEL)
     rows = out.collect()
