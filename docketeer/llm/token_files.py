@@ -41,10 +41,18 @@ FILE_OPTIONS = {
 }
 #: Words whose ids a worker process remembers for good, and words that it remembers until there are too many of them.
 WORDS_KEPT, WORDS_PASSING = 400_000, 200_000
-#: Punctuation at the end of a word after a letter is a token group of its own, as if a space stood before it.
-_ENDS = re.compile(r"(?<=[a-zß-öø-ÿ])([.,!?;:]+)(?=[ \t-\r]|$)")
-#: Words that the tokenizer takes as one group.
+#: Texts whose new words are learned together.
+TEXTS_TOGETHER = 250
+#: Latin letters (without U+0130, whose small form is two characters).
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+#: In texts of ASCII and these letters alone, groups end where letters and other characters meet, but for apostrophes.
+_OTHER = re.compile(f"[^\x00-\x7f{_LETTERS}]")
+_FINE, _AROUND = re.compile(f"[{_LETTERS}]+|[^ \t-\r{_LETTERS}]+"), re.compile(f"[^ \t-\r]*'[^ \t-\r]*|[{_LETTERS}]+|[^ \t-\r{_LETTERS}]+")
+#: Words that are one group and that no normalizer changes.
 _PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
+#: The characters by which byte-level models write bytes, by rule: printable ones stand for themselves, the others follow U+0100.
+_PRINTED = frozenset([*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)])
+_BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
 #: How a tokenizer file says that it composes, ignores case, drops white space and groups as below.
 _NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 _GROUPS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -52,11 +60,13 @@ _GROUPS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 def splits_at_space(config: dict) -> bool:
     """Whether a tokenizer's file says that a text's ids are those of its words, and that ASCII case makes no difference."""
-    normalizer, split = config.get("normalizer") or {}, ((config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    normalizer = config.get("normalizer") or {}
+    split, as_bytes = [*((config.get("pre_tokenizer") or {}).get("pretokenizers") or []), {}, {}][:2]
     return (
         normalizer.get("normalizers") == _NORMALIZERS
         and (split.get("pattern"), split.get("behavior"), split.get("invert")) == ({"Regex": _GROUPS}, "Removed", True)
         and not any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) or "<|" not in t["content"] for t in config.get("added_tokens", []))
+        and {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}.items() <= as_bytes.items()
         and not config.get("truncation") and not config.get("padding")
     )
 
@@ -90,31 +100,35 @@ class WordEncoder:
 
     def _words(self, text: str) -> list[str]:
         small = lowered(text) if "<|" not in text else None
-        if small is not None:
-            text = _ENDS.sub(r" \1", small)
+        if small is not None and (small.isascii() or not _OTHER.search(small)):
+            return (_AROUND if "'" in small else _FINE).findall(small)
+        text = text if small is None else small
         for space in "\t\n\x0b\x0c\r":
             text = text.replace(space, " ")
         return text.split(" ")
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if _PLAIN.fullmatch(w)]
-        for at in range(0, len(plain), 2000):
-            part = plain[at : at + 2000]
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            group, data = np.array(found.word_ids), np.array(found.ids, "<u4").tobytes()
-            ends = (4 * np.searchsorted(group, np.arange(len(part)), "right")).tolist()
-            for word, a, b in zip(part, [0, *ends], ends):
-                self.known[word] = data[a:b]
-        rest = list(set(words).difference(plain))
+        rest, tokenize, known = [], self.tokenizer.model.tokenize, self.known
+        for word in words:
+            if _PLAIN.fullmatch(word):  # straight to the model
+                written = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS)
+                known[word] = array("I", [token.id for token in tokenize(written)]).tobytes()
+            else:
+                rest.append(word)
         for at in range(0, len(rest), 2000):
             part = rest[at : at + 2000]
-            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[word] = array("I", found.ids).tobytes()
+            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                known[word] = array("I", found.ids).tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [array("I", found.ids).tobytes() for found in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        cut = [self._words(text) for text in texts]
+        out: list[bytes] = []
+        for at in range(0, len(texts), TEXTS_TOGETHER):
+            out += self._known_ids([self._words(text) for text in texts[at : at + TEXTS_TOGETHER]])
+        return out
+
+    def _known_ids(self, cut: list[list[str]]) -> list[bytes]:
         new = set().union(*cut).difference(self.known)
         if len(self.passing) + len(new) > WORDS_PASSING:  # words seen early are the frequent ones, and stay
             for word in self.passing:
