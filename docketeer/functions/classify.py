@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docketeer.functions import dates
+from docketeer.functions.text import blank, let
 
 OUTCOMES = ("granted", "denied", "continued", "off_calendar", "appearance_required", "other")
 
@@ -25,27 +26,31 @@ class Rules:
     conditional: str = "absent objection"
     xor: bool = False
 
-    def hit(self, text: Column, outcome: str) -> Column:
-        found = F.lower(text).rlike(self.patterns[outcome])
+    def hit(self, small: Column, outcome: str) -> Column:
+        """Whether lower-cased text has the outcome's patterns."""
+        found = small.rlike(self.patterns[outcome])
         if outcome in self.veto:
-            found = found & ~F.lower(text).rlike(self.veto[outcome])
+            found = found & ~small.rlike(self.veto[outcome])
         if self.xor and outcome in ("granted", "denied"):
-            found = found & ~F.lower(text).rlike(self.patterns["denied" if outcome == "granted" else "granted"])
+            found = found & ~small.rlike(self.patterns["denied" if outcome == "granted" else "granted"])
         return found
 
-    def outcome(self, text: Column) -> Column:
-        text = F.coalesce(text, F.lit(""))
+    def outcome_of(self, small: Column) -> Column:
+        """The outcome of text that is lower-cased and not null."""
         out = F.lit("other")
         for outcome in reversed(self.order):
-            out = F.when(self.hit(text, outcome), outcome.partition(":")[0]).otherwise(out)
+            out = F.when(self.hit(small, outcome), outcome.partition(":")[0]).otherwise(out)
         return out
 
+    def outcome(self, text: Column) -> Column:
+        return let(F.lower(blank(text)), self.outcome_of)
+
     def is_conditional(self, text: Column) -> Column:
         return F.lower(F.coalesce(text, F.lit(""))).rlike(self.conditional)
 
     def continued_to(self, text: Column) -> Column:
         text = F.coalesce(text, F.lit(""))
-        return dates.continued_to(text) if self.xor else F.when(self.hit(text, "continued"), dates.continued_to(text))
+        return dates.continued_to(text) if self.xor else F.when(self.hit(F.lower(text), "continued"), dates.continued_to(text))
 
     def sql_outcome(self, text: str) -> str:
         """The same in SQL for an engine with RE2 expressions; text: an SQL expression that isn't null."""
@@ -142,7 +147,12 @@ def rules_for(county: str) -> Rules:
 
 def classify_by_county(county: Column, text: Column) -> Column:
     """The outcome by the rules of each row's county."""
-    out = SHARED.outcome(text)
-    for name, rules in sorted(COUNTY_RULES.items()):
-        out = F.when(county == name, rules.outcome(text)).otherwise(out)
-    return out
+
+
+    def by_county(small: Column) -> Column:
+        out = SHARED.outcome_of(small)
+        for name, rules in sorted(COUNTY_RULES.items()):
+            out = F.when(county == name, rules.outcome_of(small)).otherwise(out)
+        return out
+
+    return let(F.lower(blank(text)), by_county)

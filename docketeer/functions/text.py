@@ -19,8 +19,8 @@ def blank(c: Column) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    """Every run of white space (Unicode) as one space, none at the ends; null as ''."""
-    return F.trim(F.regexp_replace(blank(c), r"(?U)\s+", " "))
+    """Every run of white space (Unicode and U+001C to U+001F) as one space, none at the ends; null as ''."""
+    return F.trim(F.regexp_replace(blank(c), r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def clean_lines(c: Column) -> Column:
@@ -35,11 +35,14 @@ def clean_lines(c: Column) -> Column:
 
 def clip(c: Column, limit: int) -> Column:
     """Collapsed text; if longer than limit, cut at the last space within it (when past the middle) and marked."""
-    text = collapse(c)
-    head = F.substring(text, 1, limit)
-    cut = F.length(head) - F.length(F.substring_index(head, " ", -1)) - 1
-    short = F.when(cut > limit // 2, F.substring(head, F.lit(1), cut)).otherwise(head)
-    return F.when(F.length(text) <= limit, text).otherwise(F.concat(F.rtrim(short), F.lit("…")))
+
+    def cut(text: Column) -> Column:
+        head = F.substring(text, 1, limit)
+        at = F.length(head) - F.length(F.substring_index(head, " ", -1)) - 1
+        short = F.when(at > limit // 2, F.substring(head, F.lit(1), at)).otherwise(head)
+        return F.when(F.length(text) <= limit, text).otherwise(F.concat(F.rtrim(short), F.lit("…")))
+
+    return let(collapse(c), cut)
 
 
 def first_filled(*columns: Column) -> Column:

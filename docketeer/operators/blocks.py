@@ -10,18 +10,51 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from docketeer.functions.text import let
+
 PAGE_BREAK = "\n\n"
 
 
+#: Numbers that are summed one after the other; the sums of such chunks are summed in turn.
+CHUNK = 256
+
+
+def starts_of(lengths: Column) -> Column:
+    """Where each of consecutive pieces starts (from 0), by their lengths: sums of all lengths before, inside the row.
+
+    Arrays are copied as they grow, so they grow by chunks: a row of n pieces costs n * CHUNK + (n / CHUNK) ** 2 copies.
+    """
+    zero = F.array(F.lit(0))
+    grow = lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))
+    size = F.size(lengths)
+    firsts = F.when(size > 0, F.sequence(F.lit(1), F.greatest(size, F.lit(1)), F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+    chunks = F.transform(firsts, lambda at: F.aggregate(F.slice(lengths, at, F.lit(CHUNK)), zero, grow))  # each ends with its sum
+    return let(
+        chunks,
+        lambda parts: let(
+            F.aggregate(parts, zero, lambda acc, part: grow(acc, F.element_at(part, -1))),
+            lambda bases: F.flatten(F.transform(parts, lambda part, k: F.transform(F.slice(part, F.lit(1), F.size(part) - 1), lambda x: x + F.get(bases, k)))),
+        ),
+    )
+
+
+def lines_with_starts(text: Column) -> Column:
+    """The text's lines as an array of (i, start, line)."""
+    return let(
+        F.split(F.coalesce(text, F.lit("")), "\n"),
+        lambda lines: F.zip_with(
+            F.transform(lines, lambda line, i: F.struct(i.alias("i"), line.alias("line"))),
+            starts_of(F.transform(lines, lambda line: F.length(line) + 1)),
+            lambda x, start: F.struct(x["i"].alias("i"), start.alias("start"), x["line"].alias("line")),
+        ),
+    )
+
+
 def joined_pages(pages: Column) -> Column:
     """The text of all pages, and where each page starts in it."""
     text = F.array_join(F.transform(pages, lambda p: F.coalesce(p, F.lit(""))), PAGE_BREAK)
-    starts = F.aggregate(
-        F.transform(pages, lambda p: F.length(F.coalesce(p, F.lit("")))),
-        F.array(F.lit(0)),
-        lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n + len(PAGE_BREAK))),
-    )
-    return F.struct(text.alias("text"), F.slice(starts, F.lit(1), F.greatest(F.size(pages), F.lit(1))).alias("starts"))
+    starts = starts_of(F.transform(pages, lambda p: F.length(F.coalesce(p, F.lit(""))) + len(PAGE_BREAK)))
+    return F.struct(text.alias("text"), F.when(F.size(pages) > 0, starts).otherwise(F.array(F.lit(0))).alias("starts"))
 
 
 def page_for_offset(starts: Column, offset: Column) -> Column:
@@ -31,13 +64,42 @@ def page_for_offset(starts: Column, offset: Column) -> Column:
 
 def split_at(docs: DataFrame, anchor: str, keep: list[str], text: str = "text") -> DataFrame:
     """Blocks that start at each match of anchor at a line start and run to the next one or the end: keep columns,
-    position (from 1), start (code points, from 0) and block.  Text before the first anchor has no row."""
-    lead = rf"(?m)(?=^(?:{anchor}))"
-    parts = docs.select(*keep, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), lead)).alias("i", "block"))
-    before = Window.partitionBy(*keep).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    placed = parts.withColumn("start", F.coalesce(F.sum(F.length("block")).over(before), F.lit(0)))
-    blocks = placed.where(F.col("block").rlike(rf"(?m)\A(?:{anchor})"))
-    return blocks.withColumn("position", F.row_number().over(Window.partitionBy(*keep).orderBy("i"))).select(*keep, "position", "start", "block")
+    position (from 1), start (code points, from 0) and block.  Text before the first anchor has no row.  Nothing moves:
+    each row's blocks and their places come from the row itself."""
+    parts = F.split(F.coalesce(F.col(text), F.lit("")), rf"(?m)(?=^(?:{anchor}))")
+    placed = let(parts, lambda p: F.zip_with(p, starts_of(F.transform(p, lambda b: F.length(b))), lambda block, start: F.struct(start.cast("long").alias("start"), block.alias("block"))))
+    opening = F.filter(placed, lambda x: x["block"].rlike(rf"(?m)\A(?:{anchor})"))
+    found = docs.select(*keep, F.posexplode(opening).alias("__i", "__b"))
+    return found.select(*keep, (F.col("__i") + 1).alias("position"), "__b.start", "__b.block")
+
+
+#: Phrases that are looked for in each text one by one; more are looked up by their beginnings.
+FEW_PHRASES = 500
+
+
+def holding_any(docs: DataFrame, phrases: DataFrame, key: str, text: str, head: int = 8) -> DataFrame:
+    """docs plus holds: whether the text has one of the phrases (column phrase; empty ones don't count).
+
+    Up to FEW_PHRASES distinct phrases are sent along as one row, and texts stay where they are.  More are joined by
+    their first `head` characters with the places of the texts that begin so; only ids and stretches as long as the
+    longest phrase move, never whole texts.
+    """
+    wanted = phrases.where("phrase <> ''").select("phrase").distinct()
+    few = wanted.limit(FEW_PHRASES + 1).count() <= FEW_PHRASES
+    if few:
+        one = wanted.agg(F.collect_list("phrase").alias("__phrases"))
+        return docs.join(F.broadcast(one)).withColumn("holds", F.exists("__phrases", lambda p: F.coalesce(F.contains(F.col(text), p), F.lit(False)))).drop("__phrases")
+    heads = wanted.select("phrase", F.substring("phrase", 1, head).alias("__head"))
+    longest = wanted.agg(F.max(F.length("phrase")).alias("__longest"))
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+    stretches = docs.join(F.broadcast(longest)).select(key, F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(text), i, F.col("__longest"))))).alias("__stretch"))
+    sized = heads.select("phrase", "__head", F.length("__head").alias("__size"))
+    hits = None
+    for size in sorted(r[0] for r in sized.select("__size").distinct().collect()):  # at most `head` numbers
+        part = stretches.withColumn("__head", F.substring("__stretch", 1, size)).join(sized.where(F.col("__size") == size), "__head").where(F.startswith("__stretch", "phrase")).select(key)
+        hits = part if hits is None else hits.union(part)
+    found = hits.distinct().withColumn("holds", F.lit(True))
+    return docs.join(found, key, "left").withColumn("holds", F.coalesce("holds", F.lit(False)))
 
 
 def boundaries(rows: DataFrame, doc: str, start: str, length: str) -> DataFrame:

@@ -21,10 +21,12 @@ def ever_replaced(rows: DataFrame, url: str, version: str) -> DataFrame:
     return per.where("versions > 1")
 
 
-def pages_final(rows: DataFrame, group: str, url: str, version: str, ts: str, now: Column, days: int = 14) -> DataFrame:
-    """Whether no address of the group ever had two versions and its oldest capture is old enough."""
+def pages_final(rows: DataFrame, group: str, url: str, version: str, ts: str, days: int = 14) -> DataFrame:
+    """Whether no address of the group ever had two versions and its oldest capture is days older than the log's newest."""
     per = rows.where(F.col(ts).isNotNull()).groupBy(group, url).agg(F.min(version).alias("a"), F.max(version).alias("b"), F.min(ts).alias("oldest"))
-    return per.groupBy(group).agg((F.bool_and(F.col("a").eqNullSafe(F.col("b"))) & (F.min("oldest") <= now - F.make_dt_interval(F.lit(days)))).alias("final"))
+    seen = per.groupBy(group).agg(F.bool_and(F.col("a").eqNullSafe(F.col("b"))).alias("__same"), F.min("oldest").alias("__oldest"))
+    now = rows.agg(F.max(ts).alias("__now"))  # one row
+    return seen.join(F.broadcast(now)).select(group, (F.col("__same") & (F.col("__oldest") <= F.col("__now") - F.make_dt_interval(F.lit(days)))).alias("final"))
 
 
 def changes(rows: DataFrame, url: str, version: str, *order: str) -> DataFrame:

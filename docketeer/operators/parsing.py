@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from docketeer.functions import classify, dates, ids
 from docketeer.functions.text import blank, clean_lines, collapse, first_filled
 from docketeer.operators import blocks
+from docketeer.sources.shared import written
 
 
 @dataclass(frozen=True)
@@ -158,10 +159,12 @@ def collapse_or_null(c: Column) -> Column:
 
 
 def extract_all(docs: DataFrame) -> DataFrame:
-    """Rulings of documents of many counties (column county)."""
+    """Rulings of documents of many counties (column county).  They are written once in folders of counties, so that each
+    county's plan reads its own documents alone."""
+    parted = written(docs.where(F.col("county").isin(*SPECS)), "documents", "county")
     out = None
     for name, spec in sorted(SPECS.items()):
-        rows = extract(docs.where(F.col("county") == name), spec)
+        rows = extract(parted.where(F.col("county") == name), spec)
         out = rows if out is None else out.unionByName(rows)
     return out
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketeer.functions.text import blank
+from docketeer.sources.shared import written
 
 SEARCH_FIELDS = ("case_number", "case_title", "motion_type", "judge", "outcome", "outcome_text", "body_text")
 SORT_COLUMNS = ("county", "hearing_date", "dept", "judge", "case_number", "case_title", "motion_type", "outcome")
@@ -148,13 +149,35 @@ def case_history(rows: DataFrame, case_column: str = "case_number") -> DataFrame
 
 
 def version_chain(rows: DataFrame, ident: str, previous: str, depth: int = 32) -> DataFrame:
-    """(ident, ancestor, distance): previous versions of each row, cycles cut at depth; one join a step, ended early."""
-    links = rows.where(F.col(previous).isNotNull()).select(F.col(ident).alias("__from"), F.col(previous).alias("__to"))
-    links.createOrReplaceTempView("__version_links")
-    return rows.sparkSession.sql(
-        f"""WITH RECURSIVE chain AS (
-  SELECT __from AS {ident}, __to AS ancestor, 1 AS distance FROM __version_links
-  UNION ALL
-  SELECT c.{ident}, l.__to, c.distance + 1 FROM chain c JOIN __version_links l ON l.__from = c.ancestor
-  WHERE c.distance < {depth} AND l.__to <> c.{ident}) SELECT * FROM chain"""
-    )
+    """(ident, ancestor, distance): the previous versions of each row up to depth, each once; a cycle ends where it
+    comes back to a row.  A round joins what is known with steps of twice the last length, so that there are
+    log2(depth) rounds, each written."""
+    step = rows.where(F.col(previous).isNotNull() & (F.col(previous) != F.col(ident))).select(F.col(ident).alias("id"), F.col(previous).alias("to"), F.lit(1).alias("d"))
+    known, length = written(step, "versions"), 1
+    step = known
+    while length < depth and not step.isEmpty():
+        onward = step.select(F.col("id").alias("__via"), F.col("to").alias("__to"), F.col("d").alias("__d"))
+        joined = lambda left: left.join(onward, F.col("to") == F.col("__via")).where(F.col("id") != F.col("__to")).select("id", F.col("__to").alias("to"), (F.col("d") + F.col("__d")).alias("d"))
+        longer = known.union(joined(known)).where(F.col("d") <= depth).groupBy("id", "to").agg(F.min("d").alias("d"))
+        known, step, length = written(longer, "versions"), written(joined(step), "versions"), 2 * length
+    return known.select(F.col("id").alias(ident), F.col("to").alias("ancestor"), F.col("d").alias("distance"))
+
+
+def version_depths(rows: DataFrame, ident: str, previous: str) -> DataFrame:
+    """(ident, root, n_versions) of each row with a previous version: its oldest version and how many lie before it;
+    null for rows whose versions go in a cycle.
+
+    Pointer doubling: each round a row takes over what its furthest known ancestor knows, so that a chain of n rows
+    takes log2(n) rounds, whatever its length; a row is one row in every round, never a pair with each ancestor.
+    """
+    links = rows.where(F.col(previous).isNotNull()).select(F.col(ident).alias("id"), F.col(previous).alias("at"))
+    state = written(links.groupBy("id").agg(F.min("at").alias("at")).select("id", "at", F.lit(1).cast("long").alias("n"), F.lit(True).alias("open")), "versions")
+    for _ in range(max(1, state.count()).bit_length() + 1):
+        if state.where("open").isEmpty():
+            break
+        ahead = state.select(F.col("id").alias("__id"), F.col("at").alias("__at"), F.col("n").alias("__n"), F.col("open").alias("__open"))
+        further = state.where("open").join(ahead, F.col("at") == F.col("__id"), "left")
+        moved = further.select("id", F.coalesce("__at", "at").alias("at"), (F.col("n") + F.coalesce("__n", F.lit(0))).alias("n"), F.coalesce("__open", F.lit(False)).alias("open"))
+        state = written(state.where("not open").union(moved), "versions")
+    ended = lambda c: F.when(~F.col("open"), F.col(c))
+    return state.select(F.col("id").alias(ident), ended("at").alias("root"), ended("n").alias("n_versions"))

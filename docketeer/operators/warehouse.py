@@ -8,12 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketeer.functions.text import blank, clip, first_filled
+from docketeer.sources import files
 
+# The index's columns in their order, and the limits of its labels and excerpts.
 SUMMARY_COLUMNS = (
-    "ruling_id", "county", "division", "dept", "hearing_date", "ruling_index", "case_number", "case_title", "motion_type", "outcome", "conditional", "continued_to",
-    "page_start", "page_end", "source_url", "ingest_ts", "judge", "judge_name", "previous_version_id",
-)
-TITLE_LIMIT, MOTION_LIMIT, OUTCOME_EXCERPT, OPENING_EXCERPT = 512, 256, 300, 600
+    "ruling_id", "county", "division", "dept", "judge", "judge_name",
+    "hearing_date", "ruling_index", "case_number", "case_title", "motion_type",
+    "outcome", "conditional", "continued_to", "page_start", "page_end",
+    "source_url", "ingest_ts", "status", "previous_version_id",
+)
+TITLE_LIMIT, MOTION_LIMIT, OUTCOME_EXCERPT, OPENING_EXCERPT = 512, 256, 600, 300
 PENDING = r"(?is)calendar\s+notes\s+are\s+not\s+yet\s+available.*check\s+back\s+for\s+updated\s+notes"
 SHARD_LIMIT, SHARD_SHARE = 90 * 1024 * 1024, 0.8
 
@@ -39,7 +43,7 @@ def summary(rulings: DataFrame) -> DataFrame:
     shown = F.col("status") == "published"
     outcome = F.when(shown, F.nullif(clip(text["outcome_text"], OUTCOME_EXCERPT), F.lit("")))
     opening = F.when(shown, F.nullif(clip(first_filled(text["body_text"], text["full_text"]), OPENING_EXCERPT), F.lit("")))
-    return base.select(*(c for c in SUMMARY_COLUMNS if c in have), "status", outcome.alias("outcome_text"), opening.alias("body_text"))
+    return base.select(*(c for c in SUMMARY_COLUMNS if c in have or c == "status"), outcome.alias("outcome_text"), opening.alias("body_text"))
 
 
 def details(rulings: DataFrame) -> DataFrame:
@@ -62,11 +66,20 @@ def merged(existing: DataFrame, new: DataFrame) -> DataFrame:
 def write_sharded(df: DataFrame, path: str, order: list[str], sample_bytes_per_row: float, limit: int = SHARD_LIMIT) -> None:
     """Ordered Parquet files of at most limit bytes, by the bytes a row that an earlier write or a sample showed.
 
-    Files are written aside and renamed into place by Spark's committer when all are complete.
+    They are written beside the old table, measured, written again with fewer rows where one is over the limit (a
+    single row may be), and renamed into its place when whole: the old table stays until then.
     """
-    rows = max(1, int(limit * SHARD_SHARE / max(1.0, sample_bytes_per_row)))
+    spark = df.sparkSession
+    files.recover(spark, path)
+    rows, aside = max(1, int(limit * SHARD_SHARE / max(1.0, sample_bytes_per_row))), files.beside(path, "new")
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", "9").option("maxRecordsPerFile", rows).parquet(path)
+    while True:
+        ordered.write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", "9").option("maxRecordsPerFile", rows).parquet(aside)
+        largest = max(files.sizes(spark, aside, ".parquet").values(), default=0)
+        if largest <= limit or rows == 1:
+            break
+        rows = max(1, min(rows // 2, int(rows * SHARD_SHARE * limit / largest)))
+    files.put_in_place(spark, aside, path)
 
 
 def bytes_per_row(spark: SparkSession, path: str) -> float:
@@ -79,10 +92,10 @@ def shards_needed(total_bytes: float, limit: int = SHARD_LIMIT) -> int:
     return max(1, math.ceil(total_bytes / (limit * SHARD_SHARE)))
 
 
-def dataset_digest(files: DataFrame) -> DataFrame:
-    """files (name, sha256) to one digest: the hash itself for one file, else that of the sorted lines."""
+def dataset_digest(listed: DataFrame) -> DataFrame:
+    """listed files (name, sha256) to one digest: the hash itself for one file, else that of the sorted lines."""
     lines = F.array_sort(F.collect_list(F.concat("name", F.lit(" "), "sha256", F.lit("\n"))))
-    return files.agg(F.when(F.count("*") == 1, F.min("sha256")).otherwise(F.sha2(F.array_join(lines, ""), 256)).alias("digest"))
+    return listed.agg(F.when(F.count("*") == 1, F.min("sha256")).otherwise(F.sha2(F.array_join(lines, ""), 256)).alias("digest"))
 
 
 def stale_outputs(manifest: DataFrame, outputs: DataFrame) -> DataFrame:

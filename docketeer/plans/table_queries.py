@@ -69,9 +69,15 @@ def layout_fingerprint(t: Tables) -> DataFrame:
     return t.pages.groupBy(F.sha2(F.array_join(html.layout(F.col("html"))["paths"], "\n"), 256).alias("layout")).agg(F.count("*").alias("n_pages"))
 
 
-@query("SELECT page_id, length(regexp_replace(coalesce(html, ''), '[^<]', '', 'g'))::BIGINT AS tags FROM pages WHERE false")
+@query(r"""SELECT page_id, (length(coalesce(html, '')) - length(replace(coalesce(html, ''), '<', '')))::BIGINT AS tags,
+ length(replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?s)<(script|style)\b.*?</(script|style)>', '', 'g'), '<[^>]*>', '', 'g'), ' ', ''))::BIGINT AS chars,
+ chars < 40 AS empty FROM pages""")
 def empty_pages(t: Tables) -> DataFrame:
-    return t.pages.where(F.lit(False)).select("page_id", F.length("html").cast("long").alias("tags"))
+    """Each page's tags and characters outside of tags, and whether these are too few for a page with text."""
+    markup = F.coalesce("html", F.lit(""))
+    shown = F.regexp_replace(F.regexp_replace(markup, r"(?s)<(script|style)\b.*?</(script|style)>", ""), "<[^>]*>", "")
+    counted = t.pages.select("page_id", (F.length(markup) - F.length(F.replace(markup, F.lit("<"), F.lit("")))).cast("long").alias("tags"), F.length(F.replace(shown, F.lit(" "), F.lit(""))).cast("long").alias("chars"))
+    return counted.withColumn("empty", F.col("chars") < 40)
 
 
 @query()
@@ -81,17 +87,16 @@ def html_to_text(t: Tables) -> DataFrame:
 
 _CHAIN = """WITH RECURSIVE chain AS (
   SELECT conv_id, turn, turn - 1 AS ancestor, 1 AS distance FROM conversations WHERE turn > 0
-  UNION ALL SELECT conv_id, turn, ancestor - 1, distance + 1 FROM chain WHERE ancestor > 0 AND distance < 64)"""
+  UNION ALL SELECT conv_id, turn, ancestor - 1, distance + 1 FROM chain WHERE ancestor > 0)"""
 
 
-@query(_CHAIN + " SELECT conv_id, turn, max(distance)::INTEGER AS n_versions FROM chain GROUP BY conv_id, turn")
+@query(_CHAIN + " SELECT conv_id, turn, max(distance)::BIGINT AS n_versions FROM chain GROUP BY conv_id, turn")
 def version_chain(t: Tables) -> DataFrame:
     """Turns as versions of one another: how many each one has before it."""
     ident = lambda turn: F.concat(F.col("conv_id").cast("string"), F.lit(":"), turn.cast("string"))
     rows = t.conversations.select(ident(F.col("turn")).alias("id"), F.when(F.col("turn") > 0, ident(F.col("turn") - 1)).alias("previous"))
-    chain = view.version_chain(rows, "id", "previous", 64)
     parts = F.split("id", ":")
-    return chain.groupBy("id").agg(F.max("distance").alias("n_versions")).select(F.element_at(parts, 1).cast("long").alias("conv_id"), F.element_at(parts, 2).cast("long").alias("turn"), "n_versions")
+    return view.version_depths(rows, "id", "previous").select(F.element_at(parts, 1).cast("long").alias("conv_id"), F.element_at(parts, 2).cast("long").alias("turn"), "n_versions")
 
 
 @query("SELECT conv_id, turn FROM conversations c WHERE NOT EXISTS (SELECT 1 FROM conversations d WHERE d.conv_id = c.conv_id AND d.turn = c.turn + 1)")
@@ -151,12 +156,12 @@ _DEPT = "CASE p_partkey % 4 WHEN 0 THEN p_size::VARCHAR WHEN 1 THEN '' WHEN 2 TH
 
 
 @query(f"""SELECT p_partkey AS ruling_id, d AS dept FROM (SELECT p_partkey, {_DEPT} AS d FROM part)
-ORDER BY CASE WHEN trim(d) = '' THEN 0 WHEN TRY_CAST(d AS DOUBLE) IS NULL THEN 1 ELSE 0 END, CASE WHEN trim(d) = '' THEN 0.0 ELSE TRY_CAST(d AS DOUBLE) END, d, p_partkey LIMIT 200""")
+ORDER BY CASE WHEN trim(d) = '' THEN 0 WHEN TRY_CAST(d AS DOUBLE) IS NULL THEN 1 ELSE 0 END, CASE WHEN trim(d) = '' THEN 0.0 ELSE TRY_CAST(d AS DOUBLE) END, d, p_partkey""")
 def dept_numeric_sort_key(t: Tables) -> DataFrame:
     kind = F.col("p_partkey") % 4
     dept = F.when(kind == 0, F.col("p_size").cast("string")).when(kind == 1, "").when(kind == 2, F.col("p_brand")).otherwise(F.concat(F.col("p_size").cast("string"), F.lit(".5")))
     rows = t.part.select(F.col("p_partkey").alias("ruling_id"), dept.alias("dept"))
-    return rows.orderBy(*view.sort_keys("dept", "asc", ["ruling_id"])).limit(200)
+    return rows.orderBy(*view.sort_keys("dept", "asc", ["ruling_id"]))
 
 
 @query("""SELECT o_orderkey AS ruling_id, o_custkey::VARCHAR AS case_number, count(*) OVER (PARTITION BY o_custkey) AS n_history FROM orders JOIN customer ON o_custkey = c_custkey""")

@@ -1,23 +1,37 @@
 """Newline-delimited JSON logs.
 
-Log order is file, then line.  Spark numbers rows by partition and place in it, which is that order for the files of
-one scan; `line_no` carries it.
+Log order is batch, file, line.  Spark deals files out by size, so that its own row numbers don't give that order;
+`line_no` carries it as (batch, file, block, row): the number of the append (0 for a file that no append wrote), the
+file's path, where its block starts in it, and the row's place among those of the block.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
 
+from docketeer.sources import files
+
 CORRUPT = "_corrupt"
+#: The folders that appends write, in order.
+_BATCH = "batch-{:012d}"
 
 
 def _parsed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """line_no, the line as it is, and what it says (_corrupt is null if it parses)."""
     wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), "value").where(F.trim("value") != "")
+    place = F.struct(
+        F.coalesce(F.nullif(F.regexp_extract("_metadata.file_path", "/batch-([0-9]{12})/[^/]*$", 1), F.lit("")).cast("long"), F.lit(0)).alias("batch"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    whole = spark.read.option("recursiveFileLookup", "true").text(path)
+    lines = whole.select(place.alias("line_no"), "value").where(F.trim("value") != "")
     return lines.withColumn("row", F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
 
 
@@ -55,8 +69,10 @@ def limit_by(rows: DataFrame, n: int, *keys: str, order: str = "line_no") -> Dat
 
 
 def append_log(rows: DataFrame, path: str) -> None:
-    """Append rows as JSON lines, columns in order of name."""
-    rows.select(sorted(rows.columns)).write.mode("append").json(path)
+    """Append rows as JSON lines, columns in order of name, after all lines that are there.  One writer at a time."""
+    spark = rows.sparkSession
+    last = max((int(name[6:]) for name in files.folders(spark, path) if re.fullmatch("batch-[0-9]{12}", name)), default=0)
+    rows.select(sorted(rows.columns)).write.json(f"{path.rstrip('/')}/{_BATCH.format(last + 1)}")
 
 
 def merge_logs(base: DataFrame, upstream: DataFrame, local: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -22,3 +22,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str, *partitions: str, **options) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: lineage ends there, and losing executors costs nothing."""
+    spark = df.sparkSession
+    path = shared_path(spark, label)
+    df.write.options(**options).partitionBy(*partitions).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
+
+from docketeer.sources import files
 
 
 def append_new(batch: DataFrame, target: str, key: str) -> None:
-    """Append the batch's first row of each key that target lacks."""
+    """Append one row of each key of the batch that target lacks.  A target that can't be read ends the batch.
+
+    Of the target only the keys that the batch has are kept: where the batch is small Spark sends its keys to the
+    target's scan, and the target isn't moved.
+    """
     rows = batch.dropDuplicates([key])
-    try:
-        known = batch.sparkSession.read.parquet(target).select(key)
-    except AnalysisException:  # nothing written yet
-        known = None
-    (rows if known is None else rows.join(known, key, "left_anti")).write.mode("append").parquet(target)
+    if files.exists(batch.sparkSession, target):
+        known = batch.sparkSession.read.parquet(target).select(key).join(rows.select(key), key, "left_semi")
+        rows = rows.join(known, key, "left_anti")
+    rows.write.mode("append").parquet(target)
 
 
 def ingest(spark: SparkSession, source: str, schema: StructType, target: str, key: str, checkpoint: str, glob: str = "*.parquet", per_batch: int = 1000) -> StreamingQuery:

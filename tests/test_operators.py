@@ -25,6 +25,26 @@ def test_log_reading(spark, tmp_path):
     assert bad["lines"] == 2 and bad["samples"] == ["{bad", "also bad"]
 
 
+def test_appended_logs_keep_their_order(spark, tmp_path):
+    """The last append wins, whatever the files' sizes, also over a file that no append wrote; parts keep their rows' order."""
+    path = str(tmp_path / "log")
+    schema = schemas.struct("k string, v string")
+    make = lambda rows: spark.createDataFrame(rows, "k string, v string")
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "captures.ndjson").write_text(json.dumps({"k": "a", "v": "first"}) + "\n")
+    logs.append_log(make([("a", "old")] + [("z", "x" * 50)] * 5000).coalesce(1), path)
+    logs.append_log(make([("a", "new"), ("b", "one")]).repartition(2), path)
+    logs.append_log(make([("a", "newest")]), path)
+    log = logs.read_log(spark, path, schema)
+    assert log.count() == 5005
+    assert rows(logs.last_by(log, "k").where("k <> 'z'").select("k", "v")) == [("a", "newest"), ("b", "one")]
+    assert rows(logs.first_by(log, "k").where("k = 'a'").select("v")) == [("first",)]
+    assert [r["v"] for r in log.where("k = 'a'").orderBy("line_no").collect()] == ["first", "old", "new", "newest"]
+    logs.append_log(spark.range(0, 4000, 1, 4).select(F.lit("n").alias("k"), F.col("id").cast("string").alias("v")), path)
+    last = logs.read_log(spark, path, schema).where("k = 'n'").orderBy("line_no")
+    assert [r["v"] for r in last.collect()] == [str(i) for i in range(4000)]
+
+
 def test_log_merge_keeps_repeats(spark):
     make = lambda values: spark.createDataFrame([(v,) for v in values], "line string")
     merged = logs.merge_logs(make("aab"), make("aabx"), make("abx"))
@@ -129,6 +149,15 @@ def test_summary_hides_text(spark):
     assert out["2"]["status"] == "pending" and out["2"]["body_text"] is None
 
 
+def test_summary_limits(spark):
+    """600 characters of the disposition, 300 of the opening; columns in the index's order."""
+    data = spark.createDataFrame([("1", "published", "word " * 400, "body " * 400, "x", "j")], "ruling_id string, status string, outcome_text string, body_text string, county string, judge string")
+    out = warehouse.summary(data)
+    assert out.columns == ["ruling_id", "county", "judge", "status", "outcome_text", "body_text"]
+    row = out.first()
+    assert 590 < len(row["outcome_text"]) <= 601 and 290 < len(row["body_text"]) <= 301
+
+
 def test_details_conflict(spark):
     columns = "ruling_id string, county string, case_title string, motion_type string, outcome_text string, body_text string, full_text string"
     same = spark.createDataFrame([("1", "x", "t", "m", "o", "b", "f")] * 2, columns)
@@ -156,6 +185,50 @@ def test_sharded_write(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_sharded_write_keeps_the_old_table(spark, tmp_path):
+    """A write that fails leaves the old table; one that was cut off between the renames is brought back."""
+    import os
+
+    from docketeer.sources import files
+
+    path = str(tmp_path / "t")
+    warehouse.write_sharded(spark.range(100), path, ["id"], 8.0)
+    broken = spark.range(10).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        warehouse.write_sharded(broken, path, ["id"], 8.0)
+    assert spark.read.parquet(path).count() == 100
+    os.rename(path, f"{path}.old")
+    files.recover(spark, path)
+    assert spark.read.parquet(path).count() == 100
+    noise = spark.range(3000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("x"))
+    warehouse.write_sharded(noise, path, ["id"], 1.0, limit=60_000)  # a wrong guess of the size is made good
+    assert all(size <= 60_000 for size in files.sizes(spark, path, ".parquet").values()) and spark.read.parquet(path).count() == 3000
+
+
+def test_starts_over_chunks(spark):
+    for n in (0, 1, 2, 255, 256, 257, 1000):
+        lengths = [(i * 7) % 11 for i in range(n)]
+        found = spark.createDataFrame([(lengths,)], "x array<int>").select(blocks.starts_of(F.col("x"))).first()[0]
+        assert found == [sum(lengths[:i]) for i in range(n)]
+
+
+def test_holding_any(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "say alphabet soup now"), (2, "nothing"), (3, None), (4, "ab"), (5, "alphabet so")], "id int, text string")
+    phrases = spark.createDataFrame([("alphabet soup",), ("ab",), ("",)], "phrase string")
+    few = rows(blocks.holding_any(docs, phrases, "id", "text").select("id", "holds"))
+    monkeypatch.setattr(blocks, "FEW_PHRASES", 0)
+    assert rows(blocks.holding_any(docs, phrases, "id", "text").select("id", "holds")) == few == [(1, True), (2, False), (3, False), (4, True), (5, True)]
+
+
+def test_version_depths(spark):
+    links = [(f"v{i}", f"v{i - 1}") for i in range(1, 300)] + [("x", "y"), ("y", "z"), ("z", "x"), ("w", "x"), ("lone", None), ("v0", None)]
+    found = {r["id"]: (r["root"], r["n_versions"]) for r in view.version_depths(spark.createDataFrame(links, "id string, prev string"), "id", "prev").collect()}
+    assert all(found[f"v{i}"] == ("v0", i) for i in range(1, 300)) and len(found) == 303
+    assert all(found[k] == (None, None) for k in "xyzw")
+    pairs = rows(view.version_chain(spark.createDataFrame(links[:40] + links[299:], "id string, prev string"), "id", "prev", 32))
+    assert ("v40", "v8", 32) in pairs and ("v40", "v7", 33) not in pairs and len([p for p in pairs if p[0] == "x"]) == 2 and len([p for p in pairs if p[0] == "w"]) == 3
+
+
 def test_digest_and_stale(spark):
     one = spark.createDataFrame([("a", "h1")], "name string, sha256 string")
     two = one.union(spark.createDataFrame([("b", "h2")], "name string, sha256 string"))

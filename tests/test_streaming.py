@@ -65,3 +65,21 @@ def test_steps():
 def test_windows_plan(spark):
     stream = spark.readStream.schema("address string, ts timestamp").parquet(f"{DATA}")
     assert windows.flood_guard(stream).isStreaming and windows.session_cap(stream).isStreaming
+
+
+def test_ingest_fails_closed(spark, tmp_path):
+    """A target that is there but can't be read isn't taken for an empty one."""
+    import pytest
+
+    from docketeer.streaming import ingest
+
+    target = tmp_path / "target"
+    ingest.append_new(spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k long, v string"), str(target), "k")
+    ingest.append_new(spark.createDataFrame([(2, "b"), (3, "c")], "k long, v string"), str(target), "k")
+    assert sorted(map(tuple, spark.read.parquet(str(target)).collect())) == [(1, "a"), (2, "b"), (3, "c")]
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_text("not a parquet file")
+    with pytest.raises(Exception):  # noqa: B017  whatever Spark raises for a file that it can't read
+        ingest.append_new(spark.createDataFrame([(1, "a")], "k long, v string"), str(bad), "k")
+    assert sorted(p.name for p in bad.iterdir()) == ["part-0.parquet"]
