@@ -7,7 +7,8 @@ Supported: both byte orders, strips and tiles, 8- and 16-bit samples, chunky sam
 deflate (8, 32946) and PackBits (32773), predictors none (1) and horizontal (2).
 
 Defined results: a null or empty binary has no pages; a file that can't be read gives one row with page -1 and the
-reason in `error`; a page that can't be decoded gives its row with null samples and the reason.
+reason in `error`; a page that can't be decoded gives its row with null samples and the reason; rows with equal or null
+doc_id are stored each for itself.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from docketeer.llm.common import map_text, slices
 
 NONE, LZW, DEFLATE, PACKBITS = 1, 5, 8, 32773
 WIDTH, STRIP_ROWS, PAGE_ROWS, TILE = 192, 64, 4096, 64
-#: Payloads up to this many bytes are stored as LZW with a horizontal predictor.
-SMALL = 576
+#: Compression and predictor of a document's file: one of these by the payload's checksum, so that each meets payloads of
+#: every size and kind.
+KINDS = ((LZW, 2), (DEFLATE, 1), (LZW, 1), (DEFLATE, 2), (PACKBITS, 1))
 
 
 # --- codecs ---------------------------------------------------------------------------------------------------------
@@ -75,61 +77,90 @@ def packbits_decode(data: bytes) -> bytes:
     return b"".join(out)
 
 
+#: TIFF's LZW: most significant bit first; a clear code before the table is full; widths are raised one code early, so
+#: that the n-th code after a clear code (from 0) has the bits of the number 258 + n, at most 12.
+CLEAR, END, FIRST_FREE, LAST_FREE = 256, 257, 258, 4094
+
+
+def _code_places(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Widths of the first n codes after a clear code, and the bit at which each starts."""
+    widths = np.minimum(12, np.frexp(np.arange(FIRST_FREE, FIRST_FREE + n, dtype=float))[1])
+    return widths, np.cumsum(widths) - widths
+
+
+def _written_bits(codes: list[int], widths: np.ndarray) -> np.ndarray:
+    bits = np.unpackbits(np.array(codes, ">u2").view(np.uint8)).reshape(-1, 16)
+    return bits[np.arange(16) >= 16 - widths[:, None]]
+
+
 def lzw_encode(data: bytes) -> bytes:
-    """TIFF's LZW: most significant bit first, 9 to 12 bits, code width raised one code early."""
-    codes: list[tuple[int, int]] = [(256, 9)]
-    table = {bytes([i]): i for i in range(256)}
-    free, width, held = 258, 9, b""
+    """Codes are looked up by (code before, byte), so that no prefix is ever copied."""
+    parts, codes, table, free, held = [_written_bits([CLEAR], np.array([9]))], [], {}, FIRST_FREE, -1
+    known, emit = table.get, codes.append
     for value in data:
-        longer = held + bytes([value])
-        if longer in table:
-            held = longer
+        if held < 0:
+            held = value
             continue
-        codes.append((table[held], width))
-        table[longer] = free
+        key = held << 8 | value
+        code = known(key)
+        if code is not None:
+            held = code
+            continue
+        emit(held)
+        table[key] = free
         free += 1
-        if free == 4094:
-            codes.append((256, width))
-            table = {bytes([i]): i for i in range(256)}
-            free, width = 258, 9
-        elif free > (1 << width) - 1:
-            width += 1
-        held = bytes([value])
-    if held:
-        codes.append((table[held], width))
-        if free >= (1 << width) - 1 and width < 12:
-            width += 1
-    codes.append((257, width))
-    bits = "".join(format(code, f"0{w}b") for code, w in codes)
-    bits += "0" * (-len(bits) % 8)
-    return int(bits, 2).to_bytes(len(bits) // 8, "big")
+        held = value
+        if free == LAST_FREE:
+            emit(CLEAR)
+            parts.append(_written_bits(codes, _code_places(len(codes))[0]))
+            codes.clear()
+            table.clear()
+            free = FIRST_FREE
+    if held >= 0:
+        emit(held)
+    emit(END)
+    parts.append(_written_bits(codes, _code_places(len(codes))[0]))
+    return np.packbits(np.concatenate(parts)).tobytes()
+
+
+def _lzw_runs(data: bytes) -> Iterator[list[int]]:
+    """The codes between clear codes, up to the end code or the end of the data."""
+    raw = np.frombuffer(data + b"\0\0\0\0", np.uint8).astype(np.int64)
+    at, size = 0, 8 * len(data)
+    while at + 9 <= size:
+        widths, places = _code_places((size - at) // 9)
+        places = places + at
+        inside = int(np.searchsorted(places + widths, size, "right"))
+        widths, places = widths[:inside], places[:inside]
+        byte = places >> 3
+        word = raw[byte] << 24 | raw[byte + 1] << 16 | raw[byte + 2] << 8 | raw[byte + 3]
+        codes = word >> (32 - (places & 7) - widths) & ((1 << widths) - 1)
+        stops = np.flatnonzero((codes == CLEAR) | (codes == END))
+        stop = int(stops[0]) if len(stops) else len(codes)
+        yield codes[:stop].tolist()
+        if stop == len(codes) or codes[stop] == END:
+            return
+        at = int(places[stop] + widths[stop])
+
+
+_ROOTS = [bytes([i]) for i in range(256)] + [b"", b""]
 
 
 def lzw_decode(data: bytes) -> bytes:
-    out, table, width, held, bits, count = [], [], 9, b"", 0, 0
-    for value in data:
-        bits, count = (bits << 8) | value, count + 8
-        if count < width:
-            continue
-        count -= width
-        code, bits = bits >> count, bits & ((1 << count) - 1)
-        if code == 257:
-            break
-        if code == 256:
-            table, width, held = [bytes([i]) for i in range(256)] + [b"", b""], 9, b""
-            continue
-        if code < len(table):
-            entry = table[code]
-        elif code == len(table) and held:
-            entry = held + held[:1]
-        else:
-            raise ValueError("LZW code beyond the table")
-        out.append(entry)
-        if held:
-            table.append(held + entry[:1])
-        held = entry
-        if len(table) + 1 >= 1 << width and width < 12:
-            width += 1
+    out: list[bytes] = []
+    for codes in _lzw_runs(data):
+        table, held = _ROOTS.copy(), b""
+        for code in codes:
+            if code < len(table):
+                entry = table[code]
+            elif code == len(table) and held:
+                entry = held + held[:1]
+            else:
+                raise ValueError("LZW code beyond the table")
+            out.append(entry)
+            if held and len(table) < 4096:
+                table.append(held + entry[:1])
+            held = entry
     return b"".join(out)
 
 
@@ -249,14 +280,11 @@ def payload_of(text: str) -> bytes:
 
 
 def store(payload: bytes) -> bytes:
-    """Payload bytes as a TIFF.  Small payloads go to LZW with a predictor, runs to PackBits, the rest to deflate;
-    pages whose rows fill whole tiles are tiled.  Equal payloads give equal files."""
+    """Payload bytes as a TIFF of one of KINDS; files whose rows fill whole tiles are tiled.  Equal payloads give equal files."""
     grid = np.frombuffer(payload, np.uint8).reshape(-1, WIDTH)
     pages = [grid[y : y + PAGE_ROWS] for y in range(0, len(grid), PAGE_ROWS)]
-    if len(payload) <= SMALL:
-        return write_tiff(pages, LZW, 2)
-    runs = int(np.count_nonzero(grid.ravel()[1:] == grid.ravel()[:-1]))
-    return write_tiff(pages, PACKBITS if runs * 4 > len(payload) else DEFLATE, tiled=len(grid) % TILE == 0)
+    how, predictor = KINDS[zlib.crc32(payload) % len(KINDS)]
+    return write_tiff(pages, how, predictor, tiled=len(grid) % TILE == 0)
 
 
 def encode(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:

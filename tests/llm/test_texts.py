@@ -439,12 +439,53 @@ def test_token_files(spark, odd_docs, no_docs, tmp_path):
 
 def test_tiff_codecs():
     rng = random.Random(7)
-    for n in (0, 1, 2, 254, 255, 256, 257, 600, 3000, 9000):
-        for alphabet in (2, 30, 256):
+    for n in (0, 1, 2, 254, 255, 256, 257, 600, 3000, 9000, 60_000):
+        for alphabet in (1, 2, 30, 256):
             data = bytes(rng.randrange(alphabet) for _ in range(n))
             assert tiff.lzw_decode(tiff.lzw_encode(data)) == data == tiff.packbits_decode(tiff.packbits_encode(data))
 
 
+def test_lzw_bit_by_bit():
+    """The codes by the format's own rules, one after the other: a table of strings, widths raised one code early."""
+    rng = random.Random(16)
+    for n in (0, 1, 5, 700, 5000, 30_000):
+        data = bytes(rng.randrange(40) for _ in range(n))
+        table, free, width, held, bits = {bytes([i]): i for i in range(256)}, 258, 9, b"", format(256, "09b")
+        for value in data:
+            if held + bytes([value]) in table:
+                held += bytes([value])
+                continue
+            bits += format(table[held], f"0{width}b")
+            table[held + bytes([value])] = free
+            free += 1
+            held = bytes([value])
+            if free == 4094:
+                bits += format(256, f"0{width}b")
+                table, free, width = {bytes([i]): i for i in range(256)}, 258, 9
+            elif free == 1 << width:
+                width += 1
+        if held:
+            bits += format(table[held], f"0{width}b")
+            width += free + 1 == 1 << width
+        bits += format(257, f"0{width}b")
+        bits += "0" * (-len(bits) % 8)
+        assert tiff.lzw_encode(data) == int(bits, 2).to_bytes(len(bits) // 8, "big")
+    with pytest.raises(ValueError, match="beyond"):
+        tiff.lzw_decode(int(format(256, "09b") + format(400, "09b") + "0" * 6, 2).to_bytes(3, "big"))
+
+
+def test_every_kind_of_file_meets_every_size():
+    texts = ["x" * n + str(k) for n in (0, 500, 5_000, 200_000) for k in range(60)]
+    seen = {}
+    for text in texts:
+        payload = tiff.payload_of(text)
+        data = tiff.store(payload)
+        _, tags = next(tiff.directories(data))
+        seen.setdefault((tags[259][0], tags[317][0]), set()).add(len(text) // 1000)
+        assert b"".join(p[-2] for p in tiff.read_pages(data)) == payload
+    assert set(seen) == set(tiff.KINDS) and all(len(sizes) == 3 for sizes in seen.values())
+
+
 @pytest.mark.parametrize("how", [tiff.NONE, tiff.LZW, tiff.DEFLATE, tiff.PACKBITS])
 @pytest.mark.parametrize("predictor", [1, 2])
 def test_tiff_files(how, predictor):
