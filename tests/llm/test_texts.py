@@ -71,6 +71,50 @@ def test_pii_model_adds_other_formats(spark):
     assert pii.redact("call +1 229 555 4838 now", [(3, 5, 20)]) == "call [phone] now"
 
 
+def test_pii_finds_planted_forms(spark):
+    """Forms planted in documents that training may not have seen with these values: recall by kind, and precision."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = pii.train(docs)
+    assert all(t <= 1 for t in model.thresholds)
+    right, wrong, all_true = Counter(), 0, Counter()
+    for r in docs.where("length(text) < 8000").collect():
+        own = pii.base_spans(r["text"])
+        if own:
+            continue
+        text, truth, _ = pii.planted(r["text"], 1_000_003 * r["doc_id"] + 17)
+        base = pii.base_spans(text)
+        found = model.added([text], [base])[0]
+        for span in found:
+            assert not any(b[1] < span[2] and span[1] < b[2] for b in base)
+            natural = text[span[1] : span[2]] in r["text"]
+            wrong += not pii._matches(span, truth) and not natural
+        for span in truth:
+            all_true[span[0]] += 1
+            right[span[0]] += pii._matches(span, found + base)
+    assert all(right[k] / all_true[k] > 0.9 for k in range(4)), (right, all_true)
+    assert wrong <= 0.02 * sum(right.values()), wrong
+
+
+def test_pii_adds_spans_to_documents(spark):
+    """What the method adds on the table: mistyped card numbers, as the model's own parts give it row by row."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = pii.train(docs)
+    rows = {r["doc_id"]: r for r in pii.find(docs, model).collect()}
+    assert sum(r["n_added"] for r in rows.values()) > 0
+    for r in docs.collect():
+        text = r["text"] or ""
+        base = pii.base_spans(text)
+        loose = [s for s in pii.candidates(text) if not any(b[1] < s[2] and s[1] < b[2] for b in base)]
+        scores = [float(model.trees.probabilities(np.array([pii.features(text, s)], float))[0]) for s in loose]
+        taken = []
+        for _, span in sorted((-p, k) for k, p in enumerate(scores)):
+            s = loose[span]
+            if scores[span] >= model.thresholds[s[0]] and not any(t[1] < s[2] and s[1] < t[2] for t in taken):
+                taken.append(s)
+        joined = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in sorted(base + taken))
+        assert (rows[r["doc_id"]]["spans"], rows[r["doc_id"]]["n_added"]) == (joined, len(taken))
+
+
 def test_pii_training_on_many_candidates(spark):
     """Dates fill the bound on candidates many times over; both halves and labels still reach the model."""
     rng = random.Random(9)
