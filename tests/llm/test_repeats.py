@@ -39,6 +39,46 @@ def test_passages_equal_brute_force(spark):
     assert {d: covered(r["removed"]) for d, r in found.items() if r["removed"]} == removed
 
 
+def test_passages_over_many_ranges(spark):
+    """Short windows over few words, so that suffixes alike on the right alone lie between matches and equal contexts
+    run over the ends of ranges; a passage that a third of the documents share; repeated rows."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(240):
+        words = [f"w{x}" for x in rng.integers(0, 5 if i % 2 else 300, rng.integers(0, 40))]
+        rows.append((i, " ".join(words + (["hot"] * 2 + [f"p{k}" for k in range(9)] if i % 3 == 0 else []) + words[:7])))
+    rows += rows[:5] + [(900 + i, t) for i, (_, t) in enumerate(rows[10:30])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = suffixes.repeated_passages(docs, length=6, gram=3).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    cover = lambda spans: {i for x in spans for i in range(x["start"], x["end"])}
+    spans, removed = brute_passages(rows, 6)
+    assert {r["doc_id"]: cover(r["spans"]) for r in found} == spans
+    assert {r["doc_id"]: cover(r["removed"]) for r in found if r["removed"]} == removed
+
+
+def test_neighbours_across_ranges(spark):
+    """Every row is a range of its own, or nearly: the ends of ranges settle what is repeated."""
+    rows = [(k, i) for i, k in enumerate([1, 1, 1, 2, 3, 3, 4, None, None, 5])] + [(3, 4)]
+    df = spark.createDataFrame(rows, "k long, place long")
+    for n in (1, 3, 11):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            found = suffixes.with_edges(suffixes.compared(df.where("k is not null"), ["k"], ["place"]), ["k"], ["place"])
+            assert sorted(map(tuple, found.collect())) == [(0, False), (1, True), (2, True), (4, False), (5, True)]
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_passages_of_odd_rows(odd_docs, no_docs):
     found = {r["doc_id"]: r for r in suffixes.document_passages(odd_docs).collect()}
     assert set(found) == {1, 2, 3, 4}
