@@ -1,15 +1,15 @@
-"""What the training-data operators share: table reading, shared-folder writes, Arrow mapping."""
+"""What the training-data operators share: table reading, writes to the shared folder, Arrow mapping."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketeer.sources.shared import shared_path, written  # noqa: F401  operators take them from here
+
 #: Rows of text handed on in one Arrow batch; bounds what a Python worker holds beside its input.
 ROWS_OUT = 1000
 
@@ -18,30 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a new one in local mode where it is unset."""
-    sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="docketeer-")
-        sc.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
-def shared_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, label: str, **options) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends there, and losing executors costs nothing."""
-    spark = df.sparkSession
-    path = shared_path(spark, label)
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_OUT) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

@@ -7,7 +7,8 @@ lines around the fingerprint, compared by hash.  A line goes if it lies in a win
 doc_id, then position), overlapping or not; the first occurrence stays.
 
 Defined results: null text is empty and stays null; blank lines stay where they are; documents under MIN_LINES lines
-don't change; rows equal in doc_id and text count once, and both lose the same lines; a text that loses all its lines
+don't change; rows equal in doc_id and text count once, and both lose the same lines; a null doc_id comes
+before all others; a text that loses all its lines
 keeps its blank lines.
 """
 
@@ -55,7 +56,7 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
             yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), lists], names=["doc_id", "rid", "lines"])
 
-    return source.mapInArrow(run, f"doc_id {kind}, rid long, lines array<long>").dropDuplicates(["rid"])
+    return source.mapInArrow(run, f"doc_id {kind}, rid long, lines array<long>").dropDuplicates(["doc_id", "rid"])
 
 
 def _lists(column: pa.Array) -> list[np.ndarray]:
@@ -64,20 +65,22 @@ def _lists(column: pa.Array) -> list[np.ndarray]:
 
 
 def fingerprints(lines: DataFrame, length: int = MIN_LINES) -> DataFrame:
-    """(seed, owner, pos): the window minima of each document."""
+    """(seed, doc_id, owner, pos): the window minima of each document; owner is its rid."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             seeds, places, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for i, units in enumerate(_lists(part.column(1))):
+            for i, units in enumerate(_lists(part.column(2))):
                 grams, chosen = selected(units, length, 1)
                 chosen = np.unique(chosen)
                 seeds.append(grams[chosen])
                 places.append(chosen)
                 rows.append(np.full(len(chosen), i))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(seeds).view(np.int64)), part.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(places).astype(np.int32))], names=["seed", "owner", "pos"])
+            take = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(seeds).view(np.int64)), part.column(0).take(take), part.column(1).take(take), pa.array(np.concatenate(places).astype(np.int32))], names=["seed", "doc_id", "owner", "pos"])
 
-    return lines.select("rid", "lines").mapInArrow(run, "seed long, owner long, pos int")
+    kind = lines.schema["doc_id"].dataType.simpleString()
+    return lines.select("doc_id", "rid", "lines").mapInArrow(run, f"seed long, doc_id {kind}, owner long, pos int")
 
 
 def _windows(lines: DataFrame, length: int) -> DataFrame:
@@ -100,12 +103,13 @@ def _windows(lines: DataFrame, length: int) -> DataFrame:
 
 
 def later_runs(docs: DataFrame, length: int = MIN_LINES) -> DataFrame:
-    """(rid, starts): of each document the windows of length lines, by number of non-blank line, that occur earlier."""
+    """(doc_id, rid, starts): of each document the windows of length lines, by number of non-blank line, that occur earlier."""
     lines = written(hashed_lines(docs), "lines")
     marks = written(fingerprints(lines, length), "fingerprints")
-    places = marks.join(repeated_seeds(marks), "seed").groupBy(F.col("owner").alias("rid")).agg(F.collect_set("pos").alias("places"))
-    found = repeated_windows(written(_windows(lines.join(places, "rid"), length), "windows"))
-    return found.where("later").groupBy("rid").agg(F.sort_array(F.collect_list("s")).alias("starts"))
+    places = marks.join(repeated_seeds(marks), "seed").groupBy(F.col("doc_id").alias("__doc"), F.col("owner").alias("__rid")).agg(F.collect_set("pos").alias("places"))
+    placed = lines.join(places, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("rid") == F.col("__rid")))
+    found = repeated_windows(written(_windows(placed, length), "windows"))
+    return found.where("later").groupBy("doc_id", "rid").agg(F.sort_array(F.collect_list("s")).alias("starts"))
 
 
 def without_lines(text: str | None, starts: list[int] | None, length: int = MIN_LINES) -> tuple[str | None, int, int]:
@@ -125,9 +129,9 @@ def without_lines(text: str | None, starts: list[int] | None, length: int = MIN_
 def dedup_lines(docs: DataFrame, length: int = MIN_LINES) -> DataFrame:
     """docs with later repeated runs deleted from text, plus n_lines and n_deleted (earlier columns of these names go)."""
     names = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
-    runs = written(later_runs(docs, length), "runs").select(F.col("rid").alias("__rid"), F.col("starts").alias("__starts"))
-    # hashed, not sorted: texts are moved once, and the side with runs fits a task at every size
-    joined = docs.select(*names, _rid().alias("__rid")).join(runs.hint("shuffle_hash"), "__rid", "left").select(*names, "__starts")
+    runs = written(later_runs(docs, length), "runs").select(F.col("doc_id").alias("__doc"), F.col("rid").alias("__run"), F.col("starts").alias("__starts"))
+    # hashed, not sorted: texts are moved once, and the side with runs (one row a document, numbers alone) fits a task
+    joined = docs.select(*names, _rid().alias("__rid")).join(runs.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__rid") == F.col("__run")), "left").select(*names, "__starts")
     schema = T.StructType([*docs.select(*names).schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_deleted", T.LongType())])
     at = names.index("text")
 

@@ -16,7 +16,8 @@ the tokens to the power TEMPER.  Values without a target keep their tempered sha
 have.
 
 Defined results: null source, lang or topic is the value ''; null text has no tokens, and its document is in the cell
-but counts for nothing; cells without tokens have probability 1; rows with equal doc_id are drawn together.
+but counts for nothing; cells without tokens have probability 1; rows with equal doc_id are drawn together, those with a null one
+as if it were the empty text.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ while that doesn't lower (bad - good) / (bad + good) on the pruning part.  Rules
 list.  Learning sees only counts of labelled rows by binned statistics: at most MAX_LABELLED of them, those with the
 smallest hash of doc_id.
 
-Defined results: null text has no words; documents with equal doc_id each get their own row; without labels of both
+Defined results: null text has no words; documents with equal or null doc_id each get their own row (labels without a
+doc_id teach nothing); a kept column may have any name but those of the statistics; without labels of both
 classes the list is empty and only the base rules reject; a table without rows gives none.
 """
 
@@ -54,7 +55,7 @@ def _let(name: str, value: str, body: str) -> str:
 #: lower 28 bits, which finds all that may be repeated; only those are compared by their full hash.
 _REPEATS = _let(
     "h",
-    "transform(words, w -> xxhash64(w))",
+    "transform(__words, w -> xxhash64(w))",
     _let(
         "s",
         "sort_array(transform(sequence(0L, size(h) - 3L), i -> shiftleft(xxhash64(h[int(i)], h[int(i) + 1], h[int(i) + 2]), 28) | i))",
@@ -75,18 +76,18 @@ def document_stats(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     text = docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__t"))
     split = text.select(
         *keep,
-        F.expr(f"filter(split(__t, '{SPACE}+'), w -> w <> '')").alias("words"),
-        F.expr(f"filter(split(__t, '\\n'), l -> l rlike '{WORD}')").alias("lines"),
+        F.expr(f"filter(split(__t, '{SPACE}+'), w -> w <> '')").alias("__words"),
+        F.expr(f"filter(split(__t, '\\n'), l -> l rlike '{WORD}')").alias("__lines"),
         *(F.expr(f"length(__t) - length(regexp_replace(__t, '{chars}', ''))").cast("long").alias(name) for name, chars in (("n_symbols", "[#*$%&|<>]"), ("n_marks", "[!?;:]"), ("n_upper", r"\\p{Lu}"), ("n_digits", "[0-9]"))),
     )
     counted = split.select(
         *keep,
-        F.expr("bigint(size(words))").alias("n_words"),
-        F.expr("aggregate(words, 0L, (a, w) -> a + length(w))").alias("word_chars"),
+        F.expr("bigint(size(__words))").alias("n_words"),
+        F.expr("aggregate(__words, 0L, (a, w) -> a + length(w))").alias("word_chars"),
         "n_symbols",
-        F.expr("bigint(size(lines) - size(array_distinct(lines)))").alias("n_dup_lines"),
-        F.expr(f"bigint(if(size(words) < 4, 0, {_REPEATS}))").alias("n_repeat_words"),
-        F.expr("bigint(size(lines))").alias("n_lines"),
+        F.expr("bigint(size(__lines) - size(array_distinct(__lines)))").alias("n_dup_lines"),
+        F.expr(f"bigint(if(size(__words) < 4, 0, {_REPEATS}))").alias("n_repeat_words"),
+        F.expr("bigint(size(__lines))").alias("n_lines"),
         "n_marks",
         "n_upper",
         "n_digits",

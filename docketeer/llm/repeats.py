@@ -74,10 +74,10 @@ def selected(units: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.
 
 
 def repeated_seeds(seeds: DataFrame) -> DataFrame:
-    """seeds (seed, owner, pos) to the distinct seeds that occur at two places or more.
+    """seeds (seed, doc_id, owner, pos) to the distinct seeds that occur at two places or more.
 
     Written, so that in a join with all seeds both sides are plain shuffles, of which Spark splits a hot seed's."""
-    place = F.struct("owner", "pos")
+    place = F.struct("doc_id", "owner", "pos")
     return written(seeds.groupBy("seed").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("seed"), "seeds")
 
 

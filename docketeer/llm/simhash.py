@@ -15,7 +15,8 @@ reachable, never all pairs.  Buckets over BUCKET fingerprints are cut in parts b
 task of their own, so no task holds more than BUCKET of them, and none is left out.
 
 Defined results: null text is empty; a text without words has fingerprint zero; fewer than 4 words make one shingle.
-Rows with equal doc_id are kept, each with the component of its fingerprint.  keep_one leaves one row of each component:
+Rows with equal doc_id are kept, each with the component of its fingerprint; a null doc_id names no component unless all
+of its group are null.  keep_one leaves one row of each component:
 a null doc_id comes last, of equal ones the smaller hash of the text comes first, and rows equal in both count once.
 """
 
@@ -189,9 +190,11 @@ def _linked(fps: DataFrame) -> DataFrame:
 
 
 def fingerprint_components(fps: DataFrame) -> DataFrame:
-    """fps (fp, low: smallest doc_id) to (fp, component_id): the smallest doc_id reachable."""
-    linked = _linked(fps)
-    least = linked.groupBy("component").agg(F.min("low").alias("component_id"))
+    """fps (fp, low: smallest doc_id) to (fp, component_id): the smallest doc_id reachable.
+
+    Both sides of the join are written first: only where both are plain shuffles does Spark split a large component."""
+    linked = written(_linked(fps), "linked")
+    least = written(linked.groupBy("component").agg(F.min("low").alias("component_id")), "least")
     return linked.join(least, "component").select("fp", "component_id")
 
 
@@ -199,7 +202,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     """key, fp and component_id of every row of docs."""
     prints = written(fingerprints(docs, [key], text), "fingerprints")
     distinct = prints.groupBy("fp").agg(F.min(key).alias("low"))
-    found = written(fingerprint_components(distinct), "classes")
+    found = written(fingerprint_components(distinct), "classes")  # one row a fingerprint, as a fingerprint may have many copies
     return prints.join(found, "fp").select(key, "fp", "component_id")
 
 

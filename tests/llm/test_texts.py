@@ -279,6 +279,8 @@ def test_quality_odd_rows(odd_docs, no_docs, odd_labels):
     rows = {r["doc_id"]: r for r in out.collect()}
     assert out.count() == odd_docs.count() and rows[5]["n_words"] == 0 and rows[5]["base_failed"] and rows[8]["n_words"] == 30_000
     assert quality.keep_good(odd_docs, odd_labels).columns == odd_docs.columns
+    named = odd_docs.select("doc_id", "text", F.lit("x").alias("words"), F.lit("y").alias("lines"))
+    assert quality.document_stats(named, ["doc_id", "words", "lines"]).where("words = 'x' and lines = 'y'").count() == odd_docs.count()
     assert quality.document_verdicts(no_docs, odd_labels).count() == 0
 
 
