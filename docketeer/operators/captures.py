@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docketeer.sources.shared import written
+
 
 def latest(rows: DataFrame, key: str, ts: str, line: str, ties: str = "first") -> DataFrame:
     """The row of the greatest ts of each key; of equal ones the first or the last line."""
@@ -50,6 +52,33 @@ def fetch_decision(gone: Column, final: Column, has_state: Column, has_capture:
     return F.when(gone, "skip_gone").when(final & has_capture, "skip_final").when(index_same, "skip_index").when(has_state, "conditional").when(has_capture, "seed").otherwise("fetch")
 
 
+def fetch_plan(refs: DataFrame, state: DataFrame, captures: DataFrame) -> DataFrame:
+    """refs (county, url, wayback) plus decision, from what the logs say.
+
+    state (url, gone, final, sha256, etag, last_modified): one row an address.  captures (county, url, version, ts): live
+    captures.  Where no address of a county with captures ever had two versions, its files are final.  A reference of an
+    archive has no validators and never changes; one that is gone isn't asked for again.
+    """
+    per = captures.groupBy("county", "url").agg(F.min("version").alias("a"), F.max("version").alias("b"))
+    known = written(per, "captured")  # addresses, one row each: used for both joins
+    settled = known.groupBy("county").agg(F.bool_and(F.col("a").eqNullSafe(F.col("b"))).alias("__settled"))
+    captured = known.select("county", "url").withColumn("__captured", F.lit(True))
+    last = state.select("url", F.struct("gone", "final", "sha256", "etag", "last_modified").alias("__state"))
+    joined = refs.join(captured, ["county", "url"], "left").join(last, "url", "left").join(settled, "county", "left")
+    live = ~F.col("wayback") & F.coalesce("__captured", F.lit(False))
+    yes = lambda c: F.coalesce(F.col(f"__state.{c}"), F.lit(False))
+    has = lambda c: F.coalesce(F.col(f"__state.{c}"), F.lit("")) != ""
+    validators = ~F.col("wayback") & has("sha256") & (has("etag") | has("last_modified"))
+    decision = (
+        F.when(yes("gone"), "skip_gone")
+        .when(live & (yes("final") | F.coalesce("__settled", F.lit(False))), "skip_final")
+        .when(live & F.col("__state").isNull(), "seed")
+        .when(validators, "conditional")
+        .otherwise("fetch")
+    )
+    return joined.withColumn("decision", decision).select(*refs.columns, "decision")
+
+
 def recheck_reason(failures: Column, all_gone: Column, productive_now: Column, last_productive: Column, now: Column, days: int = 14) -> Column:
     """Why a county should be tried again: failures other than missing files, or nothing found though it was
     productive lately; null for no reason."""

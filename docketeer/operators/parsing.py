@@ -18,6 +18,8 @@ from pyspark.sql.window import Window
 from docketeer.functions import classify, dates, ids
 from docketeer.functions.text import blank, clean_lines, collapse, first_filled
 from docketeer.operators import blocks
+from docketeer.sources.docx import docx_lines
+from docketeer.sources.html import html_to_text
 from docketeer.sources.shared import written
 
 
@@ -154,6 +156,17 @@ def extract(docs: DataFrame, spec: ParserSpec) -> DataFrame:
     )
 
 
+def with_pages(sources: DataFrame) -> DataFrame:
+    """sources (county, extension, content, pages) with the pages of each kind of file: those given for PDF files, the
+    lines of a Word file as one page, the visible text of an HTML page as one (for counties that read such)."""
+    reads_html = F.col("county").isin(*(s.county for s in SPECS.values() if s.html))
+    markup = F.when((F.col("extension") == "html") & reads_html, F.make_valid_utf8(F.col("content").cast("string")))
+    word = F.when(F.col("extension") == "docx", F.col("content"))
+    lines = F.array_join(docx_lines(word), "\n")
+    made = F.when(word.isNotNull() & (lines != ""), F.array(lines)).when(markup.isNotNull(), F.array(html_to_text(markup)))
+    return sources.withColumn("pages", F.coalesce(made, "pages"))
+
+
 def collapse_or_null(c: Column) -> Column:
     return F.nullif(collapse(c), F.lit(""))
 

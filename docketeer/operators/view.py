@@ -8,8 +8,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from docketeer.functions.text import blank
+from docketeer.functions.text import blank, csv_cell, first_filled
 from docketeer.sources.shared import written
 
 SEARCH_FIELDS = ("case_number", "case_title", "motion_type", "judge", "outcome", "outcome_text", "body_text")
@@ -148,6 +149,43 @@ def case_history(rows: DataFrame, case_column: str = "case_number") -> DataFrame
     return rows.join(sizes, case_column)
 
 
+def ordered_history(rows: DataFrame, ident: str = "ruling_id") -> DataFrame:
+    """Every row of a case with place: its number in the case's history, latest hearing first, then by department
+    (both falling, as one text); equal ones by id."""
+    at = F.concat(blank(F.col("hearing_date")), F.lit(" "), blank(F.col("dept")))
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("case_number").orderBy(at.desc(), ident)))
+
+
+#: Columns with so many values that none is ticked at first.
+MANY_VALUED = ("case_title",)
+
+
+def ticked_filter(column: str, ticked: list[str], values: list[str]) -> list[str] | None:
+    """The filter that ticked values of a menu make: None (no filter) if all are ticked, or none in a column of many
+    values; an empty list, which matches nothing, if none is ticked in another column."""
+    if len(set(ticked)) == len(set(values)) or (not ticked and column in MANY_VALUED):
+        return None
+    return list(ticked)
+
+
+# The columns of an export, in order.
+EXPORT_COLUMNS = (
+    "id", "county", "dept", "judge", "hearing_date", "case_number", "case_title",
+    "motion_type", "outcome", "conditional", "continued_to",
+    "page_start", "page_end", "source_url",
+)
+
+
+def export_lines(rows: DataFrame) -> DataFrame:
+    """rows as lines of CSV text (column line), without the head; columns that rows lack are empty cells."""
+    have = {c: F.col(c).cast("string") for c in rows.columns}
+    if "judge" in have and "judge_name" in have:
+        have["judge"] = first_filled(F.col("judge"), F.col("judge_name"))
+    have["conditional"] = F.when(F.col("conditional"), "true").otherwise("false") if "conditional" in have else F.lit("false")
+    cells = [csv_cell(have.get(c, F.lit(None).cast("string"))) for c in EXPORT_COLUMNS]
+    return rows.select(F.concat_ws(",", *cells).alias("line"))
+
+
 def version_chain(rows: DataFrame, ident: str, previous: str, depth: int = 32) -> DataFrame:
     """(ident, ancestor, distance): the previous versions of each row up to depth, each once; a cycle ends where it
     comes back to a row.  A round joins what is known with steps of twice the last length, so that there are

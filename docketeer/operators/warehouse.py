@@ -106,6 +106,55 @@ def stale_outputs(manifest: DataFrame, outputs: DataFrame) -> DataFrame:
     return both.select("path", reason.alias("reason")).where("reason is not null")
 
 
+def slice_plan(rulings: DataFrame, slices: DataFrame, sources: DataFrame) -> DataFrame:
+    """rulings plus plan: what is to be done for each one's own PDF file.
+
+    slices (ruling_id): those that are there, which are skipped.  sources (source_sha256, extension).  Pages are cut from
+    a PDF source if the ruling has page numbers (else the plan is missing); all other rulings are set as text.  Rows
+    without an id or a source have none.
+    """
+    there = slices.select("ruling_id").distinct().withColumn("__there", F.lit(True))
+    pdf = sources.where("extension = 'pdf'").select("source_sha256").distinct().withColumn("__pdf", F.lit(True))
+    filled = lambda c: blank(F.col(c)) != ""
+    pages = (F.coalesce("page_start", F.lit(0)) != 0) & (F.coalesce("page_end", F.lit(0)) != 0)
+    plan = F.when(~filled("ruling_id") | ~filled("source_sha256"), None).when(F.col("__there"), "skip").when(F.col("__pdf").isNull(), "text").when(pages, "slice").otherwise("missing")
+    return rulings.join(there, "ruling_id", "left").join(pdf, "source_sha256", "left").withColumn("plan", plan).select(*rulings.columns, "plan")
+
+
+VIEW_VERSION = 4
+
+
+def publish(rulings: DataFrame, path: str, source_digest: str) -> None:
+    """The viewer's files: detail records in folders by the id's first two letters, then the index, last the manifest
+    with their names and bytes.  Each is put in place when whole, so that a reader never finds a manifest without them."""
+    spark = rulings.sparkSession
+    records = details(rulings).select(F.left("ruling_id", F.lit(2)).alias("prefix"), "*")
+    for name, rows, parts in (("ruling-text", records, ["prefix"]), ("summary", summary(rulings), [])):
+        aside = files.beside(f"{path}/{name}", "new")
+        (rows.repartition("prefix") if parts else rows).write.partitionBy(*parts).json(aside)
+        files.put_in_place(spark, aside, f"{path}/{name}")
+    manifest = F.struct(F.lit(VIEW_VERSION).alias("version"), F.lit(source_digest).alias("source_sha256"))
+    aside = files.beside(f"{path}/_viewer", "new")
+    _outputs(spark, path).select(manifest.alias("m"), "path", "bytes").select("m.*", "path", "bytes").coalesce(1).write.json(aside)
+    files.put_in_place(spark, aside, f"{path}/_viewer")
+
+
+def _outputs(spark: SparkSession, path: str) -> DataFrame:
+    """path (below the folder) and bytes of the written details and index."""
+    read = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").load([f"{path}/ruling-text", f"{path}/summary"])
+    return read.select(F.regexp_extract("path", "/((?:ruling-text|summary)/.*)$", 1).alias("path"), F.col("length").alias("bytes"))
+
+
+def published(spark: SparkSession, path: str, source_digest: str) -> bool:
+    """Whether the viewer's files are there, whole, and made of this source."""
+    if not all(files.exists(spark, f"{path}/{name}") for name in ("ruling-text", "summary", "_viewer")):
+        return False
+    listed = spark.read.schema("version int, source_sha256 string, path string, bytes long").json(f"{path}/_viewer")
+    stale = listed.where((F.col("version") != VIEW_VERSION) | (F.col("source_sha256") != source_digest))
+    both = listed.select("path", F.col("bytes").alias("listed")).join(_outputs(spark, path), "path", "full_outer")
+    return stale.isEmpty() and both.where(~F.col("listed").eqNullSafe(F.col("bytes"))).isEmpty()
+
+
 def live_stats(rulings: DataFrame) -> DataFrame:
     source = F.nullif(blank(F.col("source_sha256")), F.lit(""))
     return rulings.agg(F.count("*").alias("rulings"), F.countDistinct("county").alias("counties"), F.countDistinct(source).alias("sources"), F.min("hearing_date").alias("first_date"), F.max("hearing_date").alias("last_date"))

@@ -283,6 +283,17 @@ def slice_span_clamp(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.least(F.greatest(start, F.lit(1)), F.size(pages)).alias("first_page"), F.size(blocks.page_slice(pages, start, end)).alias("n_pages"))
 
 
+@query("""SELECT doc_id, CASE WHEN coalesce(source, '') = '' THEN NULL WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'skip'
+  WHEN source NOT IN (SELECT DISTINCT source FROM documents WHERE lang = 'fr') THEN 'text' WHEN doc_id % 6 = 0 THEN 'missing' ELSE 'slice' END AS plan FROM documents""")
+def slice_plan(t: Tables) -> DataFrame:
+    """What is to be done for each document's own file: labels stand for slices that are there, sources of French
+    documents for PDF files."""
+    rows = t.documents.select(F.col("doc_id").cast("string").alias("ruling_id"), F.col("source").alias("source_sha256"), F.when(F.col("doc_id") % 6 != 0, 1).alias("page_start"), F.lit(2).alias("page_end"))
+    slices = t.labels.select(F.col("doc_id").cast("string").alias("ruling_id"))
+    sources = t.documents.where("lang = 'fr'").select(F.col("source").alias("source_sha256"), F.lit("pdf").alias("extension"))
+    return warehouse.slice_plan(rows, slices, sources).select(F.col("ruling_id").cast("long").alias("doc_id"), "plan")
+
+
 @query("SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN NULL ELSE strftime(DATE '2000-01-01' + (doc_id % 9000)::INTEGER, '%Y-%m-%d') END AS found FROM documents")
 def date_formats(t: Tables) -> DataFrame:
     """Dates written in three ways, and one that the calendar lacks, parsed back."""

@@ -81,6 +81,28 @@ def fetch_decision(t: Tables) -> DataFrame:
     return t.events.groupBy(F.coalesce(decided).alias("decision")).agg(F.count("*").alias("n"))
 
 
+_STATE = f"""(SELECT user_id AS url, {_K} % 10 = 0 AS gone, {_K} % 4 = 1 AS final, {_K} % 5 <> 0 AS has_sha, event_type <> 'view' AS has_etag
+ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events WHERE value > 30) WHERE n = 1)"""
+
+
+@query(f"""WITH refs AS (SELECT user_id AS url, user_id % 40 AS county, bool_or({_K} % 11 = 0) AS wayback FROM events GROUP BY ALL),
+caps AS (SELECT user_id % 40 AS county, user_id AS url, count(DISTINCT value > 4) AS n FROM events WHERE event_type = 'view' GROUP BY ALL),
+settled AS (SELECT county, bool_and(n = 1) AS ok FROM caps GROUP BY county)
+SELECT r.url, r.county, CASE WHEN coalesce(s.gone, false) THEN 'skip_gone'
+  WHEN NOT wayback AND c.url IS NOT NULL AND (coalesce(s.final, false) OR coalesce(ok, false)) THEN 'skip_final'
+  WHEN NOT wayback AND c.url IS NOT NULL AND s.url IS NULL THEN 'seed'
+  WHEN NOT wayback AND coalesce(has_sha AND has_etag, false) THEN 'conditional' ELSE 'fetch' END AS decision
+FROM refs r LEFT JOIN caps c ON r.county = c.county AND r.url = c.url LEFT JOIN {_STATE} s ON r.url = s.url LEFT JOIN settled t ON r.county = t.county""")
+def fetch_plan(t: Tables) -> DataFrame:
+    """What to do with every reference, from its last state and the captures of its county."""
+    k, county = _k(), (F.col("user_id") % 40).alias("county")
+    refs = t.events.groupBy(F.col("user_id").alias("url"), county).agg(F.bool_or(k % 11 == 0).alias("wayback"))
+    held = F.struct((k % 10 == 0).alias("gone"), (k % 4 == 1).alias("final"), F.when(k % 5 != 0, "s").alias("sha256"), F.when(F.col("event_type") != "view", "e").alias("etag"), F.lit(None).cast("string").alias("last_modified"))
+    state = t.events.where("value > 30").groupBy(F.col("user_id").alias("url")).agg(F.max_by(held, "event_id").alias("s")).select("url", "s.*")
+    seen = t.events.where("event_type = 'view'").select(county, F.col("user_id").alias("url"), (F.col("value") > 4).alias("version"), "ts")
+    return captures.fetch_plan(refs, state, seen).select("url", "county", "decision")
+
+
 @query("""SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id % 20 ORDER BY event_id) AS n FROM events e
  WHERE NOT EXISTS (SELECT 1 FROM events k WHERE k.value > 80 AND k.user_id = e.user_id AND k.event_type = e.event_type)) WHERE n <= 5""")
 def known_skip_then_limit(t: Tables) -> DataFrame:

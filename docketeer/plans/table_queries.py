@@ -26,6 +26,12 @@ def page_content_key(t: Tables) -> DataFrame:
     return t.pages.select("page_id", html.content_key(F.col("html")).alias("content_key"))
 
 
+@query()
+def page_refs(t: Tables) -> DataFrame:
+    """Anchors, options and Markdown links of every page, with absolute addresses and texts."""
+    return html.page_links(t.pages)
+
+
 _HOST = r"lower(regexp_extract(url, '^https?://(?:[^/@]*@)?([^/:?#]+)', 1))"
 
 
@@ -169,6 +175,20 @@ def case_history(t: Tables) -> DataFrame:
     return view.case_history(_viewer_rows(t)).select("ruling_id", "case_number", "n_history")
 
 
+@query("""SELECT o_orderkey AS ruling_id, o_custkey::VARCHAR AS case_number,
+ row_number() OVER (PARTITION BY o_custkey ORDER BY strftime(o_orderdate, '%Y-%m-%d') || ' ' || coalesce(o_orderpriority, '') DESC, o_orderkey)::INTEGER AS place FROM orders JOIN customer ON o_custkey = c_custkey""")
+def case_history_order(t: Tables) -> DataFrame:
+    """Every case's rows with their places in its history."""
+    return view.ordered_history(_viewer_rows(t).withColumn("dept", F.col("outcome"))).select("ruling_id", "case_number", "place")
+
+
+@query("""SELECT o_orderkey || ',' || c_mktsegment || ',,,' || strftime(o_orderdate, '%Y-%m-%d') || ',' || o_custkey || ',' || CASE WHEN regexp_matches(c_name, '[",]') THEN '"' || replace(c_name, '"', '""') || '"' ELSE c_name END
+ || ',,' || o_orderpriority || ',false,,,,' AS line FROM orders JOIN customer ON o_custkey = c_custkey""")
+def csv_export(t: Tables) -> DataFrame:
+    """Every viewer row as a line of an export."""
+    return view.export_lines(_viewer_rows(t).withColumnRenamed("ruling_id", "id"))
+
+
 @query("SELECT coalesce(p_type, '') AS value, count(*)::BIGINT AS n FROM part WHERE contains(lower(coalesce(p_type, '')), 'st') GROUP BY 1 ORDER BY n DESC, value LIMIT 200")
 def top200_titles(t: Tables) -> DataFrame:
     return view.facet_list(t.part, "p_type", "ST")

@@ -75,6 +75,21 @@ def append_log(rows: DataFrame, path: str) -> None:
     rows.select(sorted(rows.columns)).write.json(f"{path.rstrip('/')}/{_BATCH.format(last + 1)}")
 
 
+def rewrite_if_changed(rows: DataFrame, path: str, schema: StructType, *keys: str) -> bool:
+    """Make the log at path hold exactly rows, in order of keys, in one batch; whether anything was written.  Rows are
+    compared as a whole first, so that an unchanged log keeps its files.  One writer at a time."""
+    spark, wanted = rows.sparkSession, rows.select(*schema.names)
+    marks = [F.count("*"), *(F.sum(F.xxhash64(*schema.names, F.lit(k)).cast("decimal(38,0)")) for k in (0, 1))]
+    there = files.exists(spark, path)
+    before = read_log(spark, path, schema).select(*schema.names).agg(*marks).first() if there else (0, None, None)
+    if tuple(before) == tuple(wanted.agg(*marks).first()):
+        return False
+    aside = files.beside(path, "new")
+    wanted.orderBy(*keys).write.json(f"{aside}/{_BATCH.format(1)}")
+    files.put_in_place(spark, aside, path)
+    return True
+
+
 def merge_logs(base: DataFrame, upstream: DataFrame, local: DataFrame) -> DataFrame:
     """A three-way merge of append-only logs that keeps repeated lines: of each line as many as the fuller side has,
     at least those of the base."""

@@ -268,3 +268,141 @@ def test_archive_fallback(spark):
 def test_trailing_window_excludes_its_start(spark):
     data = spark.sql("SELECT 'k' AS k, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, s) AS ts FROM VALUES (0), (59), (60) t(s)")
     assert sorted(r["n"] for r in quota.trailing_count(data, "k", "ts", 60).collect()) == [1, 2, 2]
+
+
+def test_docx_lines(spark):
+    import io
+    import zipfile
+
+    from docketeer.sources.docx import docx_lines
+
+    w = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    body = "<w:p><w:r><w:t>No. 1</w:t><w:tab/><w:t>CU0001234 </w:t></w:r></w:p><w:p/><w:p><w:r><w:t>one</w:t><w:br/><w:t> two &amp; three</w:t></w:r></w:p>"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as archive:
+        archive.writestr("word/document.xml", f"<w:document {w}><w:body>{body}</w:body></w:document>")
+    empty = io.BytesIO()
+    with zipfile.ZipFile(empty, "w") as archive:
+        archive.writestr("other.xml", "<x/>")
+    rows_ = [(1, bytearray(out.getvalue())), (2, bytearray(b"no zip")), (3, None), (4, bytearray(empty.getvalue()))]
+    found = spark.createDataFrame(rows_, "id int, content binary").select("id", docx_lines("content").alias("l")).orderBy("id").collect()
+    assert [r["l"] for r in found] == [["No. 1\tCU0001234", "one", "two & three"], [], [], []]
+
+    from docketeer.operators import parsing
+
+    page = b"<p>Line one<br>two</p><script>x</script>"
+    sources = spark.createDataFrame([("nevada", "docx", rows_[0][1], None), ("los_angeles", "html", bytearray(page), None), ("fresno", "html", bytearray(page), None), ("fresno", "pdf", None, ["p"])], "county string, extension string, content binary, pages array<string>")
+    assert [r["pages"] for r in parsing.with_pages(sources).collect()] == [["No. 1\tCU0001234\none\ntwo & three"], ["Line one\ntwo"], None, ["p"]]
+
+
+def test_page_links_and_static_refs(spark):
+    page = """<a href='/r/One%20x.PDF'>First <b>file</b></a><select name='dept'><option value='d/2.pdf?x=1'>Dept 2</option><option>none</option></select>
+<a href='https://other.example/3.pdf'>3</a><a href='r/One%20x.PDF'>again</a><a>no</a> [Fourth  file](docs/4.docx "t") [Fourth  file](docs/4.docx)"""
+    links = html.page_links(spark.createDataFrame([(1, "https://c.example/p/i.html", page), (2, None, None)], "page_id int, url string, html string"))
+    assert [(r["tag"], r["url"], r["text"], r["list"]) for r in links.orderBy("position").collect()] == [
+        ("a", "https://c.example/r/One%20x.PDF", "First file", None),
+        ("option", "https://c.example/p/d/2.pdf?x=1", "Dept 2", "dept"),
+        ("a", "https://other.example/3.pdf", "3", None),
+        ("a", "https://c.example/p/r/One%20x.PDF", "again", None),
+        ("markdown", "https://c.example/p/docs/4.docx", "Fourth file", None),
+    ]
+    refs = html.static_refs(links.union(links), ["c.example"], division="Civil")
+    assert rows(refs.select("url", "filename", "link_text", "division_hint")) == [
+        ("https://c.example/p/d/2.pdf?x=1", "2.pdf", "Dept 2", "Civil"),
+        ("https://c.example/p/r/One%20x.PDF", "One x.PDF", "again", "Civil"),
+        ("https://c.example/r/One%20x.PDF", "One x.PDF", "First file", "Civil"),
+    ]
+    assert rows(html.static_refs(links, ["c.example"], path="^/r/").select("link_text")) == [("First file",)]
+
+
+def test_page_refs_of_the_table(spark):
+    """Every page's anchors against a plain pattern, which the table's flat anchors fit."""
+    import re
+    from html import unescape
+    from urllib.parse import urljoin
+
+    from docketeer.plans import table_queries  # noqa: F401
+    from docketeer.plans.registry import QUERIES
+    from tests.conftest import DATA
+
+    expected = []
+    for r in spark.read.parquet(f"{DATA}/pages.parquet").collect():
+        markup = re.sub(r"(?s)<!--.*?-->|<(script|style)\b.*?</\1>", "", r["html"] or "")
+        expected += [(r["page_id"], urljoin(r["url"], unescape(h)), " ".join(unescape(re.sub("<[^>]*>", "", t)).split())) for h, t in re.findall(r"""(?is)<a\s[^>]*?href="([^"]+)"[^>]*>(.*?)</a>""", markup)]
+    found = QUERIES["page_refs"](spark, DATA).where("tag = 'a'")
+    assert sorted(map(tuple, found.select("page_id", "url", "text").collect())) == sorted(expected) and expected
+
+
+def test_rewrite_if_changed(spark, tmp_path):
+    import os
+
+    path, schema = str(tmp_path / "state"), schemas.struct("kind string, url string")
+    make = lambda values: spark.createDataFrame([(k, u) for k, u in values], schema)
+    assert not logs.rewrite_if_changed(make([]), path, schema, "kind", "url") and not os.path.exists(path)
+    assert logs.rewrite_if_changed(make([("b", "2"), ("a", "1")]), path, schema, "kind", "url")
+    files_then = sorted(os.listdir(f"{path}/batch-000000000001"))
+    assert not logs.rewrite_if_changed(make([("a", "1"), ("b", "2")]), path, schema, "kind", "url")
+    assert sorted(os.listdir(f"{path}/batch-000000000001")) == files_then
+    assert logs.rewrite_if_changed(make([("a", "1"), ("b", "3")]), path, schema, "kind", "url")
+    assert [r["url"] for r in logs.read_log(spark, path, schema).orderBy("line_no").collect()] == ["1", "3"]
+
+
+def test_publishing(spark, tmp_path):
+    import os
+
+    columns = "ruling_id string, county string, case_title string, motion_type string, outcome_text string, body_text string, full_text string"
+    data = spark.createDataFrame([("ab1", "x", "t", "m", "o", "b", "f"), ("cd2", "x", "t", "m", "o", "b", "f"), ("cd2", "x", "t", "m", "o", "b", "f")], columns)
+    path = str(tmp_path / "view")
+    assert not warehouse.published(spark, path, "d1")
+    warehouse.publish(data, path, "d1")
+    assert warehouse.published(spark, path, "d1") and not warehouse.published(spark, path, "d2")
+    assert sorted(n for n in os.listdir(f"{path}/ruling-text") if n.startswith("prefix")) == ["prefix=ab", "prefix=cd"]
+    assert spark.read.json(f"{path}/summary").count() == 3 and spark.read.json(f"{path}/ruling-text").count() == 2
+    part = next(n for n in os.listdir(f"{path}/summary") if n.endswith(".json"))
+    with open(f"{path}/summary/{part}", "a") as file:
+        file.write("{}\n")
+    assert not warehouse.published(spark, path, "d1")
+
+
+def test_ticked_values():
+    assert view.ticked_filter("dept", ["1", "2"], ["1", "2"]) is None and view.ticked_filter("dept", [], ["1", "2"]) == []
+    assert view.ticked_filter("case_title", [], ["1", "2"]) is None and view.ticked_filter("dept", ["1"], ["1", "2"]) == ["1"]
+
+
+def test_html_to_text_of_the_table(spark):
+    """Every page's words in order, against tags cut out by pattern."""
+    import re
+    from html import unescape
+
+    from docketeer.plans import table_queries  # noqa: F401
+    from docketeer.plans.registry import QUERIES
+    from tests.conftest import DATA
+
+    pages = {r["page_id"]: r["html"] or "" for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
+    found = {r["page_id"]: r["text"] for r in QUERIES["html_to_text"](spark, DATA).collect()}
+    assert set(found) == set(pages)
+    for page, markup in pages.items():
+        bare = re.sub(r"(?is)<(script|style|noscript)\b.*?</\1>|<!--.*?-->|<![^>]*>", "", markup)
+        text = unescape(re.sub(r"(?i)</?(?:%s)\b[^>]*>" % "|".join(html.BLOCKS), "\n", bare))
+        lines = [" ".join(re.sub("<[^>]*>", "", line).split()) for line in text.replace("\xa0", " ").split("\n")]
+        assert found[page].split() == " ".join(lines).split(), page
+
+
+def test_adjacent_pages_of_the_table(spark):
+    """Every document's pages, each compared with the last one kept by the whole ratio alone."""
+    import difflib
+    import re
+
+    from docketeer.plans import document_queries  # noqa: F401
+    from docketeer.plans.registry import QUERIES
+    from tests.conftest import DATA
+
+    found = {r["doc_id"]: r["n_pages"] for r in QUERIES["adjacent_page_dedupe"](spark, DATA).collect()}
+    plain = lambda page: re.sub("[^a-z0-9]", "", page.lower())
+    for r in spark.read.parquet(f"{DATA}/documents.parquet").collect():
+        kept = []
+        for page in (r["text"] or "").split("\n"):
+            if kept and (plain(kept[-1]) == plain(page) or difflib.SequenceMatcher(None, plain(kept[-1]), plain(page), autojunk=False).ratio() > 0.9):
+                kept.pop()
+            kept.append(page)
+        assert found[r["doc_id"]] == len(kept)
