@@ -3,7 +3,9 @@
 Every browser has one state; events of a browser are taken in order of time.  Each event is refused or passed in this
 order: paused, session ended, too fast (more than 50 different documents in the trailing 60 s: the window is emptied,
 access pauses and the session ends), already opened that day (passes without charge), daily limit, weekly limit,
-batch limit, else it is charged.  A day is a UTC day; a week is seven days with today.  State of a browser that stays
+batch limit, else it is charged.  An event without a document registers its session: refused while access pauses, and
+while a visible check is owed that it doesn't bring (column visible); else all earlier sessions of the browser end, and
+a visible check clears the batch.  A browser that never registered may use several sessions.  A day is a UTC day; a week is seven days with today.  State of a browser that stays
 idle for IDLE_DAYS of event time goes; events later than LATENESS behind the newest are dropped.
 """
 
@@ -42,7 +44,7 @@ class Limits:
 
 
 def fresh() -> dict:
-    return {"day": -1, "seen": [], "days": {}, "batch": 0, "paused": 0, "window": {}, "ended": [], "visible": False}
+    return {"day": -1, "seen": [], "days": {}, "batch": 0, "paused": 0, "window": {}, "ended": [], "visible": False, "current": None}
 
 
 def step(state: dict, doc: str, session: str, now: int, lim: Limits = Limits()) -> tuple[bool, bool, str, int]:
@@ -53,7 +55,7 @@ def step(state: dict, doc: str, session: str, now: int, lim: Limits = Limits())
     midnight = (day + 1) * DAY_MS
     if state["paused"] > now:
         return False, False, "paused", -(-(state["paused"] - now) // 1000)
-    if session in state["ended"]:
+    if session in state["ended"] or state.get("current") not in (None, session):
         return False, False, "ended", 0
     window = {k: t for k, t in state["window"].items() if t > now - 60_000}
     window.setdefault(doc, now)
@@ -81,16 +83,27 @@ def step(state: dict, doc: str, session: str, now: int, lim: Limits = Limits())
     return True, True, "charged", 0
 
 
+def register(state: dict, session: str, now: int, visible: bool, lim: Limits = Limits()) -> tuple[bool, bool, str, int]:
+    """A session's registration: (passed, False, why, seconds until a retry may pass).  Changes state."""
+    if state["paused"] > now:
+        return False, False, "paused", -(-(state["paused"] - now) // 1000)
+    if (state["visible"] or state["batch"] >= lim.per_check) and not visible:
+        return False, False, "check", 0
+    renew(state, session, visible)
+    return True, False, "registered", 0
+
+
 def renew(state: dict, session: str, visible: bool) -> None:
     """A new session: earlier ones end, and a visible check clears the batch."""
-    state["ended"] = [s for s in state["ended"] if s != session]
+    state["ended"], state["current"] = [s for s in state["ended"] if s != session], session
     if visible:
         state |= {"visible": False, "batch": 0}
 
 
-def in_order(batches: Iterator[pd.DataFrame], held: int = HELD) -> Iterator[tuple[int, str, str]]:
-    """(ts_ms, doc_key, session_id) of all rows by time, then document, then as they came; about held rows are in memory."""
-    names, parts, runs = ["ts_ms", "doc_key", "session_id"], [], []
+def in_order(batches: Iterator[pd.DataFrame], held: int = HELD, more: tuple[str, ...] = ()) -> Iterator[tuple]:
+    """(ts_ms, doc_key, session_id, and more) of all rows by time, then document, then as they came; about held rows are
+    in memory."""
+    names, parts, runs = ["ts_ms", "doc_key", "session_id", *more], [], []
 
     def ordered() -> pd.DataFrame:
         return pd.concat(parts).sort_values(names[:2], kind="stable") if parts else pd.DataFrame(columns=names)
@@ -115,15 +128,21 @@ def in_order(batches: Iterator[pd.DataFrame], held: int = HELD) -> Iterator[tupl
 
 
 def charge(events: DataFrame, lim: Limits = Limits()) -> DataFrame:
-    """events (browser_id, session_id, doc_key, ts_ms), streaming, to one OUTPUT row each."""
+    """events (browser_id, session_id, doc_key, ts_ms, and perhaps visible), streaming, to one OUTPUT row each."""
+    more = ("visible",) if "visible" in events.columns else ()
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         held = json.loads(state.get[0]) if state.exists else fresh()
-        rows, newest = in_order(batches), 0
-        while out := [(key[0], doc, ts, *step(held, doc, session, int(ts), lim)) for ts, doc, session in islice(rows, SLICE)]:
+        rows, newest = in_order(batches, more=more), 0
+
+        def decided(ts: int, doc: str | None, session: str, visible: bool = False) -> tuple:
+            made = register(held, session, int(ts), visible is not None and bool(visible), lim) if doc is None else step(held, doc, session, int(ts), lim)
+            return (key[0], doc, ts, *made)
+
+        while out := [decided(*row) for row in islice(rows, SLICE)]:
             newest = int(out[-1][2])
             yield pd.DataFrame(out, columns=["browser_id", "doc_key", "ts_ms", "passed", "charged", "why", "retry_after"])
         state.update((json.dumps(held),))

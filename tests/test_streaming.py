@@ -83,3 +83,20 @@ def test_ingest_fails_closed(spark, tmp_path):
     with pytest.raises(Exception):  # noqa: B017  whatever Spark raises for a file that it can't read
         ingest.append_new(spark.createDataFrame([(1, "a")], "k long, v string"), str(bad), "k")
     assert sorted(p.name for p in bad.iterdir()) == ["part-0.parquet"]
+
+
+def test_registration_in_the_stream(spark, tmp_path):
+    """A batch limit ends at a registration with a visible check, not at one without; older sessions end."""
+    lim = quota.Limits(per_minute=50, per_check=2, per_day=100, per_week=100)
+    day = 20_000 * quota.DAY_MS
+    events = [("s1", "a", None), ("s1", "b", None), ("s1", "c", None), ("s2", None, False), ("s2", None, True), ("s2", "c", None), ("s1", "d", None), ("s2", "d", None)]
+    rows = [("u", s, d, day + i * 2000, v) for i, (s, d, v) in enumerate(events)]
+    schema = "browser_id string, session_id string, doc_key string, ts_ms long, visible boolean"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    out = quota.charge(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), lim)
+    out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start().awaitTermination()
+    found = [(r["why"], r["passed"]) for r in spark.read.parquet(str(tmp_path / "out")).orderBy("ts_ms").collect()]
+    assert found == [("charged", True), ("charged", True), ("check", False), ("check", False), ("registered", True), ("charged", True), ("ended", False), ("charged", True)]
+    state = quota.fresh()
+    state["paused"] = 5000
+    assert quota.register(state, "s", 1000, True) == (False, False, "paused", 4)
