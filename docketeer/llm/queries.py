@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketeer.llm import lines, mixing, pieces, pii, quality, simhash, suffixes, tiff, token_files, toxicity
+from docketeer.llm import lines, mixing, pieces, pii, quality, runs, simhash, suffixes, tiff, token_files, toxicity
 from docketeer.llm.common import table
 
 #: Places of the public tokenizer files; the operators take them as parameters.
@@ -54,6 +54,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.document_components(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.document_runs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mixing": op2_mixing,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.ORACLE_SQL, "op8_line_dedup": lines.ORACLE_SQL}
