@@ -76,7 +76,9 @@ def crossing(ids: np.ndarray, mids: np.ndarray, reach: np.ndarray) -> Iterator[t
     for k in range(SCREEN):
         keep = (ids[mid + k] == ids[mid + q + k]) | (k >= need)
         mid, q, need = mid[keep], q[keep], need[keep]
-    first = np.flatnonzero(np.concatenate(([True], mid[1:] != mid[:-1]))) if len(mid) else []
+    if not len(mid):
+        return
+    first = np.flatnonzero(np.concatenate(([True], mid[1:] != mid[:-1]))).tolist()
     for at, end in zip(first, [*first[1:], len(mid)], strict=True):
         here, covered, z = int(mid[at]), 0, None
         for period, least in zip(q[at:end].tolist(), need[at:end].tolist(), strict=True):
