@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketeer.llm import lines, mixing, pieces, pii, quality, runs, simhash, suffixes, tiff, token_files, toxicity
+from docketeer.llm import lines, mixing, pieces, pii, quality, runs, search, simhash, suffixes, tiff, token_files, toxicity
 from docketeer.llm.common import table
 
 #: Places of the public tokenizer files; the operators take them as parameters.
@@ -58,6 +58,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.document_runs(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.benchmark_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mixing": op2_mixing,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_ranked_search": op12_ranked_search,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.ORACLE_SQL, "op8_line_dedup": lines.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.ORACLE_SQL, "op8_line_dedup": lines.ORACLE_SQL, "op12_ranked_search": search.ORACLE_SQL}
