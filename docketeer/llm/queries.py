@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketeer.llm import lines, mixing, pieces, pii, quality, runs, search, simhash, suffixes, tiff, token_files, toxicity
+from docketeer.llm import lines, mixing, pieces, pii, quality, runs, search, simhash, suffixes, tiff, token_files, toxicity, warc
 from docketeer.llm.common import table
 
 #: Places of the public tokenizer files; the operators take them as parameters.
@@ -62,6 +62,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.benchmark_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_digest(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mixing": op2_mixing,
@@ -75,6 +79,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_ranked_search": op12_ranked_search,
+    "op13_warc": op13_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.ORACLE_SQL, "op8_line_dedup": lines.ORACLE_SQL, "op12_ranked_search": search.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op2_mixing": mixing.ORACLE_SQL,
+    "op8_line_dedup": lines.ORACLE_SQL,
+    "op12_ranked_search": search.ORACLE_SQL,
+    "op13_warc": warc.ORACLE_SQL,
+}
