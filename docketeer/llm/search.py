@@ -39,19 +39,25 @@ from pyspark.sql.window import Window
 from docketeer.llm.common import shared_path, written
 
 #: A block closes at so many documents or bytes of text; one longer text is a block of its own.
-BLOCK_DOCS, BLOCK_BYTES = 64, 1_000_000
+BLOCK_DOCS, BLOCK_BYTES = 16, 1_000_000
 #: Queries, and bytes of their texts, that are looked for together; bounds what the driver and each task hold of them.
 QUERIES_TOGETHER, QUERY_BYTES = 256, 4_000_000
 #: Blocks of each query that are scored first, of as many from each task.
 FIRST_BLOCKS = 4
+#: A query's blocks are scored in rounds, each so many times as far down its list as the one before.
+ROUND = 4
 #: Sums of whole numbers below this are exact in doubles.
 EXACT = 2**53
 #: ASCII letters and digits and all bytes of other characters belong to terms, A-Z are lower-cased.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-BLOCK_FIELDS = (
-    "block bigint, n_docs bigint, n_terms bigint, lengths array<bigint>, terms array<binary>, term_docs array<int>, "
-    "term_most array<int>, term_least array<bigint>, sizes array<int>, doc_terms array<int>, doc_counts array<int>"
-)
+#: What a block's row holds beside its documents' keys: whole numbers, the terms' bytes one after another, and columns of
+#: little-endian 32-bit numbers: by document its length and how many different terms it holds, by term its bytes, the
+#: documents with it, its greatest count and the least length of those documents, by document and term the term's place
+#: and count.
+COUNTS, TEXTS = ("block", "n_docs", "n_terms"), ("term_bytes",)
+ARRAYS = ("lengths", "sizes", "term_sizes", "term_docs", "term_most", "term_least", "doc_terms", "doc_counts")
+#: Small row groups, as a reader holds a whole one.
+FILE_OPTIONS = {"compression": "zstd", "parquet.block.size": str(8 * 1024 * 1024), "parquet.block.size.row.check.min": "8"}
 
 
 def terms_of(text: bytes) -> list[bytes]:
@@ -61,8 +67,8 @@ def terms_of(text: bytes) -> list[bytes]:
 # --- the index ------------------------------------------------------------------------------------------------------
 
 
-def block_of(texts: list[bytes]) -> tuple:
-    """The fields of a block after its number, of its documents' texts."""
+def block_of(texts: list[bytes]) -> dict:
+    """A block's fields but for its number, of its documents' texts."""
     cut = [terms_of(t) for t in texts]
     lengths = np.array([len(t) for t in cut], np.int64)
     names = sorted(set().union(*cut))
@@ -71,16 +77,18 @@ def block_of(texts: list[bytes]) -> tuple:
     width = max(1, len(names))
     pairs, counts = np.unique(np.repeat(np.arange(len(cut)), lengths) * width + ids, return_counts=True)
     doc, term = pairs // width, pairs % width
-    most, least = np.zeros(len(names), np.int64), np.full(len(names), np.iinfo(np.int64).max)
+    most, least = np.zeros(len(names), np.int64), np.full(len(names), np.iinfo(np.int32).max)
     np.maximum.at(most, term, counts)
     np.minimum.at(least, term, lengths[doc])
-    return (int((lengths > 0).sum()), int(lengths.sum()), lengths, names, np.bincount(term, minlength=len(names)), most, least, np.bincount(doc, minlength=len(cut)), term, counts)
+    arrays = (lengths, np.bincount(doc, minlength=len(cut)), [len(t) for t in names], np.bincount(term, minlength=len(names)), most, least, term, counts)
+    return {"n_docs": int((lengths > 0).sum()), "n_terms": int(lengths.sum()), "term_bytes": b"".join(names)} | {k: np.asarray(v, "<i4").tobytes() for k, v in zip(ARRAYS, arrays, strict=True)}
 
 
 def build_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> None:
-    """Write the block index of docs to path: columns keys (array of key) and BLOCK_FIELDS."""
+    """Write the block index of docs to path: columns keys (array of key), COUNTS, TEXTS and ARRAYS."""
     source = docs.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"))
-    schema = T.StructType([T.StructField("keys", T.ArrayType(source.schema[0].dataType)), *T.StructType.fromDDL(BLOCK_FIELDS).fields])
+    fields = [T.StructField("keys", T.ArrayType(source.schema[0].dataType)), *(T.StructField(c, T.LongType()) for c in COUNTS), *(T.StructField(c, T.BinaryType()) for c in TEXTS + ARRAYS)]
+    schema = T.StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -93,12 +101,12 @@ def build_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
                 while end < batch.num_rows and end - at < BLOCK_DOCS and held + size[end] <= BLOCK_BYTES:
                     held, end = held + size[end], end + 1
                 part = batch.slice(at, end - at)
-                row = [part.column(0), number, *block_of(part.column(1).to_pylist())]
-                whole = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v if isinstance(v, pa.Array) else pa.array(v, f.type.value_type), type=f.type) if pa.types.is_list(f.type) else pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)]
-                yield pa.RecordBatch.from_arrays(whole, schema=arrow)
+                keys = pa.ListArray.from_arrays(pa.array([0, end - at], pa.int32()), part.column(0), type=arrow.field(0).type)
+                row = block_of(part.column(1).to_pylist()) | {"block": number}
+                yield pa.RecordBatch.from_arrays([keys, *(pa.array([row[f.name]], f.type) for f in list(arrow)[1:])], schema=arrow)
                 at, number = end, number + 1
 
-    source.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
+    source.mapInArrow(run, schema).write.options(**FILE_OPTIONS).parquet(path)
 
 
 # --- queries --------------------------------------------------------------------------------------------------------
@@ -141,44 +149,41 @@ class Queries:
         return (1_000_000_000 * counts) // (1000 * counts + 8 * m)
 
 
-def values(batch: pa.RecordBatch, name: str, row: int) -> pa.Array:
-    return batch.column(name)[row].values
-
-
-def numbers(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
-    return values(batch, name, row).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+class Block:
+    """A row of the index beside a group of queries: the terms that both have, by place in the block and by number."""
 
+    def __init__(self, batch: pa.RecordBatch, row: int, names: pa.Array) -> None:
+        self.batch, self.row = batch, row
+        sizes = self.numbers("term_sizes")
+        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        self.n_terms = len(sizes)
+        held = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), batch.column("term_bytes")[row].as_buffer()])
+        found = pc.index_in(held, value_set=names)
+        self.at = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        self.term = found.take(pa.array(self.at)).to_numpy(zero_copy_only=False).astype(np.int64)
 
-def known_terms(batch: pa.RecordBatch, row: int, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the block's terms, and numbers among the queries' terms, of the terms that both have."""
-    found = pc.index_in(values(batch, "terms", row), value_set=names)
-    at = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
-    return at, found.take(pa.array(at)).to_numpy(zero_copy_only=False).astype(np.int64)
+    def numbers(self, name: str) -> np.ndarray:
+        return np.frombuffer(self.batch.column(name)[self.row].as_buffer(), "<i4")
 
+    def keys(self) -> pa.Array:
+        return self.batch.column("keys")[self.row].values
 
-def block_bounds(batch: pa.RecordBatch, queries: Queries, names: pa.Array) -> np.ndarray:
-    """A row per block: no document of it can score more for each query."""
-    out = np.zeros((batch.num_rows, queries.n), queries.kind)
-    for row in range(batch.num_rows):
-        at, term = known_terms(batch, row, names)
-        share = queries.shares(numbers(batch, "term_most", row)[at], numbers(batch, "term_least", row)[at])
-        out[row] = share.astype(queries.kind) @ queries.rows(term)
-    return out
-
+    def bounds(self, queries: Queries) -> np.ndarray:
+        """No document of the block can score more for each query."""
+        most, least = (self.numbers(c)[self.at].astype(np.int64) for c in ("term_most", "term_least"))
+        return queries.shares(most, least).astype(queries.kind) @ queries.rows(self.term)
 
-def block_scores(batch: pa.RecordBatch, row: int, queries: Queries, names: pa.Array, chosen: np.ndarray) -> np.ndarray:
-    """Scores of the block's documents (rows) for the chosen queries (columns), from its forward index."""
-    at, term = known_terms(batch, row, names)
-    lengths = numbers(batch, "lengths", row)
-    place = np.full(len(values(batch, "terms", row)), -1)
-    place[at] = np.arange(len(at))
-    local = place[numbers(batch, "doc_terms", row)]
-    doc = np.repeat(np.arange(len(lengths)), numbers(batch, "sizes", row))
-    held = local >= 0
-    doc, local, count = doc[held], local[held], numbers(batch, "doc_counts", row)[held]
-    table = np.zeros((len(lengths), len(at)), queries.kind)
-    table[doc, local] = queries.shares(count, lengths[doc])
-    return table @ queries.rows(term)[:, chosen]
+    def scores(self, queries: Queries, chosen: np.ndarray) -> np.ndarray:
+        """Scores of the block's documents (rows) for the chosen queries (columns), from its forward index."""
+        lengths = self.numbers("lengths").astype(np.int64)
+        place = np.full(self.n_terms, -1)
+        place[self.at] = np.arange(len(self.at))
+        local = place[self.numbers("doc_terms")]
+        held = np.flatnonzero(local >= 0)
+        doc = np.repeat(np.arange(len(lengths)), self.numbers("sizes"))[held]
+        out = np.zeros((len(lengths), len(self.at)), queries.kind)
+        out[doc, local[held]] = queries.shares(self.numbers("doc_counts")[held].astype(np.int64), lengths[doc])
+        return out @ queries.rows(self.term)[:, chosen]
 
 
 class Best:
@@ -199,21 +204,29 @@ class Best:
 
 
 def score_blocks(batches: Iterator[pa.RecordBatch], queries: Queries, best: Best) -> None:
-    """Each batch's blocks by falling bound of each query, until no bound reaches the query's threshold."""
+    """Each batch's blocks by falling bound of each query, until no bound reaches the query's threshold.
+
+    The first block of each query is scored, then the next ROUND - 1 times as many as before, and so on; between rounds
+    thresholds rise.  A block is scored once a round for all queries that have it in the round."""
     names = pa.array(queries.names, pa.binary())
     for batch in batches:
-        bounds = block_bounds(batch, queries, names)
+        blocks = [Block(batch, row, names) for row in range(batch.num_rows)]
+        bounds = np.array([block.bounds(queries) for block in blocks])
         order = np.argsort(-bounds, axis=0, kind="stable")
-        for step in range(batch.num_rows):
-            block = order[step]
-            alive = np.flatnonzero(bounds[block, np.arange(queries.n)] >= best.least)
-            if not len(alive):
+        begin, end = 0, 1
+        while begin < len(blocks):
+            here = order[begin:end]
+            alive = bounds[here, np.arange(queries.n)] >= best.least
+            if not alive.any():
                 break
-            for row in np.unique(block[alive]).tolist():
-                chosen = alive[block[alive] == row]
-                scores = block_scores(batch, row, queries, names, chosen)
-                for i, query in enumerate(chosen.tolist()):
-                    best.add(query, scores[:, i], values(batch, "keys", row))
+            place, query = np.nonzero(alive)
+            row = here[place, query]
+            for one in np.unique(row).tolist():
+                chosen = query[row == one]
+                scores = blocks[one].scores(queries, chosen)
+                for i in np.flatnonzero((scores >= best.least[chosen]).any(axis=0)).tolist():
+                    best.add(int(chosen[i]), scores[:, i], blocks[one].keys())
+            begin, end = end, end * ROUND
 
 
 def _corpus_numbers(index: DataFrame, queries: Queries) -> tuple[int, int, dict[int, int]]:
@@ -221,13 +234,13 @@ def _corpus_numbers(index: DataFrame, queries: Queries) -> tuple[int, int, dict[
         names, total = pa.array(queries.names, pa.binary()), np.zeros(len(queries.names), np.int64)
         for batch in batches:
             for row in range(batch.num_rows):
-                at, term = known_terms(batch, row, names)
-                total[term] += numbers(batch, "term_docs", row)[at]
+                block = Block(batch, row, names)
+                total[block.term] += block.numbers("term_docs")[block.at]
         term = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(total[term])], names=["term", "df"])
 
     docs, terms = index.agg(F.sum("n_docs"), F.sum("n_terms")).first()
-    found = index.select("terms", "term_docs").mapInArrow(run, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    found = index.select("term_sizes", "term_bytes", "term_docs").mapInArrow(run, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).collect()
     return docs or 0, terms or 0, {r["term"]: r["df"] for r in found}
 
 
@@ -237,7 +250,7 @@ def _promising(index: DataFrame, queries: Queries) -> list[int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = pa.array(queries.names, pa.binary())
         for batch in batches:
-            bounds = block_bounds(batch, queries, names)
+            bounds = np.array([Block(batch, row, names).bounds(queries) for row in range(batch.num_rows)])
             top = np.argsort(-bounds, axis=0, kind="stable")[:FIRST_BLOCKS]
             query = np.broadcast_to(np.arange(queries.n), top.shape)
             bound = bounds[top, query].astype(np.int64)
@@ -245,7 +258,7 @@ def _promising(index: DataFrame, queries: Queries) -> list[int]:
             blocks = batch.column("block").to_numpy(zero_copy_only=False)[top]
             yield pa.RecordBatch.from_arrays([pa.array(query[held]), pa.array(blocks[held]), pa.array(bound[held])], names=["q", "block", "bound"])
 
-    rows = index.select("block", "terms", "term_most", "term_least").mapInArrow(run, "q bigint, block bigint, bound bigint")
+    rows = index.select("block", "term_sizes", "term_bytes", "term_most", "term_least").mapInArrow(run, "q bigint, block bigint, bound bigint")
     place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("bound"), "block"))
     return [r["block"] for r in rows.select("block", place.alias("place")).where(F.col("place") <= FIRST_BLOCKS).select("block").distinct().collect()]
 

@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from docketeer.llm import queries, search
@@ -66,19 +68,14 @@ def test_large_weights_stay_exact(spark):
 
 
 def test_bounds_hold_for_every_document():
-    import numpy as np
-    import pyarrow as pa
-
     rng = random.Random(4)
     texts = [" ".join(f"w{rng.randrange(30)}" for _ in range(rng.randrange(1, 80))).encode() for _ in range(64)]
-    fields = ("n_docs", "n_terms", "lengths", "terms", "term_docs", "term_most", "term_least", "sizes", "doc_terms", "doc_counts")
-    batch = pa.RecordBatch.from_pydict({f: [v.tolist() if isinstance(v, np.ndarray) else v] for f, v in zip(fields, search.block_of(texts), strict=True)})
-    batch = batch.set_column(3, "terms", pa.array([search.block_of(texts)[3]], pa.list_(pa.binary())))
+    batch = pa.RecordBatch.from_pylist([search.block_of(texts)])
     asked = search.Queries([b"w1 w2 w3", b"w5 w5 w29", b"none"])
     asked.weigh(64, batch.column("n_terms")[0].as_py(), {i: 9 for i in range(len(asked.names))})
-    names = pa.array(asked.names, pa.binary())
-    scores = search.block_scores(batch, 0, asked, names, np.arange(3))
-    assert scores.shape == (64, 3) and (scores <= search.block_bounds(batch, asked, names)[0]).all() and scores.max() > 0 and not scores[:, 2].any()
+    block = search.Block(batch, 0, pa.array(asked.names, pa.binary()))
+    scores = block.scores(asked, np.arange(3))
+    assert scores.shape == (64, 3) and (scores <= block.bounds(asked)).all() and scores.max() > 0 and not scores[:, 2].any()
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
