@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from docketeer.functions.text import let
+from docketeer.functions.text import let, lines_of, strip
 
 PAGE_BREAK = "\n\n"
 
@@ -132,17 +132,49 @@ def page_slice(pages: Column, start: Column, end: Column) -> Column:
     return F.slice(pages, low, high - low + 1)
 
 
-def common_lines(docs: DataFrame, key: str, pages: str = "pages", most: int = 12) -> DataFrame:
-    """How many lines all pages of a document share at their start (prefix) and end (suffix), at most `most`; documents
-    with one page share none."""
-    lines = docs.select(key, F.size(pages).alias("n"), F.explode(pages).alias("page")).where("n > 1").select(key, "n", F.split(F.coalesce("page", F.lit("")), "\n").alias("lines"))
-    sides = []
-    for side in (F.col("lines"), F.reverse("lines")):
-        at = lines.select(key, "n", F.posexplode(F.slice(side, 1, most)).alias("i", "line"))
-        same = at.groupBy(key, "i").agg((F.countDistinct("line") == 1).alias("one"), F.count("*").alias("c"), F.first("n").alias("n"))
-        broken = F.min(F.when(~F.col("one") | (F.col("c") < F.col("n")), F.col("i")))
-        sides.append(same.groupBy(key).agg(F.coalesce(broken, F.max("i") + 1).alias("k")))
-    return sides[0].withColumnRenamed("k", "prefix").join(sides[1].withColumnRenamed("k", "suffix"), key)
+#: Digits that aren't decimal ones, such as those in circles; with decimal digits they make page numbers.
+OTHER_DIGITS = "".join(c for c in map(chr, range(0x20000)) if c.isdigit() and not c.isdecimal())
+
+
+def line_kind(line: Column) -> Column:
+    """What makes lines of pages alike: the trimmed line, or that it is a page number such as 1 or - 1 -."""
+    text = strip(line)
+    plain = F.regexp_replace(F.translate(text, "–—", "--"), r"^[ \t-]+|[ \t-]+\z", "")
+    return F.when(plain.rlike(rf"^(?:\p{{Nd}}|[{OTHER_DIGITS}])+\z"), F.lit("\n")).otherwise(text)
+
+
+def shared_lines(pages: Column) -> Column:
+    """(prefix, suffix): how many lines all pages have alike at their starts, and of the lines left, at their ends.
+    Fewer than two pages, or an empty one, share none."""
+    kinds = F.transform(F.coalesce(pages, F.array().cast("array<string>")), lambda p: F.transform(lines_of(p), line_kind))
+
+    def count(all_pages: Column, most: Column) -> Column:
+        first = F.get(all_pages, F.lit(0))
+        place = F.when(most > 0, F.sequence(F.lit(0), F.greatest(most, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))
+        differ = F.filter(place, lambda i: ~F.forall(all_pages, lambda p: F.get(p, i) == F.get(first, i)))
+        return F.coalesce(F.get(differ, F.lit(0)), most)
+
+    def both(all_pages: Column) -> Column:
+        least = F.when(F.size(all_pages) < 2, F.lit(0)).otherwise(F.array_min(F.transform(all_pages, lambda p: F.size(p))))
+        return let(
+            F.struct(least.alias("least"), count(all_pages, least).alias("prefix")),
+            lambda x: F.struct(x["prefix"].alias("prefix"), count(F.transform(all_pages, lambda p: F.reverse(p)), x["least"] - x["prefix"]).alias("suffix")),
+        )
+
+    return let(kinds, both)
+
+
+def without_shared_lines(pages: Column) -> Column:
+    """Pages without the lines that all of them share at their starts and ends."""
+    return let(
+        shared_lines(pages),
+        lambda s: F.transform(pages, lambda p: let(lines_of(p), lambda a: F.array_join(F.slice(a, s["prefix"] + 1, F.size(a) - s["prefix"] - s["suffix"]), "\n"))),
+    )
+
+
+def common_lines(docs: DataFrame, key: str, pages: str = "pages") -> DataFrame:
+    """(key, prefix, suffix): how many lines all pages of each document share at their starts and ends."""
+    return docs.select(key, shared_lines(F.col(pages)).alias("__s")).select(key, "__s.prefix", "__s.suffix")
 
 
 def collapse_similar(docs: DataFrame, pages: str = "pages", ratio: float = 0.9) -> DataFrame:

@@ -186,10 +186,10 @@ def extensions_of(county: str) -> tuple[str, ...]:
     return SPECS[county].extensions if county in SPECS else (".pdf",)
 
 
-def case_division(case_number: Column) -> Column:
-    """The division that a case number's letters tell."""
+def case_division(case_number: Column, default: Column | None = None) -> Column:
+    """The division that a case number's letters tell, wherever they stand in it; else the default."""
     number = F.upper(blank(case_number))
-    out = F.lit("Civil")
-    for letters, name in (("FL", "Family Law"), ("PR", "Probate"), ("UD", "Unlawful Detainer"), ("LC", "Limited Civil")):
-        out = F.when(F.contains(number, F.lit(letters)), name).otherwise(out)
-    return out
+    has = lambda *letters: F.array_contains(F.array(*(F.contains(number, F.lit(x)) for x in letters)), True)
+    other = F.lit(None).cast("string") if default is None else default
+    # Letters in order of precedence, and the divisions' names.
+    return F.when(has("PR"), "Probate").when(has("FL"), "Family Law").when(has("CV", "CU", "CLJ", "CIV"), "Civil Law and Motion").otherwise(other)

@@ -144,16 +144,16 @@ def facet_list(rows: DataFrame, column: str, needle: str = "", order: str = "cou
 
 
 def case_history(rows: DataFrame, case_column: str = "case_number") -> DataFrame:
-    """Every row with the number of rows of its case."""
+    """Every row that has a case number, with the number of rows of its case."""
     sizes = rows.where(blank(F.col(case_column)) != "").groupBy(case_column).agg(F.count("*").alias("n_history"))
     return rows.join(sizes, case_column)
 
 
 def ordered_history(rows: DataFrame, ident: str = "ruling_id") -> DataFrame:
     """Every row of a case with place: its number in the case's history, latest hearing first, then by department
-    (both falling, as one text); equal ones by id."""
+    (both falling, as one text); equal ones by id.  Rows without a case number have no history, and are left out."""
     at = F.concat(blank(F.col("hearing_date")), F.lit(" "), blank(F.col("dept")))
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy("case_number").orderBy(at.desc(), ident)))
+    return rows.where(blank(F.col("case_number")) != "").withColumn("place", F.row_number().over(Window.partitionBy("case_number").orderBy(at.desc(), ident)))
 
 
 #: Columns with so many values that none is ticked at first.
@@ -186,21 +186,6 @@ def export_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat_ws(",", *cells).alias("line"))
 
 
-def version_chain(rows: DataFrame, ident: str, previous: str, depth: int = 32) -> DataFrame:
-    """(ident, ancestor, distance): the previous versions of each row up to depth, each once; a cycle ends where it
-    comes back to a row.  A round joins what is known with steps of twice the last length, so that there are
-    log2(depth) rounds, each written."""
-    step = rows.where(F.col(previous).isNotNull() & (F.col(previous) != F.col(ident))).select(F.col(ident).alias("id"), F.col(previous).alias("to"), F.lit(1).alias("d"))
-    known, length = written(step, "versions"), 1
-    step = known
-    while length < depth and not step.isEmpty():
-        onward = step.select(F.col("id").alias("__via"), F.col("to").alias("__to"), F.col("d").alias("__d"))
-        joined = lambda left: left.join(onward, F.col("to") == F.col("__via")).where(F.col("id") != F.col("__to")).select("id", F.col("__to").alias("to"), (F.col("d") + F.col("__d")).alias("d"))
-        longer = known.union(joined(known)).where(F.col("d") <= depth).groupBy("id", "to").agg(F.min("d").alias("d"))
-        known, step, length = written(longer, "versions"), written(joined(step), "versions"), 2 * length
-    return known.select(F.col("id").alias(ident), F.col("to").alias("ancestor"), F.col("d").alias("distance"))
-
-
 def version_depths(rows: DataFrame, ident: str, previous: str) -> DataFrame:
     """(ident, root, n_versions) of each row with a previous version: its oldest version and how many lie before it;
     null for rows whose versions go in a cycle.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docketeer.functions import classify, dates, ids, text
-from docketeer.operators import blocks, dedupe, view, warehouse
+from docketeer.operators import blocks, dedupe, parsing, view, warehouse
 from docketeer.plans.registry import Tables, query
 
 _DAY = "(DATE '2024-01-01' + (doc_id % 365)::INTEGER)"
@@ -309,10 +309,40 @@ def adjacent_page_dedupe(t: Tables) -> DataFrame:
     return blocks.collapse_similar(pages).select("doc_id", F.size("pages").alias("n_pages"))
 
 
-@query("""WITH p AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
-SELECT doc_id, (CASE WHEN len(l) < 2 THEN 0 WHEN l[1] = l[2] THEN 1 ELSE 0 END)::INTEGER AS prefix FROM p WHERE len(l) >= 2""")
-def shared_page_lines(t: Tables) -> DataFrame:
-    """Whether the first two lines, taken as one-line pages, share their header line."""
+_PAGES_SQL = """WITH g AS (SELECT doc_id, list_transform(range(0, len(l), 6), lambda i: ['Superior Court', 'Department ' || coalesce(source, '')] || l[i + 1:i + 6] || ['- ' || (i // 6 + 1) || ' -']) AS pages
+  FROM (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+k AS (SELECT *, list_transform(pages, lambda p: list_transform(p, lambda x: CASE WHEN regexp_matches(x, '^[\\s–—-]*[0-9]+[\\s–—-]*$') THEN chr(10) ELSE trim(x) END)) AS kinds,
+  CASE WHEN len(pages) < 2 THEN 0 ELSE list_min(list_transform(pages, lambda p: len(p))) END AS least FROM g),
+a AS (SELECT *, coalesce(list_min(list_filter(range(least), lambda i: len(list_distinct(list_transform(kinds, lambda p: p[i + 1]))) > 1)), least) AS prefix FROM k),
+b AS (SELECT *, coalesce(list_min(list_filter(range(least - prefix), lambda i: len(list_distinct(list_transform(kinds, lambda p: p[len(p) - i]))) > 1)), least - prefix) AS suffix FROM a)"""
+
+
+def _headed_pages(t: Tables) -> DataFrame:
+    """Whole texts as pages of six lines, each with a header of two lines and a page number below."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    two = t.documents.select("doc_id", F.slice(lines, 1, 2).alias("pages")).where(F.size("pages") >= 2)
-    return blocks.common_lines(two, "doc_id").select("doc_id", F.col("prefix").cast("int").alias("prefix"))
+    head = F.concat(F.lit("Superior Court\nDepartment "), F.coalesce("source", F.lit("")), F.lit("\n"))
+    page = lambda i: F.concat(head, F.array_join(F.slice("lines", i + 1, F.lit(6)), "\n"), F.lit("\n- "), F.floor(i / 6) + 1, F.lit(" -"))
+    cut = t.documents.select("doc_id", "source", lines.alias("lines"))
+    return cut.select("doc_id", F.transform(F.sequence(F.lit(0), F.size("lines") - 1, F.lit(6)), page).alias("pages"))
+
+
+@query(_PAGES_SQL + " SELECT doc_id, prefix::INTEGER AS prefix, suffix::INTEGER AS suffix FROM b")
+def shared_page_lines(t: Tables) -> DataFrame:
+    """How many lines the pages of each document share at their starts and ends; page numbers count as alike."""
+    return blocks.common_lines(_headed_pages(t), "doc_id")
+
+
+@query(_PAGES_SQL + """ SELECT doc_id, len(pages)::INTEGER AS n_pages, sha256(array_to_string(list_transform(pages, lambda p: array_to_string(p[prefix + 1:len(p) - suffix], chr(10))), chr(12))) AS body_sha256 FROM b""")
+def stripped_pages(t: Tables) -> DataFrame:
+    """Whole pages without the header and footer lines that all pages of their document share."""
+    body = F.array_join(blocks.without_shared_lines(F.col("pages")), "\x0c")
+    return _headed_pages(t).select("doc_id", F.size("pages").alias("n_pages"), F.sha2(body, 256).alias("body_sha256"))
+
+
+@query("""SELECT doc_id, CASE WHEN contains(c, 'PR') THEN 'Probate' WHEN contains(c, 'FL') THEN 'Family Law'
+  WHEN contains(c, 'CV') OR contains(c, 'CU') OR contains(c, 'CLJ') OR contains(c, 'CIV') THEN 'Civil Law and Motion' ELSE lang END AS division
+FROM (SELECT doc_id, lang, upper(substr(coalesce(text, ''), 1, 40)) AS c FROM documents)""")
+def case_divisions(t: Tables) -> DataFrame:
+    """Divisions by the letters of case numbers, for which the texts' first letters stand; else the language."""
+    number = F.substring(F.coalesce("text", F.lit("")), 1, 40)
+    return t.documents.select("doc_id", parsing.case_division(number, F.col("lang")).alias("division"))

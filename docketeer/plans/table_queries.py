@@ -176,10 +176,13 @@ def case_history(t: Tables) -> DataFrame:
 
 
 @query("""SELECT o_orderkey AS ruling_id, o_custkey::VARCHAR AS case_number,
- row_number() OVER (PARTITION BY o_custkey ORDER BY strftime(o_orderdate, '%Y-%m-%d') || ' ' || coalesce(o_orderpriority, '') DESC, o_orderkey)::INTEGER AS place FROM orders JOIN customer ON o_custkey = c_custkey""")
+ row_number() OVER (PARTITION BY o_custkey ORDER BY strftime(o_orderdate, '%Y-%m-%d') || ' ' || coalesce(o_orderpriority, '') DESC, o_orderkey)::INTEGER AS place
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_custkey % 10 > 1""")
 def case_history_order(t: Tables) -> DataFrame:
-    """Every case's rows with their places in its history."""
-    return view.ordered_history(_viewer_rows(t).withColumn("dept", F.col("outcome"))).select("ruling_id", "case_number", "place")
+    """Every case's rows with their places in its history; rows whose case number is null or blank have none."""
+    number = F.when(F.col("case_number").cast("long") % 10 == 1, "").when(F.col("case_number").cast("long") % 10 > 1, F.col("case_number"))
+    rows = _viewer_rows(t).withColumn("dept", F.col("outcome")).withColumn("case_number", number)
+    return view.ordered_history(rows).select("ruling_id", "case_number", "place")
 
 
 @query("""SELECT o_orderkey || ',' || c_mktsegment || ',,,' || strftime(o_orderdate, '%Y-%m-%d') || ',' || o_custkey || ',' || CASE WHEN regexp_matches(c_name, '[",]') THEN '"' || replace(c_name, '"', '""') || '"' ELSE c_name END

@@ -155,3 +155,33 @@ def test_text(value):
     assert value(text.csv_cell, '=1,"a"') == '"\'=1,""a"""'
     assert value(text.html_escape, "<a & 'b'>") == "&lt;a &amp; &#39;b&#39;&gt;"
     assert value(text.mask, "/2024-01-02/ID 33 0123456789abcdef0123") == "/{date}/id {number} {hash}"
+
+
+def test_unescape_equals_the_standard_library(spark):
+    """Every named reference with and without its semicolon, numbers at all limits, and references inside words."""
+    import html
+    from html.entities import html5
+
+    from docketeer.functions import text
+
+    numbers = [*range(0, 300), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDCF, 0xFDD0, 0xFDEF, 0xFDF0, 0xFFFD, 0xFFFE, 0xFFFF, 0x10000, 0x1FFFE, 0x10FFFF, 0x110000, 10**12]
+    cases = [f"a&{name}b &{name}" for name in html5] + [f"&#{n};&#x{n:x};&#X{n:X}z&#0{n} " for n in numbers]
+    cases += ["", "&", "&&amp;", "&amp;lt;", "&notit; &notin; &ampx; &unknown; &#; &#x; &#xg;", "&" + "a" * 50 + ";", "a & b &copy", "&\namp;", "&lt&gt;&QUOT;"]
+    df = spark.createDataFrame([(c,) for c in [*cases, None]], "c string").select("c", text.unescape(F.col("c")).alias("u"))
+    wrong = [(r["c"], r["u"]) for r in df.collect() if r["u"] != html.unescape(r["c"] or "")]
+    assert not wrong, wrong[:5]
+
+
+def test_clean_lines(value):
+    from docketeer.functions import text
+
+    cases = {"a&mdash;b &#8217; &sect;&nbsp;c": "a—b ’ § c", " a \r\n\tb\r\r\r\rc \x0b d\n": "a\nb\n\nc d", "　x\n \n \n y": "x\n\ny", "": ""}
+    for given, expected in cases.items():
+        assert value(text.clean_lines, given) == expected
+
+
+@pytest.mark.parametrize("number, expected", [("LCPR1", "Probate"), ("24FL0001", "Family Law"), ("24clj001", "Civil Law and Motion"), ("CU0001", "Civil Law and Motion"), ("UD1", "other"), (None, "other")])
+def test_case_division(value, number, expected):
+    from docketeer.operators.parsing import case_division
+
+    assert value(lambda c: case_division(c, F.lit("other")), number) == expected
