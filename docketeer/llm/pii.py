@@ -6,11 +6,11 @@ IPv6 addresses.  Boosted trees score each candidate, and those over their kind's
 are added.
 
 Training needs no labels from the base rules: into a bounded sample of documents, each of other values, forms are planted
-that the base rules miss (at-signs and dots spelled out, other separators, a number without its plus, IPv6, a card
-number with one digit mistyped), bare or behind a cue, and beside them numbers that only look so (dates, times, sums,
+that the base rules miss (at-signs and dots spelled out, other separators, a number without its plus, IPv6), bare or
+behind a cue, and beside them things that only look so (card numbers whose check digit is wrong, dates, times, sums,
 sections, identifiers, secrets).  Planted forms are the positive candidates; planted look-alikes and the documents' own
-candidates are the negative ones, but for own candidates that may be what they look like (they have the kind's number
-of digits and touch no letter): these are left out, as are all that touch a base span.  One half fits the trees, the
+candidates are the negative ones, but for own candidates that keep all of the kind's rules and touch no letter: whether
+these are anybody's can't be known, so they are left out, as are all that touch a base span.  One half fits the trees, the
 other sets for each kind the lowest threshold with MIN_PRECISION; a kind without positives adds nothing.  Where there
 are more candidates than MAX_CANDIDATES, each half's positives and negatives are sampled by a hash of the candidate's
 place, the smaller ones of these four groups the least, and what is left of a group weighs as much as all of it when
@@ -41,10 +41,11 @@ from docketeer.llm.common import slices, written
 KINDS = ("email", "ip", "card", "phone")
 #: Documents and candidates that training may see, and the precision that thresholds must keep.
 MAX_DOCS, MAX_CANDIDATES, MIN_PRECISION = 4_000, 20_000, 0.98
+#: Values planted in a document with so many spaces: forms and look-alikes by turns.
+PLANTED = 10
 
 Span = tuple[int, int, int]  # kind number, start, end
 
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3,}")  # from a number's first digit alone: else long numbers are read once for each of theirs
@@ -109,11 +110,35 @@ _AT = re.compile("@")
 _AT_BRACKETED = re.compile(r" ?[\[(]at[\])] ?")
 _AT_WORD = re.compile(r" at (?=[a-zA-Z0-9-]+(?: dot |\.[a-zA-Z]| ?[\[(]dot[\])]))")
 _FAR = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| dot | ?[\[(]dot[\])] ?)[A-Za-z0-9-]+)+")
-_GROUPS = re.compile(r"\+?[0-9(][0-9 ().\-/]{5,38}[0-9]")
+_RUN = re.compile(r"[+(]?[0-9](?:[ ().\-/]*[0-9])+")
+#: Digits that candidates of a kind hold, at least and at most.
+_WINDOWS = ((2, 12, 20), (3, 7, 16))
 _QUAD = re.compile(r"[0-9]{1,3}(?:[.\-][0-9]{1,3}){3}")
 _V6 = re.compile(r"(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}")
 
 
+def _number_windows(text: str, start: int, end: int) -> Iterator[Span]:
+    """Of a run of digits and separators the whole where it has few enough digits for the kind, else from each of its
+    numbers on the longest stretch that has."""
+    numbers = [(m.start(), m.end()) for m in _NUMBER.finditer(text, start, end)]
+    total = sum(b - a for a, b in numbers)
+    for kind, low, high in _WINDOWS:
+        if total <= high:
+            if total >= low:
+                yield kind, start, end
+            continue
+        upto = held = 0
+        for i, (a, b) in enumerate(numbers):
+            if upto <= i:
+                upto, held = i, 0
+            while upto < len(numbers) and held + numbers[upto][1] - numbers[upto][0] <= high:
+                held += numbers[upto][1] - numbers[upto][0]
+                upto += 1
+            if held >= low and (i == 0 or upto == len(numbers) or numbers[upto][0] > numbers[upto - 1][1]):
+                yield kind, a - (a > start and text[a - 1] in "+("), numbers[upto - 1][1]
+            held -= b - a if upto > i else 0
+
+
 def candidates(text: str) -> list[Span]:
     """Proposed spans; they may overlap, and a stretch may be proposed for several kinds."""
     found: set[Span] = set()
@@ -121,18 +146,21 @@ def candidates(text: str) -> list[Span]:
     if "at]" in text or "at)" in text:
         marks += _AT_BRACKETED.finditer(text)
     for mark in marks:
-        near, far = _LOCAL.search(text, max(0, mark.start() - 64), mark.start()), _FAR.match(text, mark.end())
-        if near and far:
-            found.add((0, near.start(), far.end()))
-    for match in _GROUPS.finditer(text):
-        n = sum("0" <= c <= "9" for c in match[0])
-        found |= {(kind, match.start(), match.end()) for kind, low, high in ((2, 12, 20), (3, 7, 16)) if low <= n <= high}
+        near = mark.start()
+        while near and text[near - 1] in _NAME_CHARS:
+            near -= 1
+        far = _FAR.match(text, mark.end())
+        if near < mark.start() and far:
+            found.add((0, near, far.end()))
+    for match in _RUN.finditer(text):
+        found.update(_number_windows(text, match.start(), match.end()))
     for pattern in (_QUAD, _V6) if text.count(":") > 2 else (_QUAD,):
         found |= {(1, m.start(), m.end()) for m in pattern.finditer(text)}
     return sorted(found)
 
 
-FEATURES = ("is_email", "is_ip", "is_card", "is_phone", "length", "digits", "letters", "separators", "groups", "longest", "shortest", "plus", "at_sign", "dots", "hyphens", "spaces", "colons", "luhn", "octets", "before", "after", "word_before", "colon_before", "digits_around", "bars_around", "cue", "year")
+_ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+FEATURES = ("is_email", "is_ip", "is_card", "is_phone", "length", "digits", "letters", "separators", "groups", "longest", "shortest", "plus", "at_sign", "dots", "hyphens", "spaces", "colons", "luhn", "octets", "before", "after", "word_before", "colon_before", "digits_around", "bars_around", "cue", "year", "last")
 
 
 #: Words before a value that tell its kind, in the order of KINDS.
@@ -171,6 +199,7 @@ def features(text: str, span: Span) -> list[float]:
         (before + after).count("|"),
         next((1.0 + k for k, cue in enumerate(_CUE_WORDS) if cue.search(before)), 0.0),
         any(1900 <= int(n[:4]) < 2040 for n in numbers if len(n) in (4, 14)),
+        len(inside) - len(inside.rstrip(_ALNUM)),
     ]
 
 
@@ -198,25 +227,26 @@ def planted_form(rng: random.Random, kind: int) -> str:
     """A value of the kind as the base rules don't take it."""
     if kind == 0:
         local = _name(rng) + rng.choice(("", ".", "_")) + rng.choice((_name(rng), str(rng.randrange(1000))))
-        at, dot = rng.choice((" [at] ", "[at]", "(at)", " (at) ", " at ")), rng.choice((".", "[dot]", "(dot)", " dot "))
+        at, dot = (" at ", " dot ") if rng.random() < 0.3 else (rng.choice((" [at] ", "[at]", "(at)", " (at) ")), rng.choice((".", "[dot]", "(dot)", " dot ")))
         return local + at + dot.join([_name(rng), *([_name(rng)] if rng.random() < 0.3 else []), rng.choice(("com", "org", "net", "de", "fr", "es"))])
     if kind == 1:
         if rng.random() < 0.5:
             return "-".join(str(rng.randrange(256)) for _ in range(4))
         return ":".join(f"{rng.randrange(1 << 16):x}" for _ in range(8))
     if kind == 2:
-        digits = _card(rng)
-        if rng.random() < 0.5:  # one digit wrong, so that the check fails
-            at = rng.randrange(1, 16)
-            digits = digits[:at] + str((int(digits[at]) + rng.randrange(1, 10)) % 10) + digits[at + 1 :]
-            between = rng.choice(("", "", " ", "-"))
-        else:
-            between = rng.choice(("/", ".", "  ", " - "))
+        digits, between = _card(rng), rng.choice(("/", ".", "  ", " - "))
         return between.join(digits[i : i + 4] for i in range(0, 16, 4))
     area, first, last = str(rng.randrange(200, 999)), str(rng.randrange(200, 999)), _number(rng, 4)
     return rng.choice((f"({area}) {first}-{last}", f"{area}-{first}-{last}", f"{area}.{first}.{last}", f"1/{area}/{first}/{last}", f"00{rng.randrange(1, 99)} {area} {first} {last}", f"1 ({area}) {first}-{last}"))
 
 
+def _mistyped(rng: random.Random) -> str:
+    """A card number with one digit wrong, so that its check fails, in one of the usual or unusual ways of writing."""
+    digits, at = _card(rng), rng.randrange(16)
+    digits = digits[:at] + str((int(digits[at]) + rng.randrange(1, 10)) % 10) + digits[at + 1 :]
+    return rng.choice(("", "", " ", "-", "/", ".", "  ", " - ")).join(digits[i : i + 4] for i in range(0, 16, 4))
+
+
 def look_alike(rng: random.Random) -> str:
     """Something that generators propose and that is nobody's data."""
     year, month, day = rng.randrange(1900, 2040), rng.randrange(1, 13), rng.randrange(1, 29)
@@ -233,6 +263,8 @@ def look_alike(rng: random.Random) -> str:
             f"{_name(rng)} = \"{rng.getrandbits(160):040x}\"",
             f"{_name(rng).upper()}{_number(rng, rng.randrange(9, 17))}{rng.choice(_SYLLABLES)}",
             f"look at {_name(rng)} dot {_name(rng)}",
+            _mistyped(rng),
+            _mistyped(rng),
             f"978-{rng.randrange(10)}-{_number(rng, 2)}-{_number(rng, 6)}-{rng.randrange(10)}",
         )
     )
@@ -241,8 +273,8 @@ def look_alike(rng: random.Random) -> str:
 def planted(text: str, seed: int) -> tuple[str, list[Span], list[tuple[int, int]]]:
     """text with values planted between its words: (text, the spans of the planted forms, places of the look-alikes)."""
     rng = random.Random(seed)
-    gaps = [m.start() for m in re.finditer(" ", text)] if len(text) < 20_000 else [m.start() for m in re.finditer(" ", text[:20_000])]
-    where = sorted(rng.sample(gaps, min(4, len(gaps)))) if gaps else [len(text)]
+    gaps = [m.start() for m in re.finditer(" ", text)]
+    where = sorted(rng.sample(gaps, min(PLANTED, len(gaps)))) if gaps else [len(text)]
     out, spans, others, size, at = [], [], [], 0, 0
     for number, gap in enumerate(where):
         out.append(text[at:gap] + " ")
@@ -295,11 +327,15 @@ def _matches(span: Span, truth: list[Span]) -> bool:
 
 
 def _may_be(text: str, span: Span) -> bool:
-    """Whether a document's own candidate may be what it looks like."""
+    """Whether a document's own candidate keeps all rules of its kind, so that nobody can say that it isn't one."""
     kind, start, end = span
-    around = text[start - 1 : start] + text[end : end + 1]
-    digits = len(_digits(text[start:end]))
-    return not any(c.isalnum() for c in around) and (kind < 2 or (13 <= digits <= 19 if kind == 2 else 9 <= digits <= 15))
+    numbers = _NUMBER.findall(text, start, end)
+    digits = "".join(numbers)
+    if any(c.isalnum() for c in text[start - 1 : start] + text[end : end + 1]):
+        return False
+    if kind == 1:
+        return ":" in text[start:end] or all(int(n) <= 255 for n in numbers)
+    return kind == 0 or (13 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 9 <= len(digits) <= 15 and len(numbers) > 1)
 
 
 def labelled(text: str, seed: int) -> list[tuple[int, Span, str]]:
@@ -317,10 +353,11 @@ def labelled(text: str, seed: int) -> list[tuple[int, Span, str]]:
 
 
 def training_rows(docs: DataFrame, limit: int = MAX_DOCS) -> DataFrame:
-    """label, half, features and place (a hash) of the candidates of at most limit documents, those with the smallest hash."""
-    sample = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", F.lit(3)).alias("h"))
-    ids = sample.select("doc_id", "h").distinct().orderBy("h", "doc_id").limit(limit).select("doc_id")
-    sample = sample.join(F.broadcast(ids), "doc_id").select("text", F.pmod(F.col("h"), F.lit(2)).cast("int").alias("half"), "h")
+    """label, half, features and place (a hash) of the candidates of at most limit documents, those with the smallest
+    hash of doc_id and text; rows that are equal in both count once."""
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", "text", F.lit(3)).alias("h"))
+    chosen = rows.select("h").distinct().orderBy("h").limit(limit)
+    sample = rows.join(F.broadcast(chosen), "h").groupBy("h").agg(F.first("text").alias("text")).select("text", F.pmod(F.col("h"), F.lit(2)).cast("int").alias("half"), "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
