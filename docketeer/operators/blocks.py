@@ -10,32 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from docketeer.functions.arrays import scan
 from docketeer.functions.text import let, lines_of, strip
 
 PAGE_BREAK = "\n\n"
 
 
-#: Numbers that are summed one after the other; the sums of such chunks are summed in turn.
-CHUNK = 256
-
-
 def starts_of(lengths: Column) -> Column:
-    """Where each of consecutive pieces starts (from 0), by their lengths: sums of all lengths before, inside the row.
-
-    Arrays are copied as they grow, so they grow by chunks: a row of n pieces costs n * CHUNK + (n / CHUNK) ** 2 copies.
-    """
-    zero = F.array(F.lit(0))
-    grow = lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))
-    size = F.size(lengths)
-    firsts = F.when(size > 0, F.sequence(F.lit(1), F.greatest(size, F.lit(1)), F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
-    chunks = F.transform(firsts, lambda at: F.aggregate(F.slice(lengths, at, F.lit(CHUNK)), zero, grow))  # each ends with its sum
-    return let(
-        chunks,
-        lambda parts: let(
-            F.aggregate(parts, zero, lambda acc, part: grow(acc, F.element_at(part, -1))),
-            lambda bases: F.flatten(F.transform(parts, lambda part, k: F.transform(F.slice(part, F.lit(1), F.size(part) - 1), lambda x: x + F.get(bases, k)))),
-        ),
-    )
+    """Where each of consecutive pieces starts (from 0), by their lengths: sums of all lengths before, inside the row."""
+    return scan(lengths, F.lit(0), lambda a, b: a + b)
 
 
 def lines_with_starts(text: Column) -> Column:

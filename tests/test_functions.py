@@ -8,17 +8,6 @@ from pyspark.sql import functions as F
 from docketeer.functions import classify, dates, ids, text, urls
 
 
-@pytest.fixture(scope="module")
-def value(spark):
-    """The value of an expression over one string (or several)."""
-
-    def of(make, *args):
-        row = spark.createDataFrame([args], ", ".join(f"c{i} string" for i in range(len(args))))
-        return row.select(make(*(F.col(f"c{i}") for i in range(len(args)))).alias("v")).first()[0]
-
-    return of
-
-
 @pytest.mark.parametrize(
     ("given", "limit", "expected"),
     [
