@@ -81,15 +81,19 @@ def unescape(c: Column) -> Column:
     return F.when(F.contains(blank(c), F.lit("&")), F.array_join(F.transform(pieces, decoded), "")).otherwise(blank(c))
 
 
-def clean_lines(c: Column) -> Column:
-    """Character references decoded, line ends as LF, blanks in lines collapsed and none at their ends, at most one
-    empty line in a row, trimmed."""
-    out = F.translate(unescape(c), " ", " ")
+def tidy_lines(c: Column) -> Column:
+    """Line ends as LF, blanks in lines collapsed and none at their ends, at most one empty line in a row, trimmed."""
+    out = F.translate(blank(c), " ", " ")
     for pattern, to in (("\r\n?", "\n"), (r"[ \t\f\x0B]+", " "), (r"\n[ \t]+", "\n"), (r"[ \t]+\n", "\n"), (r"\n{3,}", "\n\n")):
         out = F.regexp_replace(out, pattern, to)
     return strip(out)
 
 
+def clean_lines(c: Column) -> Column:
+    """Character references decoded, then tidy_lines()."""
+    return tidy_lines(unescape(c))
+
+
 def clip(c: Column, limit: int) -> Column:
     """Collapsed text; if longer than limit, cut at the last space within it (when past the middle) and marked."""
 

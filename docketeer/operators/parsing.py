@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docketeer.functions import classify, dates, ids
-from docketeer.functions.text import blank, clean_lines, collapse, first_filled
+from docketeer.functions.text import blank, clean_lines, collapse, first_filled, tidy_lines
 from docketeer.operators import blocks
 from docketeer.sources.docx import docx_lines
 from docketeer.sources.html import html_to_text
@@ -107,7 +108,7 @@ SPECS: dict[str, ParserSpec] = {
     )
 }
 
-#: County to a function that replaces the declared parser: (docs, spec) to ruling rows.
+#: County to a function that replaces the declared parser: (docs, spec) to ruling rows (docketeer.operators.readers).
 CUSTOM: dict[str, Callable[[DataFrame, ParserSpec], DataFrame]] = {}
 
 
@@ -115,25 +116,36 @@ def register(county: str, parser: Callable[[DataFrame, ParserSpec], DataFrame])
     CUSTOM[county] = parser
 
 
+def cleaned(docs: DataFrame) -> DataFrame:
+    """docs with tidy pages, their character references decoded."""
+    return docs.withColumn("pages", F.transform("pages", clean_lines))
+
+
 def extract(docs: DataFrame, spec: ParserSpec) -> DataFrame:
     """Rulings of one county's documents: source_sha256, source_url, pages, and perhaps dept_hint and division_hint."""
-    if spec.county in CUSTOM:
-        return CUSTOM[spec.county](docs, spec)
+    return _parsed(cleaned(docs), spec)
+
+
+def _parsed(docs: DataFrame, spec: ParserSpec) -> DataFrame:
+    return CUSTOM[spec.county](docs, spec) if spec.county in CUSTOM else declared(docs, spec)
+
+
+def declared(docs: DataFrame, spec: ParserSpec) -> DataFrame:
+    """What the declaration alone finds in cleaned documents."""
     hints = [c for c in ("dept_hint", "division_hint") if c in docs.columns]
-    base = docs.select("source_sha256", "source_url", *hints, blocks.joined_pages(F.transform("pages", clean_lines)).alias("j"), F.size("pages").alias("n_pages"))
+    base = docs.select("source_sha256", "source_url", *hints, blocks.joined_pages(F.col("pages")).alias("j"), F.size("pages").alias("n_pages"))
     keep = ["source_sha256", "source_url", *hints, "n_pages", "starts", "hearing_date", "text"]
     dated = base.select("source_sha256", "source_url", *hints, "n_pages", F.col("j.starts").alias("starts"), F.col("j.text").alias("text"), F.coalesce(*(dates.find_date(F.substring("j.text", 1, n) if n else F.col("j.text")) for n in spec.date_chars)).alias("hearing_date"))
     found = blocks.split_at(dated.where("hearing_date is not null").withColumn("length", F.length("text")), spec.anchor, [c for c in keep if c != "text"] + ["length"])
 
-    head = F.substring("block", 1, 2000)
-    case = F.upper(F.regexp_extract(head, spec.number, 1))
-    title = F.regexp_extract(head, spec.title.replace("CASE_NUMBER", spec.number[1:-1]), 1)
+    case = F.upper(F.regexp_extract("block", spec.number, 1))
+    title = F.regexp_extract("block", spec.title.replace("CASE_NUMBER", spec.number[1:-1]), 1)
     rows = found.withColumn("case_number", case).where("case_number <> ''").withColumn("case_title", collapse(title))
     after = F.substring_index(F.col("block"), "\n", 1)
     rest = F.substring(F.col("block"), F.length(after) + 2, F.length("block"))
     lines = F.filter(F.split(rest, "\n"), lambda x: F.trim(x) != "")
     motion = F.coalesce(F.get(lines, F.lit(0)), F.lit(""))
-    body = clean_lines(F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines), F.lit(1))), "\n"))
+    body = tidy_lines(F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines), F.lit(1))), "\n"))
     rows = rows.withColumn("motion_type", collapse(motion)).withColumn("body_text", F.regexp_extract(body, spec.body, 1) if spec.body else body)
     rows = rows.withColumn("body_text", first_filled(F.col("body_text"), F.col("motion_type")))
 
@@ -146,40 +158,54 @@ def extract(docs: DataFrame, spec: ParserSpec) -> DataFrame:
     section = F.last(F.nullif(F.regexp_extract("block", spec.section, 1), F.lit("")), ignorenulls=True).over(place.rowsBetween(Window.unboundedPreceding, -1)) if spec.section else F.lit(None).cast("string")
     rows = rows.withColumn("division", F.coalesce(hint("division_hint"), collapse_or_null(section), F.lit(spec.division)))
     end = F.col("start") + F.length("block") - 1
-    part = {"sha": F.col("source_sha256"), "index": F.col("ruling_index"), "case": F.col("case_number"), "start": F.col("start"), "url": F.col("source_url")}
     first_page = blocks.page_for_offset(F.col("starts"), F.col("start"))
+    rows = rows.withColumn("full_text", F.col("block")).withColumn("page_start", first_page).withColumn("page_end", F.greatest(first_page, blocks.page_for_offset(F.col("starts"), end)))
+    return finished(rows, spec, f"{spec.county}-declared")
+
+
+def finished(rows: DataFrame, spec: ParserSpec, style: str) -> DataFrame:
+    """Ruling rows of what a parser found: identity, and what the county's rules say of the body."""
+    part = {"sha": F.col("source_sha256"), "index": F.col("ruling_index"), "case": F.col("case_number"), "start": F.col("start") if "start" in rows.columns else F.col("page_start"), "url": F.col("source_url")}
     return rows.select(
         ids.ruling_id(*(part[p] for p in spec.id_parts)).alias("ruling_id"), F.lit(spec.county).alias("county"), "division", "dept", "hearing_date", "ruling_index", "case_number", "case_title", "motion_type",
         spec.rules.outcome(F.col("body_text")).alias("outcome"), F.col("body_text").alias("outcome_text"), spec.rules.is_conditional(F.col("body_text")).alias("conditional"), spec.rules.continued_to(F.col("body_text")).alias("continued_to"),
-        "body_text", F.col("block").alias("full_text"), first_page.alias("page_start"), F.greatest(first_page, blocks.page_for_offset(F.col("starts"), end)).alias("page_end"),
-        "source_sha256", "source_url", F.lit(f"{spec.county}-v{spec.version}").alias("parser_version"), F.lit(f"{spec.county}-declared").alias("style"),
+        "body_text", "full_text", "page_start", "page_end", "source_sha256", "source_url", F.lit(f"{spec.county}-v{spec.version}").alias("parser_version"), F.lit(style).alias("style"),
     )
 
 
 def with_pages(sources: DataFrame) -> DataFrame:
     """sources (county, extension, content, pages) with the pages of each kind of file: those given for PDF files, the
     lines of a Word file as one page, the visible text of an HTML page as one (for counties that read such)."""
+    pages = F.col("pages") if "pages" in sources.columns else F.lit(None).cast("array<string>")
     reads_html = F.col("county").isin(*(s.county for s in SPECS.values() if s.html))
-    markup = F.when((F.col("extension") == "html") & reads_html, F.make_valid_utf8(F.col("content").cast("string")))
-    word = F.when(F.col("extension") == "docx", F.col("content"))
+    markup = F.when((F.lower("extension") == "html") & reads_html, F.make_valid_utf8(F.col("content").cast("string")))
+    word = F.when(F.lower("extension") == "docx", F.col("content"))
     lines = F.array_join(docx_lines(word), "\n")
     made = F.when(word.isNotNull() & (lines != ""), F.array(lines)).when(markup.isNotNull(), F.array(html_to_text(markup)))
-    return sources.withColumn("pages", F.coalesce(made, "pages"))
+    return sources.withColumn("pages", F.coalesce(made, pages))
 
 
 def collapse_or_null(c: Column) -> Column:
     return F.nullif(collapse(c), F.lit(""))
 
 
-def extract_all(docs: DataFrame) -> DataFrame:
-    """Rulings of documents of many counties (column county).  They are written once in folders of counties, so that each
-    county's plan reads its own documents alone."""
-    parted = written(docs.where(F.col("county").isin(*SPECS)), "documents", "county")
-    out = None
-    for name, spec in sorted(SPECS.items()):
-        rows = extract(parted.where(F.col("county") == name), spec)
-        out = rows if out is None else out.unionByName(rows)
-    return out
+def readable(sources: DataFrame) -> DataFrame:
+    """Sources whose kind of file their county's parser reads; a page's is html."""
+    kinds = {name: [*(e.lstrip(".") for e in spec.extensions), *(["html"] if spec.html else [])] for name, spec in SPECS.items()}
+    read = F.create_map(*(x for name, found in sorted(kinds.items()) for x in (F.lit(name), F.array(*map(F.lit, found)))))
+    return sources.where(F.coalesce(F.array_contains(F.try_element_at(read, F.col("county")), F.lower("extension")), F.lit(False)))
+
+
+def extract_all(sources: DataFrame) -> DataFrame:
+    """Rulings of sources of many counties (column county).
+
+    Files come with their content, or with pages where these are known; `with_pages` gives each its pages, by its kind.
+    They are cleaned and written once in folders of counties, so that each county's plan reads its own documents alone."""
+    docs = with_pages(readable(sources)).drop("content") if "content" in sources.columns else sources
+    parted = written(cleaned(docs.where(F.col("county").isin(*SPECS))), "documents", "county")
+    there = {r["county"] for r in parted.select("county").distinct().collect()}  # at most as many as SPECS; from folder names
+    plans = [_parsed(parted.where(F.col("county") == name), SPECS[name]) for name in sorted(there or list(SPECS)[:1])]
+    return reduce(DataFrame.unionByName, plans)
 
 
 def extensions_of(county: str) -> tuple[str, ...]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketeer.functions import ids
-from docketeer.operators import dedupe, parsing, warehouse
+from docketeer.operators import dedupe, parsing, readers, warehouse  # noqa: F401  readers register with parsing
 from docketeer.sources import logs
 
 
@@ -18,16 +18,29 @@ def _key(prefix: str = ""):
     return ids.logical_key(*(F.col(prefix + c) for c in ("county", "case_number", "hearing_date", "motion_type", "body_text")))
 
 
-def new_rulings(docs: DataFrame, captures: DataFrame, existing: DataFrame | None, county: str, reparse: bool = False) -> DataFrame:
-    """Rows to add.  docs: source_sha256, extension, pages; captures: a log with line_no."""
-    spec = parsing.SPECS[county]
-    left = docs
+def _named(docs: DataFrame, captures: DataFrame) -> DataFrame:
+    """docs with what the log's last line on each says: address and hints, and the line itself as JSON (capture)."""
+    last = logs.last_by(captures, "source_sha256")
+    line = F.to_json(F.struct(*(c for c in last.columns if c != "line_no"))).alias("capture")
+    hints = last.select("source_sha256", "source_url", "dept_hint", "division_hint", line)
+    own = F.concat(F.lit("archive://"), F.col("county"), F.lit("/"), F.col("source_sha256"), F.lit("."), F.col("extension"))
+    return docs.join(hints, "source_sha256", "left").withColumn("source_url", F.coalesce("source_url", own))
+
+
+def new_rulings(docs: DataFrame, captures: DataFrame, existing: DataFrame | None, county: str | None = None, reparse: bool = False) -> DataFrame:
+    """Rows to add, of one county or (None) of all.
+
+    docs: county, source_sha256, extension and pages, or content, from which pages are made; captures: a log with line_no.
+    """
+    left = docs if county is None else docs.where(F.col("county") == county) if "county" in docs.columns else docs.withColumn("county", F.lit(county))
+    left = parsing.readable(left)
     if existing is not None and not reparse:
         left = left.join(existing.select("source_sha256").distinct(), "source_sha256", "left_anti")
-    last = logs.last_by(captures, "source_sha256").select("source_sha256", "source_url", "dept_hint", "division_hint")
-    named = left.join(last, "source_sha256", "left").withColumn("source_url", F.coalesce("source_url", F.concat(F.lit(f"archive://{county}/"), "source_sha256", F.lit("."), "extension")))
-    rows = parsing.extract(named, spec).withColumn("ingest_ts", F.current_timestamp())
-    rows = dedupe.first_source_wins(rows, _key(), "source_sha256")
+    named = _named(left, captures)
+    if "content" in named.columns:
+        named = parsing.with_pages(named).drop("content")
+    rows = parsing.extract_all(named) if county is None else parsing.extract(named, parsing.SPECS[county])
+    rows = dedupe.first_source_wins(rows.withColumn("ingest_ts", F.current_timestamp()), _key(), "source_sha256")
     return rows if existing is None or reparse else dedupe.new_rows(rows, existing, _key(), _key())
 
 
