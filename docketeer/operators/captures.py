@@ -96,3 +96,48 @@ def with_archive_fallback(refs: DataFrame, listing: DataFrame, available: DataFr
     listed = refs.select(url).join(listing, url)
     closest = refs.select(url).join(listing.select(url).distinct(), url, "left_anti").join(available, url)
     return listed.unionByName(closest, allowMissingColumns=True)
+
+
+STATE = ("url", "sha256", "etag", "last_modified", "index_row", "gone")
+
+
+def page_decisions(batch: DataFrame, state: DataFrame, latest: DataFrame) -> DataFrame:
+    """batch plus decision: what became of each page reference, in order of precedence.
+
+    batch (url, final, index_row, etag, last_modified, gone, sha256, content_key): one row an address; what an answer would
+    say.  state (STATE) and latest (url, content_key): one row an address; the latest capture of a page.
+    final: captured, and its county doesn't change pages any more, or its hearing is past.  index: captured, and its row
+    in the index is as it was (or wasn't known).  not_modified: its validators are those held.  gone: it isn't there.
+    unchanged: its visible content is the latest capture's.  stored: all else."""
+    held = state.select("url", F.struct("etag", "last_modified", "index_row").alias("__s"))
+    last = latest.select("url", F.struct("content_key").alias("__l"))
+    joined = batch.join(held, "url", "left").join(last, "url", "left")
+    captured = F.col("__l").isNotNull()
+    same_row = F.col("index_row").isNotNull() & captured & F.coalesce(F.col("__s.index_row") == F.col("index_row"), F.lit(True))
+    same_tag = F.when(F.col("__s.etag").isNotNull(), F.col("__s.etag") == F.col("etag")).otherwise(F.col("__s.last_modified") == F.col("last_modified"))
+    decision = (
+        F.when(captured & F.coalesce("final", F.lit(False)), "final")
+        .when(same_row, "index")
+        .when(captured & F.coalesce(same_tag, F.lit(False)), "not_modified")
+        .when(F.coalesce("gone", F.lit(False)), "gone")
+        .when(captured & F.col("__l.content_key").eqNullSafe(F.col("content_key")), "unchanged")
+        .otherwise("stored")
+    )
+    return joined.select(*batch.columns, decision.alias("decision"))
+
+
+def merge_pages(batch: DataFrame, state: DataFrame, latest: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(decisions, state, latest) after a batch, each written.
+
+    Pages that weren't asked for keep their state; an index row that wasn't known yet is noted.  Pages that were there
+    have the answer's validators, those that are gone only that; latest changes where a page is stored."""
+    decided = written(page_decisions(batch, state, latest), "decisions")
+    told = decided.where(F.col("decision").isin("unchanged", "stored")).select("url", "sha256", "etag", "last_modified", "index_row", F.lit(False).alias("gone"))
+    missing = decided.where("decision = 'gone'").select("url", *(F.lit(None).cast("string").alias(c) for c in STATE[1:5]), F.lit(True).alias("gone"))
+    noted = decided.where("decision = 'index'").select("url", F.col("index_row").alias("__row"))
+    changed = written(told.unionByName(missing), "changed")
+    kept = state.join(changed.select("url"), "url", "left_anti").join(noted, "url", "left").withColumn("index_row", F.coalesce("index_row", "__row")).drop("__row")
+    known = kept.unionByName(noted.join(state.select("url"), "url", "left_anti").select("url", *(F.lit(None).cast("string").alias(c) for c in STATE[1:4]), F.col("__row").alias("index_row"), F.lit(False).alias("gone")))
+    stored = decided.where("decision = 'stored'").select("url", "content_key")
+    newest = latest.join(stored.select("url"), "url", "left_anti").unionByName(stored)
+    return decided, written(known.select(*STATE).unionByName(changed.select(*STATE)), "state"), written(newest, "latest")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -204,3 +204,29 @@ def version_depths(rows: DataFrame, ident: str, previous: str) -> DataFrame:
         state = written(state.where("not open").union(moved), "versions")
     ended = lambda c: F.when(~F.col("open"), F.col(c))
     return state.select(F.col("id").alias(ident), ended("at").alias("root"), ended("n").alias("n_versions"))
+
+
+def with_details(summaries: DataFrame, details: DataFrame, keys: tuple[str, ...] = ("county", "ruling_id")) -> DataFrame:
+    """summaries with the other columns of details.  The plan fails on a summary whose detail is missing or doubled.
+
+    The check is a filter, so that it holds whatever columns are read afterwards.  A detail without a summary is left out."""
+    names = [c for c in details.columns if c not in keys]
+    one = details.groupBy(*keys).agg(F.count("*").alias("__n"), F.first(F.struct(F.lit(1).alias("__x"), *names)).alias("__d"))
+    said = F.concat_ws("/", *(F.col(k).cast("string") for k in keys))
+    fails = lambda what: F.raise_error(F.concat(F.lit(what), said)).cast("boolean")
+    whole = F.when(F.col("__n").isNull(), fails("no detail for ")).when(F.col("__n") > 1, fails("more than one detail for ")).otherwise(True)
+    joined = summaries.select(*(c for c in summaries.columns if c not in names)).join(one, list(keys), "left").where(whole)
+    return joined.select(*(c for c in summaries.columns if c not in names), *(F.col(f"__d.{c}").alias(c) for c in names))
+
+
+#: Columns whose rows are sorted falling at first.
+FALLING = ("hearing_date",)
+
+
+def sorted_by(state: ViewQuery, column: str) -> ViewQuery:
+    """The state after a click on a column's head: the other direction if it is sorted by that column, else the column's
+    first direction.  Columns that can't be sorted by change nothing."""
+    if column not in SORT_COLUMNS:
+        return state
+    first = "desc" if column in FALLING else "asc"
+    return replace(state, sort=column, direction={"asc": "desc", "desc": "asc"}[state.direction] if state.sort == column else first)

@@ -60,7 +60,7 @@ SELECT doc_id, {_words_sql('el_dorado', 'flat')} AS division_el_dorado, {_words_
   CASE WHEN coalesce(d, '') = '' THEN NULL ELSE coalesce((list_position([{', '.join(f"'{w}'" for w in fields.DEPARTMENT_WORDS)}], lower(dt)))::VARCHAR, dt) END AS dept,
   regexp_replace(trim(n, ' ' || chr(10)), '\s+', '-', 'g') AS number_amador,
   regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(trim(n, ' ' || chr(10)), '–', '-'), '\s*-\s*', '-', 'g'), '\s+', '', 'g'), '-+', '-', 'g'), '-+$', '') AS number_orange,
-  upper(regexp_replace(n, '\s+', '', 'g')) AS number_san_bernardino FROM x""")
+  upper(replace(regexp_replace(n, '\s+', '', 'g'), 'ß', 'SS')) AS number_san_bernardino FROM x""")
 def court_headers(t: Tables) -> DataFrame:
     """Divisions, departments and case numbers as the counties write them; whole texts stand for headers."""
     header = F.concat_ws(" ", "text", F.element_at(F.array(*map(F.lit, _HEADERS)), (F.col("doc_id") % len(_HEADERS)).cast("int") + 1))

@@ -56,3 +56,9 @@ def recover(spark: SparkSession, path: str) -> None:
     old = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old")
     if client.exists(old) and not client.exists(place):
         client.rename(old, place)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file; one that is there stays."""
+    client, place = _client(spark, path)
+    client.createNewFile(place)

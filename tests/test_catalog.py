@@ -2,7 +2,7 @@
 
 import pytest
 
-from docketeer.plans import document_queries, event_queries, stream_queries, table_queries  # noqa: F401
+from docketeer.plans import document_queries, event_queries, field_queries, harvest_queries, ruling_queries, stream_queries, table_queries  # noqa: F401
 from docketeer.plans.registry import ORACLE_SQL, QUERIES
 from tests.conftest import DATA
 
