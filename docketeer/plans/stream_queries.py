@@ -21,17 +21,20 @@ def stream_ingest_idempotent(t: Tables) -> DataFrame:
 
 
 def access_events(events: DataFrame) -> DataFrame:
-    """Events as document requests, a browser a user, squeezed in time so that limits are met."""
+    """Events as document requests, a browser a user and an address a group of users, squeezed in time so that limits are
+    met."""
     return events.select(
         F.concat(F.lit("b"), F.col("user_id")).alias("browser_id"),
+        F.concat(F.lit("a"), F.col("user_id") % 7).alias("address"),
         F.concat(F.lit("s"), F.col("event_id") % 3).alias("session_id"),
         F.concat(F.lit("d"), F.col("event_id") % 211).alias("doc_key"),
         F.floor(micros("ts") / 60_000).cast("long").alias("ts_ms"),
+        F.col("event_id").alias("seq"),
     )
 
 
 #: Limits low enough for the test tables.
-SMALL = quota.Limits(per_minute=4, per_check=30, per_day=20, per_week=60, pause_s=600)
+SMALL = quota.Limits(per_minute=4, per_check=30, per_day=20, per_week=60, pause_s=600, per_address=40)
 
 
 @query()
@@ -39,6 +42,5 @@ def stream_quota(t: Tables) -> DataFrame:
     """What the quota decides on each request."""
     target = shared_path(t.spark, "quota")
     events = t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events[.]parquet")
-    charged = quota.charge(access_events(events), SMALL)
-    charged.writeStream.format("parquet").option("path", target).option("checkpointLocation", shared_path(t.spark, "progress")).trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.parquet(target)
+    quota.charge(access_events(events), target, shared_path(t.spark, "progress"), SMALL).awaitTermination()
+    return quota.decisions(t.spark, target)

@@ -62,3 +62,9 @@ def mark(spark: SparkSession, path: str) -> None:
     """An empty file; one that is there stays."""
     client, place = _client(spark, path)
     client.createNewFile(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all that it holds."""
+    client, place = _client(spark, path)
+    client.delete(place, True)
