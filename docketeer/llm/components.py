@@ -38,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     state = None
     for _ in range(MAX_ROUNDS):
-        now = written(_small_star(_large_star(now)), "edges")
+        now = written(_small_star(written(_large_star(now), "star")), "edges")  # the star is read twice
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == state:
             roots = now.select(F.col("b").alias("node"), F.col("b").alias("component"))

@@ -172,7 +172,7 @@ def _links_of_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """fps (fp, distinct) to links (a, b) that reach the same fingerprints as all pairs within the threshold do."""
     placed = written(_replicate(fps.select("fp")), "anchors")
-    sizes = placed.groupBy("anchor").count().where("count > 1")
+    sizes = written(placed.groupBy("anchor").count().where("count > 1"), "sizes")  # so that Spark can split a hot anchor
     parts = F.when(F.col("count") <= bucket, 1).otherwise(F.ceil(2 * F.col("count") / bucket)).cast("int")
     met = placed.join(sizes.select("anchor", parts.alias("parts")), "anchor")
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int").alias("own")
