@@ -125,10 +125,14 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = MAX_LABELLED) -> DataFrame:
-    """FEATURES and base_failed of at most limit labelled documents, with bad (1 for label 0) and part (0 grow, 1 prune)."""
+    """FEATURES and base_failed of at most limit labelled documents, with bad (1 for label 0) and part (0 grow, 1 prune).
+
+    A doc_id counts once, however many rows have it: by the row with the smallest statistics."""
     chosen = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("__label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     stats = document_stats(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), ["doc_id", "__label"])
+    others = [c for c in stats.columns if c != "doc_id"]
+    stats = stats.groupBy("doc_id").agg(F.min(F.struct(*others)).alias("__row")).select("doc_id", "__row.*")
     return stats.select("base_failed", (1 - F.col("__label")).alias("bad"), F.expr("int(pmod(xxhash64(doc_id, 7L), 3) = 0)").alias("part"), *(F.expr(f"double({e})").alias(f) for f, e in FEATURES.items()))
 
 

@@ -30,7 +30,6 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from docketeer.llm.common import crc32_mod, map_text
 from docketeer.llm.repeats import mix
@@ -231,9 +230,10 @@ def training_texts(docs: DataFrame, labels: DataFrame, label: str = "toxic", lim
     ranked = known.select("doc_id", "label", F.xxhash64("doc_id", F.lit(5)).alias("h"))
     few = [ranked.where(F.col("label") == k).orderBy("h", "doc_id").limit(limit) for k in (0, 1)]
     chosen = F.broadcast(few[0].union(few[1]))
-    first = Window.partitionBy("doc_id").orderBy(F.sha2("text", 256))  # one row of repeated ones
     joined = docs.where(F.length("text") <= MAX_CHARS).select("doc_id", "text").join(chosen, "doc_id")
-    return joined.withColumn("n", F.row_number().over(first)).where("n = 1").select("label", F.pmod("h", F.lit(2)).alias("half"), "text", "h")
+    # one row of each doc_id, chosen before the shuffle too, so that a doc_id of very many rows is few rows there
+    first = joined.groupBy("doc_id").agg(F.min_by(F.struct("label", "h", "text"), F.sha2("text", 256)).alias("x")).select("x.*")
+    return first.select("label", F.pmod("h", F.lit(2)).alias("half"), "text", "h")
 
 
 def _bounded(texts: list[str], most: int = MAX_BYTES) -> list[str]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import re
 import zlib
@@ -293,6 +294,80 @@ def test_quality_rules_are_learned(spark):
     assert quality.learn_rules(docs, known.where("quality = 1")) == []
 
 
+def relearned(stats, labels, parts):
+    """The rule list from raw statistics: every threshold is tried on every row, nothing is binned or counted first.
+
+    stats: doc_id to (base_failed, features); rules are lists of (feature, above, cut)."""
+    names = list(quality.FEATURES)
+    rows = [(1 - labels[d], parts[d], stats[d][1]) for d in stats if d in labels and not stats[d][0]]
+    cuts = [sorted({float(c) for c in np.quantile([r[2][f] for r in rows], [i / quality.BINS for i in range(1, quality.BINS)])}) for f in range(len(names))] if rows else []
+    holds = lambda rule, x: all((x[f] > cut) == above for f, above, cut in rule)
+    count = lambda rule, some: [sum(r[0] == k and holds(rule, r[2]) for r in some) for k in (1, 0)]
+    grow, prune, rules = [r for r in rows if r[1] == 0], [r for r in rows if r[1] == 1], []
+    while len(rules) < quality.MAX_RULES:
+        rule = []
+        while len(rule) < quality.MAX_CONDITIONS:
+            bad, good = count(rule, grow)
+            if not bad or not good:
+                break
+            best, choice = 0.0, None
+            for f in range(len(names)):
+                for cut in cuts[f]:
+                    for above in (False, True):
+                        p, n = count([*rule, (f, above, cut)], grow)
+                        gain = p * (math.log2(p / (p + n)) - math.log2(bad / (bad + good))) if p else 0.0
+                        if gain > best:
+                            best, choice = gain, (f, above, cut)
+            if choice is None:
+                break
+            rule.append(choice)
+
+        def worth(some):
+            bad, good = count(some, prune)
+            return (bad - good) / (bad + good) if bad + good else -1.0
+
+        while len(rule) > 1 and worth(rule[:-1]) >= worth(rule):
+            rule = rule[:-1]
+        bad, good = count(rule, prune)
+        if not rule or bad < quality.MIN_COVERED or bad < quality.MIN_PRECISION * (bad + good):
+            break
+        rules.append(rule)
+        grow, prune = ([r for r in some if not holds(rule, r[2])] for some in (grow, prune))
+    return rules, holds
+
+
+@pytest.mark.parametrize("made", [False, True])
+def test_quality_verdicts_equal_brute_force(spark, made):
+    """Rules and every document's verdict, on the table and on texts where two conditions have to meet."""
+    if made:
+        rng = random.Random(6)
+        rows, known = [], []
+        for i in range(700):
+            long, shout = rng.random() < 0.5, rng.random() < 0.5
+            words = [rng.choice("abcdefgh") * rng.randrange(2, 5) + ("LMNOP" if shout else "lmnop") + str(rng.randrange(10_000)) for _ in range(rng.randrange(150, 200) if long else rng.randrange(60, 100))]
+            rows.append((i, " ".join(words) + (" $$$$" if i % 9 == 0 else "")))
+            known.append((i, int(not (long and shout or i % 9 == 0))))
+        docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(known, "doc_id long, quality int")
+    else:
+        docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    stats = {r["doc_id"]: (r["base_failed"], list(r)[2:]) for r in quality.document_stats(docs).select("doc_id", "base_failed", *(F.expr(f"double({e})").alias(f) for f, e in quality.FEATURES.items())).collect()}
+    parts = {r[0]: r[1] for r in docs.select("doc_id", F.expr("int(pmod(xxhash64(doc_id, 7L), 3) = 0)")).collect()}
+    rules, holds = relearned(stats, {r["doc_id"]: r["quality"] for r in labels.collect()}, parts)
+    assert rules and (not made or max(map(len, rules)) > 1)
+    for r in quality.document_verdicts(docs, labels).select("doc_id", "kept", "rule").collect():
+        failed, x = stats[r["doc_id"]]
+        first = next((i for i, rule in enumerate(rules) if holds(rule, x)), None)
+        assert (r["rule"], r["kept"]) == (first if first is None else first + 1, not failed and first is None), r
+
+
+def test_learning_is_bounded_by_rows(spark):
+    rows = [(1, "one two three " * 30)] * 2000 + [(i, f"text {i} " * 60) for i in range(2, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 12)], "doc_id long, quality int, toxic int")
+    assert quality.labelled_sample(docs, labels, limit=5).count() == 5 and quality.labelled_sample(docs, labels).count() == 11
+    assert toxicity.training_texts(docs, labels, limit=2).count() <= 4
+
+
 def test_quality_odd_rows(odd_docs, no_docs, odd_labels):
     out = quality.document_verdicts(odd_docs, odd_labels)
     rows = {r["doc_id"]: r for r in out.collect()}
