@@ -39,10 +39,9 @@ FILE_OPTIONS = {
     "parquet.page.size": str(256 * 1024),
     "parquet.page.row.count.limit": "2000",
 }
-#: Words whose ids a worker process remembers for good, and words that it remembers until there are too many of them.
-WORDS_KEPT, WORDS_PASSING = 400_000, 200_000
-#: Texts whose new words are learned together.
-TEXTS_TOGETHER = 250
+#: Words whose ids a worker process remembers for good, words that it remembers until there are too many of them, and the
+#: characters of the longest word that it remembers at all.
+WORDS_KEPT, WORDS_PASSING, LONGEST_KEPT = 400_000, 200_000, 64
 #: Latin letters (without U+0130, whose small form is two characters).
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 #: In texts of ASCII and these letters alone, groups end where letters and other characters meet, but for apostrophes.
@@ -50,6 +49,8 @@ _OTHER = re.compile(f"[^\x00-\x7f{_LETTERS}]")
 _FINE, _AROUND = re.compile(f"[{_LETTERS}]+|[^ \t-\r{_LETTERS}]+"), re.compile(f"[^ \t-\r]*'[^ \t-\r]*|[{_LETTERS}]+|[^ \t-\r{_LETTERS}]+")
 #: Words that are one group and that no normalizer changes.
 _PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
+#: Printable ASCII without letters and apostrophes: digits are groups of their own, and so is what stands between them.
+_SIGNS, _SIGN_GROUPS = re.compile(r"[!-&(-@\[-`{-~]+"), re.compile("[0-9]|[^0-9]+")
 #: The characters by which byte-level models write bytes, by rule: printable ones stand for themselves, the others follow U+0100.
 _PRINTED = frozenset([*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)])
 _BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
@@ -81,12 +82,36 @@ def lowered(text: str) -> str | None:
     return small if unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", small) else None
 
 
+class _Words(dict):
+    """Ids of words, little-endian uint32; a word that isn't known is learned when it is looked up.
+
+    Words seen early are the frequent ones, and stay; later ones are forgotten when there are too many of them."""
+
+    def __init__(self, learn) -> None:
+        super().__init__()
+        self.learn, self.passing = learn, []
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.learn(word)
+        if len(word) <= LONGEST_KEPT:
+            if len(self) >= WORDS_KEPT:
+                self.passing.append(word)
+            self[word] = ids
+        return ids
+
+    def forget(self) -> None:
+        if len(self.passing) > WORDS_PASSING:
+            for word in self.passing:
+                del self[word]
+            self.passing.clear()
+
+
 class WordEncoder:
     """Ids of a tokenizer, word by word where it ignores case and drops white space, else of whole texts.
 
     Such a tokenizer never composes or merges over white space, so a text's ids are those of its words in turn; words
-    repeat, and a remembered word costs a dictionary look-up.  Words hold their ids as little-endian uint32.  A-Z are
-    lower-cased first where that is safe, and never where the text may hold a special token.
+    repeat, and a remembered word costs a dictionary look-up.  A-Z are lower-cased first where that is safe, and never
+    where the text may hold a special token.
     """
 
     def __init__(self, tokenizer_path: str) -> None:
@@ -95,8 +120,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         with open(tokenizer_path, encoding="utf-8") as file:
             self.by_word = splits_at_space(json.load(file))
-        self.known: dict[str, bytes] = {}
-        self.passing: list[str] = []
+        self.known = _Words(self._learned)
 
     def _words(self, text: str) -> list[str]:
         small = lowered(text) if "<|" not in text else None
@@ -107,39 +131,27 @@ class WordEncoder:
             text = text.replace(space, " ")
         return text.split(" ")
 
-    def _learn(self, words: list[str]) -> None:
-        rest, tokenize, known = [], self.tokenizer.model.tokenize, self.known
-        for word in words:
-            if _PLAIN.fullmatch(word):  # straight to the model
-                written = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS)
-                known[word] = array("I", [token.id for token in tokenize(written)]).tobytes()
-            else:
-                rest.append(word)
-        for at in range(0, len(rest), 2000):
-            part = rest[at : at + 2000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = array("I", found.ids).tobytes()
+    def _group(self, written: str) -> bytes:
+        """Ids of one group in the model's own characters, straight from the model."""
+        return array("I", [token.id for token in self.tokenizer.model.tokenize(written)]).tobytes()
+
+    def _learned(self, word: str) -> bytes:
+        if _PLAIN.fullmatch(word):
+            return self._group(word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS))
+        if _SIGNS.fullmatch(word) and "<|" not in word:
+            groups = _SIGN_GROUPS.findall(word)
+            return self._group(word) if len(groups) == 1 else b"".join(map(self.known.__getitem__, groups))
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [array("I", found.ids).tobytes() for found in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         out: list[bytes] = []
-        for at in range(0, len(texts), TEXTS_TOGETHER):
-            out += self._known_ids([self._words(text) for text in texts[at : at + TEXTS_TOGETHER]])
+        for text in texts:
+            out.append(b"".join(map(self.known.__getitem__, self._words(text))))
+            self.known.forget()
         return out
 
-    def _known_ids(self, cut: list[list[str]]) -> list[bytes]:
-        new = set().union(*cut).difference(self.known)
-        if len(self.passing) + len(new) > WORDS_PASSING:  # words seen early are the frequent ones, and stay
-            for word in self.passing:
-                del self.known[word]
-            self.passing = []
-            new = set().union(*cut).difference(self.known)
-        if len(self.known) - len(self.passing) >= WORDS_KEPT:
-            self.passing += new
-        self._learn(list(new))
-        return [b"".join(map(self.known.__getitem__, words)) for words in cut]
-
 
 @lru_cache(maxsize=2)
 def word_encoder(tokenizer_path: str) -> WordEncoder:

@@ -551,7 +551,9 @@ def test_word_encoder_forgets(monkeypatch):
         texts = [" ".join("".join(rng.choices("abé", k=rng.randrange(1, 5))) for _ in range(20)) for _ in range(3)]
         for text, ids in zip(texts, encoder.ids(texts), strict=True):
             assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
-        assert len(encoder.known) <= 50 + 60 + 90
+        assert len(encoder.known) <= 50 + 30 + 21
+    long = "ab" * 40_000
+    assert np.frombuffer(encoder.ids([long])[0], "<u4").tolist() == encoder.tokenizer.encode(long, add_special_tokens=False).ids and long not in encoder.known
 
 
 def test_token_files(spark, odd_docs, no_docs, tmp_path):
