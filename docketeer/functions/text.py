@@ -46,7 +46,7 @@ def _references() -> tuple[str, str, tuple[str, ...]]:
     and names that need no semicolon, longest first.
 
     Numbers 128 to 159 are read as Windows-1252; control characters and non-characters are dropped."""
-    numbers = {0: "�", 13: "\r"} | {n: "" for n in (*range(1, 9), 11, *range(14, 32), 127, *range(0xFDD0, 0xFDF0))} | {plane << 16 | n: "" for plane in range(17) for n in (0xFFFE, 0xFFFF)}
+    numbers = {0: "\ufffd", 13: "\r"} | {n: "" for n in (*range(1, 9), 11, *range(14, 32), 127, *range(0xFDD0, 0xFDF0))} | {plane << 16 | n: "" for plane in range(17) for n in (0xFFFE, 0xFFFF)}
     for n in range(128, 160):
         try:
             numbers[n] = bytes([n]).decode("cp1252")
@@ -66,7 +66,7 @@ def unescape(c: Column) -> Column:
         value = F.when(F.length(digits) > 7, F.lit(0x110000)).when(piece.rlike("^&#[xX]"), F.conv(digits, 16, 10).try_cast("int")).otherwise(digits.try_cast("int"))
         return let(
             F.coalesce(value, F.lit(0)),
-            lambda n: F.coalesce(F.try_element_at(special, n.cast("string")), F.when(n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "�").otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))),
+            lambda n: F.coalesce(F.try_element_at(special, n.cast("string")), F.when(n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "\ufffd").otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))),
         )
 
     def name(piece: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docketeer.functions import ids
 from docketeer.functions.text import blank, csv_cell, first_filled
 from docketeer.sources.shared import written
 
@@ -176,14 +177,40 @@ EXPORT_COLUMNS = (
 )
 
 
-def export_lines(rows: DataFrame) -> DataFrame:
-    """rows as lines of CSV text (column line), without the head; columns that rows lack are empty cells."""
+def export_line(rows: DataFrame) -> Column:
+    """A row as a line of CSV text; columns that rows lack are empty cells."""
     have = {c: F.col(c).cast("string") for c in rows.columns}
     if "judge" in have and "judge_name" in have:
         have["judge"] = first_filled(F.col("judge"), F.col("judge_name"))
     have["conditional"] = F.when(F.col("conditional"), "true").otherwise("false") if "conditional" in have else F.lit("false")
     cells = [csv_cell(have.get(c, F.lit(None).cast("string"))) for c in EXPORT_COLUMNS]
-    return rows.select(F.concat_ws(",", *cells).alias("line"))
+    return F.concat_ws(",", *cells)
+
+
+def export_lines(rows: DataFrame) -> DataFrame:
+    """rows as lines of CSV text (column line), without the head."""
+    return rows.select(export_line(rows).alias("line"))
+
+
+def export_rows(rows: DataFrame, counties: DataFrame) -> DataFrame:
+    """Rulings with the export's id (the short one) and the county's label.
+
+    counties: slug, label, code.  A county that it lacks keeps its slug, and the slug's first letters as its code."""
+    names = counties.select(F.col("slug").alias("county"), F.col("label").alias("__label"), F.col("code").alias("__code"))
+    code = F.coalesce("__code", F.upper(F.left("county", F.lit(3))))
+    named = rows.join(names, "county", "left").withColumn("id", ids.short_id(code, F.col("hearing_date"), F.col("dept"), F.col("ruling_index")))
+    return named.withColumn("county", F.coalesce("__label", "county")).drop("__label", "__code")
+
+
+def write_export(rows: DataFrame, path: str, *order: str) -> None:
+    """Write rows as CSV text in the folder path, in this order: the parts, one after the other, are one file.
+
+    It begins with a byte-order mark and the columns' names; lines end in CRLF, the last one too.  No rows give the head."""
+    spark = rows.sparkSession
+    head = spark.range(1).select(F.lit(0).alias("__part"), *(F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in order), F.lit("\ufeff" + ",".join(EXPORT_COLUMNS)).alias("line"))
+    body = rows.select(F.lit(1).alias("__part"), *order, export_line(rows).alias("line"))
+    place = [F.col("__part"), *(F.asc_nulls_first(c) for c in order)]
+    head.unionByName(body).repartitionByRange(*place).sortWithinPartitions(*place).select("line").write.option("lineSep", "\r\n").text(path)
 
 
 def version_depths(rows: DataFrame, ident: str, previous: str) -> DataFrame:

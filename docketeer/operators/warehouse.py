@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketeer.functions.text import blank, clip, first_filled
+from docketeer.functions.text import blank, clip, first_filled, strip
 from docketeer.sources import files
 
 # The index's columns in their order, and the limits of its labels and excerpts.
@@ -191,3 +191,34 @@ def audit(rulings: DataFrame, short: int = 40) -> DataFrame:
         F.count_if(~blank(F.col("source_url")).rlike("^(?:https?|archive)://")).alias("bad_url"),
     )
     return main.join(dup_ids, "county", "left").withColumn("dup_id_rows", F.coalesce("dup_id_rows", F.lit(0)))
+
+
+#: What makes a text look broken: replacement characters, glyph numbers of PDF fonts, control characters.
+ARTIFACTS = r"\x{FFFD}|\(cid:[0-9]+\)|[\x00-\x08\x0E-\x1F]"
+
+
+def full_audit(rulings: DataFrame, slices: DataFrame, short: int = 20) -> DataFrame:
+    """Everything that is counted of each county: rows, sources, dates, blank columns, short and broken texts, ids and
+    places inside a source that occur twice, addresses that aren't of the web, rulings without a slice.
+
+    slices: ruling_id.  Repeats are summed before they are joined, one row a county."""
+    text = lambda c: strip(F.col(c))
+
+    def doubled(*key: str, name: str) -> DataFrame:
+        return rulings.groupBy("county", *key).count().where("count > 1").groupBy("county").agg(F.sum("count").alias(name))
+
+    there = slices.select("ruling_id").where("ruling_id IS NOT NULL").distinct().withColumn("__there", F.lit(True))
+    main = rulings.join(there, "ruling_id", "left").groupBy("county").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("source_sha256").alias("n_sources"), F.min("hearing_date").alias("first_date"), F.max("hearing_date").alias("last_date"),
+        F.count_if(F.col("hearing_date") < F.lit("2010-01-01").cast("date")).alias("before_2010"),
+        *(F.count_if(text(c) == "").alias(f"blank_{c}") for c in ("division", "dept", "motion_type", "outcome_text", "body_text", "case_title")),
+        F.count_if(F.length(text("body_text")) < short).alias("short_body_text"),
+        F.count_if(F.concat_ws(" ", "case_title", "body_text").rlike(ARTIFACTS)).alias("artifacts"),
+        F.count_if(~blank(F.col("source_url")).rlike("^https?://")).alias("bad_url"),
+        F.count_if(F.col("__there").isNull()).alias("missing_slices"),
+    )
+    for found in (doubled("ruling_id", name="doubled_ids"), doubled("source_sha256", "ruling_index", name="doubled_places")):
+        name = found.columns[1]
+        one = found.withColumnRenamed("county", "__county")
+        main = main.join(one, F.col("county").eqNullSafe(F.col("__county")), "left").drop("__county").withColumn(name, F.coalesce(name, F.lit(0)))
+    return main

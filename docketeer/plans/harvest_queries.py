@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketeer.operators import captures, status, sweeps, view, walk
+from docketeer.operators import captures, status, sweeps, view, walk, warehouse
 from docketeer.plans.registry import Tables, query
 from docketeer.sources import html
-from docketeer.sources.shared import written
+from docketeer.sources.shared import shared_path, written
 
 _HREFS = """SELECT page_id, h[1] AS parent, unnest(h[2:]) AS child FROM (SELECT page_id, list_filter(regexp_extract_all(coalesce(html, ''), '(?i)<(?:a|area|iframe|embed|object)\\s[^>]*?(?:href|src|data)\\s*=\\s*["'']([^"'']+)["'']', 1), lambda x: x <> '') AS h FROM pages)"""
 
@@ -110,3 +110,43 @@ def summaries_with_text(t: Tables) -> DataFrame:
     details = t.documents.select(F.col("lang").alias("county"), F.col("doc_id").alias("ruling_id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
     rows = view.with_details(t.documents.select(F.col("lang").alias("county"), F.col("doc_id").alias("ruling_id"), "source"), details)
     return rows.select(F.col("ruling_id").alias("doc_id"), F.col("county").alias("lang"), "source", "text_sha256")
+
+
+_AUDITED = """WITH r AS (SELECT doc_id, lang AS county, doc_id % 500 AS ruling_id, source AS source_sha256, doc_id % 40 AS ruling_index, DATE '2008-01-01' + (doc_id % 3000)::INTEGER AS hearing_date,
+  CASE WHEN doc_id % 4 = 0 THEN ' ' ELSE lang END AS division, source AS dept, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE 'Motion' END AS motion_type,
+  CASE WHEN doc_id % 6 = 0 THEN '' ELSE 'granted' END AS outcome_text, text || CASE WHEN doc_id % 7 = 0 THEN '(cid:12)' ELSE '' END AS body_text,
+  CASE WHEN doc_id % 8 = 0 THEN chr(65533) WHEN doc_id % 8 = 1 THEN '' ELSE 'In re' END AS case_title, CASE WHEN doc_id % 9 = 0 THEN 'archive://x' ELSE 'https://x' END AS source_url FROM documents)"""
+
+
+@query(_AUDITED + r""", i AS (SELECT county, sum(n)::BIGINT AS n FROM (SELECT county, ruling_id, count(*) AS n FROM r GROUP BY ALL HAVING count(*) > 1) GROUP BY county),
+p AS (SELECT county, sum(n)::BIGINT AS n FROM (SELECT county, source_sha256, ruling_index, count(*) AS n FROM r GROUP BY ALL HAVING count(*) > 1) GROUP BY county)
+SELECT r.county, count(*)::BIGINT AS n_rows, count(DISTINCT source_sha256)::BIGINT AS n_sources, min(hearing_date) AS first_date, max(hearing_date) AS last_date, count_if(hearing_date < DATE '2010-01-01')::BIGINT AS before_2010,
+  count_if(trim(coalesce(division, '')) = '')::BIGINT AS blank_division, count_if(trim(coalesce(dept, '')) = '')::BIGINT AS blank_dept, count_if(trim(coalesce(motion_type, '')) = '')::BIGINT AS blank_motion_type,
+  count_if(trim(coalesce(outcome_text, '')) = '')::BIGINT AS blank_outcome_text, count_if(NOT regexp_matches(coalesce(body_text, ''), '\S'))::BIGINT AS blank_body_text, count_if(trim(coalesce(case_title, '')) = '')::BIGINT AS blank_case_title,
+  count_if(length(trim(coalesce(body_text, ''), ' ' || chr(10) || chr(9) || chr(13))) < 20)::BIGINT AS short_body_text, count_if(regexp_matches(concat_ws(' ', case_title, body_text), '\x{FFFD}|\(cid:[0-9]+\)|[\x00-\x08\x0E-\x1F]'))::BIGINT AS artifacts,
+  count_if(NOT regexp_matches(source_url, '^https?://'))::BIGINT AS bad_url, count_if(ruling_id NOT IN (SELECT doc_id FROM labels))::BIGINT AS missing_slices,
+  coalesce(any_value(i.n), 0)::BIGINT AS doubled_ids, coalesce(any_value(p.n), 0)::BIGINT AS doubled_places
+FROM r LEFT JOIN i ON r.county IS NOT DISTINCT FROM i.county LEFT JOIN p ON r.county IS NOT DISTINCT FROM p.county GROUP BY r.county""")
+def full_audit(t: Tables) -> DataFrame:
+    """All counts of an audit, of whole documents as rulings with faults laid over them by id."""
+    n = F.col("doc_id")
+    rows = t.documents.select(
+        F.col("lang").alias("county"), (n % 500).alias("ruling_id"), F.col("source").alias("source_sha256"), (n % 40).alias("ruling_index"), F.date_add(F.lit("2008-01-01").cast("date"), (n % 3000).cast("int")).alias("hearing_date"),
+        F.when(n % 4 == 0, " ").otherwise(F.col("lang")).alias("division"), F.col("source").alias("dept"), F.when(n % 5 != 0, "Motion").alias("motion_type"), F.when(n % 6 == 0, "").otherwise("granted").alias("outcome_text"),
+        F.concat("text", F.when(n % 7 == 0, "(cid:12)").otherwise("")).alias("body_text"), F.when(n % 8 == 0, "\ufffd").when(n % 8 == 1, "").otherwise("In re").alias("case_title"), F.when(n % 9 == 0, "archive://x").otherwise("https://x").alias("source_url"))
+    return warehouse.full_audit(rows, t.labels.select(F.col("doc_id").alias("ruling_id")))
+
+
+@query("""WITH l AS (SELECT upper(substr(c_mktsegment, 1, 2)) || '-' || strftime(o_orderdate, '%y%m%d') || '-D' || coalesce(nullif(o_orderstatus, ''), '?') || '-' || (o_orderkey % 50) || ',' || CASE WHEN c_mktsegment = 'MACHINERY' THEN 'MACHINERY' ELSE lower(c_mktsegment) END || ',' || o_orderstatus || ',,' || strftime(o_orderdate, '%Y-%m-%d') || ',' || o_custkey || ',"a, ' || c_name || '",,' || o_orderpriority || ',false,,,,' AS line FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT line FROM l UNION ALL SELECT 'id,county,dept,judge,hearing_date,case_number,case_title,motion_type,outcome,conditional,continued_to,page_start,page_end,source_url'""")
+def export_file(t: Tables) -> DataFrame:
+    """The lines of a written export of every row, its head with it (readers drop the mark before it); a county without a label keeps its name."""
+    segments = t.customer.select(F.col("c_mktsegment").alias("slug")).distinct()
+    counties = segments.select("slug", F.when(F.col("slug") != "MACHINERY", F.lower("slug")).alias("label"), F.upper(F.left("slug", F.lit(2))).alias("code"))
+    named = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("county"), F.concat(F.lit("a, "), "c_name").alias("case_title"))
+    rows = t.orders.join(named, "o_custkey").select(
+        F.col("o_orderkey").alias("ruling_id"), "county", F.to_date("o_orderdate").alias("hearing_date"), F.col("o_orderstatus").alias("dept"), (F.col("o_orderkey") % 50).cast("int").alias("ruling_index"),
+        F.col("o_custkey").cast("string").alias("case_number"), "case_title", F.col("o_orderpriority").alias("outcome"))
+    path = shared_path(t.spark, "export")
+    view.write_export(view.export_rows(rows, counties), path, "hearing_date", "ruling_id")
+    return t.spark.read.option("lineSep", "\r\n").text(path).select(F.col("value").alias("line"))

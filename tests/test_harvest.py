@@ -174,3 +174,15 @@ def test_batched_appends(spark, tmp_path):
     batches.append(stream(), path, str(tmp_path / "state"), 5, after).awaitTermination()
     assert len(calls) == 3 and batches.log(spark, path).count() == 12
     assert batches.flush(spark, path, after) > 3 and batches.log(spark, path).count() == 13
+
+
+def test_written_export(spark, tmp_path):
+    rows = spark.createDataFrame([("x", dt.date(2024, 1, 2), "1", 3, '=a"b', "r2", None), ("y", None, None, None, "c", "r1", "J")], "county string, hearing_date date, dept string, ruling_index int, case_title string, ruling_id string, judge_name string")
+    counties = spark.createDataFrame([("x", "Ex County", "EX")], "slug string, label string, code string")
+    view.write_export(view.export_rows(rows, counties), str(tmp_path / "out"), "hearing_date", "ruling_id")
+    whole = b"".join(p.read_bytes() for p in sorted((tmp_path / "out").glob("part-*"))).decode()
+    lines = whole.split("\r\n")
+    assert whole.startswith("\ufeffid,county,dept,judge,") and lines[-1] == "" and len(lines) == 4
+    assert lines[1].startswith("Y-000000-D?-?,y,,,,") and lines[2].startswith("EX-240102-D1-3,Ex County,1,,2024-01-02,,\"'=a\"\"b\",")
+    view.write_export(rows.limit(0), str(tmp_path / "none"), "hearing_date")
+    assert b"".join(p.read_bytes() for p in sorted((tmp_path / "none").glob("part-*"))).decode().count("\r\n") == 1
