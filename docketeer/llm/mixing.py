@@ -6,8 +6,8 @@ number drawn from the document's id, so that every run draws the same.
 
 The cell table is aggregated before it is shuffled and grows with the distinct cells, not the documents.  Raking runs
 on it ROUNDS times over the three dimensions, each time as an aggregation by the dimension (combined before the
-shuffle, so that a language with most cells is no burden) joined back and written; only single totals come to the
-driver.  A cell's probability is its raked tokens over its own,
+shuffle, so that a language with most cells is no burden) joined back; a round is one plan, and written.  Only single
+totals come to the driver.  A cell's probability is its raked tokens over its own,
 scaled so that the sample has the wanted share of all tokens; where that is over 1, all its documents are kept and
 the other cells are scaled up in turn (FILL_ROUNDS times).
 
@@ -80,7 +80,8 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, t
     for _ in range(rounds):
         for d in DIMENSIONS:
             sums = state.groupBy(d).agg(F.sum("weight").alias("__sum"))
-            state = written(state.join(sums, d).withColumn("weight", F.col("weight") * F.col(f"t_{d}") / F.col("__sum")).drop("__sum"), "rake")
+            state = state.join(sums, d).withColumn("weight", F.col("weight") * F.col(f"t_{d}") / F.col("__sum")).drop("__sum")
+        state = written(state, "rake")  # a round's three steps are one plan
     whole = state.agg(F.sum("weight")).first()[0]
     return state.withColumn("weight", F.col("weight") / F.lit(whole)).drop(*(f"t_{d}" for d in DIMENSIONS))
 
