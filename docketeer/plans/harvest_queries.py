@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketeer.operators import captures, status, sweeps, view, walk, warehouse
+from docketeer.functions import text
+from docketeer.operators import captures, codes, status, sweeps, view, walk, warehouse
 from docketeer.plans.registry import Tables, query
 from docketeer.sources import html
 from docketeer.sources.shared import shared_path, written
@@ -150,3 +151,19 @@ def export_file(t: Tables) -> DataFrame:
     path = shared_path(t.spark, "export")
     view.write_export(view.export_rows(rows, counties), path, "hearing_date", "ruling_id")
     return t.spark.read.option("lineSep", "\r\n").text(path).select(F.col("value").alias("line"))
+
+
+def name_slugs(t: Tables) -> DataFrame:
+    """The names of several tables as slugs."""
+    names = [t.region.select("r_name"), t.nation.select("n_name"), t.supplier.select("s_name"), t.customer.select("c_name"), t.part.select("p_name")]
+    union = names[0]
+    for more in names[1:]:
+        union = union.union(more)
+    return union.select(text.class_token(F.col("r_name")).alias("slug"))
+
+
+@query()
+def unique_codes(t: Tables) -> DataFrame:
+    """A code of its own for every name of five tables."""
+    found = codes.unique_codes(name_slugs(t))
+    return found.withColumn("label", codes.label(F.col("slug")))

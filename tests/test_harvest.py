@@ -8,8 +8,11 @@ import pytest
 from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
-from docketeer.operators import captures, status, sweeps, view, walk
+from docketeer.operators import captures, codes, status, sweeps, view, walk
+from docketeer.plans import harvest_queries
+from docketeer.plans.registry import QUERIES, Tables
 from docketeer.streaming import batches
+from tests.conftest import DATA
 
 
 def test_walk_equals_breadth_first_search(spark):
@@ -186,3 +189,32 @@ def test_written_export(spark, tmp_path):
     assert lines[1].startswith("Y-000000-D?-?,y,,,,") and lines[2].startswith("EX-240102-D1-3,Ex County,1,,2024-01-02,,\"'=a\"\"b\",")
     view.write_export(rows.limit(0), str(tmp_path / "none"), "hearing_date")
     assert b"".join(p.read_bytes() for p in sorted((tmp_path / "none").glob("part-*"))).decode().count("\r\n") == 1
+
+
+def chosen_in_order(slugs):
+    """One slug after the other, each with the first of its codes that nobody has."""
+    used, out = set(), {}
+    for slug in sorted(set(slugs), key=lambda x: x.encode()):
+        letters = "".join(c for c in slug.upper() if c.isalpha())
+        initials = "".join(part[0] for part in slug.split("-") if part).upper()
+        base = letters[:3] or "CTY"
+        wanted = ([initials] if len(initials) >= 2 else []) + [letters[:n] for n in range(3, min(len(letters), 6) + 1)] + [base] + [f"{base}{n}" for n in range(2, len(slugs) + 9)]
+        out[slug] = next(c for c in wanted if c not in used)
+        used.add(out[slug])
+    return out
+
+
+def test_unique_codes_equal_choosing_in_order(spark):
+    rng = random.Random(12)
+    odd = ["los-angeles", "lake-alpine", "la", "l-a", "a", "b", "a-2", "c-u-s-2", "customer-1", "customer-2", "cus", "cus2", "1-2", "12", "9", "--", "", "x-", "la2", "l-a-2"]
+    many = [f"customer-{i:03}" for i in range(60)] + ["-".join("".join(rng.choice("ab1") for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(1, 4))) for _ in range(60)]
+    for slugs in (odd, many, odd + many, []):
+        df = spark.createDataFrame([(s,) for s in [*slugs, None, *slugs[:3]]], "slug string")
+        assert {r["slug"]: r["code"] for r in codes.unique_codes(df).collect()} == chosen_in_order(slugs)
+
+
+def test_codes_of_the_tables(spark):
+    slugs = [r["slug"] for r in harvest_queries.name_slugs(Tables(spark, DATA)).collect()]
+    rows = QUERIES["unique_codes"](spark, DATA).collect()
+    assert {r["slug"]: r["code"] for r in rows} == chosen_in_order(slugs) and len({r["code"] for r in rows}) == len(rows)
+    assert all(r["label"] == " ".join(part.capitalize() for part in r["slug"].split("-")) for r in rows)
