@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docketeer.functions.dates import parse_time
+from docketeer.functions.text import blank, first_filled
 from docketeer.sources.shared import written
 
 
@@ -141,3 +143,44 @@ def merge_pages(batch: DataFrame, state: DataFrame, latest: DataFrame) -> tuple[
     stored = decided.where("decision = 'stored'").select("url", "content_key")
     newest = latest.join(stored.select("url"), "url", "left_anti").unionByName(stored)
     return decided, written(known.select(*STATE).unionByName(changed.select(*STATE)), "state"), written(newest, "latest")
+
+
+# Counties that put other files at the same addresses, and those that routine harvests leave out, with why.
+VOLATILE = ("orange", "santa-clara", "shasta", "tuolumne")
+NOT_ROUTINE = {"amador": "legacy dropdowns only expose 2020-2022 PDFs; current access moved after 2022-02-15"}
+
+
+def upload_plan(refs: DataFrame, known: DataFrame, volatile: tuple[str, ...] = VOLATILE) -> DataFrame:
+    """refs (county, url, wayback_ts, sha256) plus plan: upload, or already-captured.
+
+    An address (with its archive time) that is known is captured already; in volatile counties only if it is known with
+    the same file, whose hash the caller has fetched (sha256; null elsewhere).  known: url, wayback_ts, sha256; it is one
+    row an address, or one an address and hash, before it is joined, so that often captured addresses are no burden."""
+    key = ["url", "wayback_ts"]
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    addresses = known.select(F.col("url").alias("__u"), F.col("wayback_ts").alias("__w")).distinct().withColumn("__known", F.lit(True))
+    files = known.where("sha256 IS NOT NULL").select(F.col("url").alias("__fu"), F.col("wayback_ts").alias("__fw"), F.col("sha256").alias("__f")).distinct().withColumn("__same", F.lit(True))
+    joined = refs.join(addresses, (F.col(key[0]) == F.col("__u")) & same(key[1], "__w"), "left").join(files, (F.col(key[0]) == F.col("__fu")) & same(key[1], "__fw") & (F.col("sha256") == F.col("__f")), "left")
+    captured = F.when(F.coalesce(F.col("county").isin(*volatile), F.lit(False)), F.col("__same").isNotNull()).otherwise(F.col("__known").isNotNull())
+    return joined.select(*refs.columns, F.when(captured, "already-captured").otherwise("upload").alias("plan"))
+
+
+def routine(counties: DataFrame, county: str = "county") -> DataFrame:
+    """counties plus skipped: why a routine harvest of all counties leaves one out, else null."""
+    why = F.create_map(*(F.lit(x) for pair in NOT_ROUTINE.items() for x in pair))
+    return counties.withColumn("skipped", F.try_element_at(why, F.col(county)))
+
+
+def recent_paths(captures: DataFrame, pages: DataFrame, parsed: DataFrame, cutoff: Column) -> DataFrame:
+    """(county, path): archived files of the sources that no ruling names yet and that were fetched since cutoff.
+
+    captures: county, source_sha256, archive_extension, fetched_at; of each, its file and its text layer's.  pages: county,
+    source_sha256, archive_path, captured_at.  Times are ISO text, in UTC unless they name a zone; rows whose time is none
+    are left out.  parsed: source_sha256."""
+    seen = parsed.select("source_sha256").where("source_sha256 IS NOT NULL").distinct()
+    late = lambda c: parse_time(F.col(c)) >= cutoff
+    files = captures.where(late("fetched_at") & (blank(F.col("source_sha256")) != "")).join(seen, "source_sha256", "left_anti")
+    folder = lambda *more: F.concat(F.lit("archive/"), "county", F.lit("/"), *more, F.left("source_sha256", F.lit(2)), F.lit("/"), "source_sha256", F.lit("."))
+    paths = F.array(F.concat(folder(), first_filled(F.col("archive_extension"), F.lit("pdf"))), F.concat(folder(F.lit("ocr/")), F.lit("pdf")))
+    shown = pages.where(late("captured_at") & (blank(F.col("archive_path")) != "")).join(seen, "source_sha256", "left_anti")
+    return files.select("county", F.explode(paths).alias("path")).union(shown.select("county", F.col("archive_path").alias("path"))).distinct()

@@ -167,3 +167,37 @@ def unique_codes(t: Tables) -> DataFrame:
     """A code of its own for every name of five tables."""
     found = codes.unique_codes(name_slugs(t))
     return found.withColumn("label", codes.label(F.col("slug")))
+
+
+_UPLOADS = """WITH r AS (SELECT event_id, ['orange', 'yolo', 'tuolumne', NULL][(event_id % 4)::INTEGER + 1] AS county, 'u' || (event_id % 97) AS url, CASE WHEN event_id % 3 = 0 THEN 't' || (event_id % 5) END AS wayback_ts,
+  CASE WHEN event_id % 2 = 0 THEN 'h' || (event_id % 11) END AS sha256, user_id FROM events),
+k AS (SELECT * FROM r WHERE user_id % 2 = 0)"""
+
+
+@query(_UPLOADS + """ SELECT event_id, CASE WHEN CASE WHEN coalesce(county IN ('orange', 'santa-clara', 'shasta', 'tuolumne'), FALSE)
+    THEN EXISTS (SELECT 1 FROM k WHERE k.url = r.url AND k.wayback_ts IS NOT DISTINCT FROM r.wayback_ts AND k.sha256 = r.sha256)
+    ELSE EXISTS (SELECT 1 FROM k WHERE k.url = r.url AND k.wayback_ts IS NOT DISTINCT FROM r.wayback_ts) END THEN 'already-captured' ELSE 'upload' END AS plan FROM r""")
+def upload_plan(t: Tables) -> DataFrame:
+    """What is to be done with every event as a reference, when those of half the users are captured already."""
+    n = F.col("event_id")
+    county = F.when(n % 4 == 0, "orange").when(n % 4 == 1, "yolo").when(n % 4 == 2, "tuolumne")
+    refs = t.events.select("event_id", "user_id", county.alias("county"), F.concat(F.lit("u"), n % 97).alias("url"), F.when(n % 3 == 0, F.concat(F.lit("t"), n % 5)).alias("wayback_ts"), F.when(n % 2 == 0, F.concat(F.lit("h"), n % 11)).alias("sha256"))
+    return captures.upload_plan(refs, refs.where("user_id % 2 = 0")).select("event_id", "plan")
+
+
+@query("""WITH d AS (SELECT doc_id, lang, source, md5(doc_id::VARCHAR) AS sha, TIMESTAMP '2024-01-01 00:00:00' + to_hours((doc_id % 1000)::INTEGER) AS moment FROM documents),
+w AS (SELECT *, moment - CASE WHEN doc_id % 5 = 1 THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END AS utc FROM d WHERE doc_id % 5 <> 4),
+l AS (SELECT * FROM w WHERE utc >= TIMESTAMP '2024-01-20 12:00:00' AND doc_id NOT IN (SELECT doc_id FROM labels))
+SELECT DISTINCT lang AS county, 'archive/' || lang || '/' || p || substr(sha, 1, 2) || '/' || sha || CASE WHEN p = '' AND doc_id % 3 = 0 THEN '.docx' ELSE '.pdf' END AS path FROM l, (SELECT unnest(['', 'ocr/']) AS p)
+UNION SELECT lang, 'archive/' || lang || '/pages/' || sha || '.html' FROM l WHERE doc_id % 2 = 0""")
+def recent_paths(t: Tables) -> DataFrame:
+    """Archived files of recent sources that no label names, with times written in five ways, one of them none."""
+    n = F.col("doc_id")
+    at = F.timestamp_seconds(F.lit(1704067200) + n % 1000 * 3600)
+    iso = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+    told = F.when(n % 5 == 0, F.concat(iso, F.lit("Z"))).when(n % 5 == 1, F.concat(iso, F.lit("+02:00"))).when(n % 5 == 2, iso).when(n % 5 == 3, F.replace(iso, F.lit("T"), F.lit(" "))).otherwise("some day")
+    sha = F.md5(n.cast("string").cast("binary"))
+    rows = t.documents.select(F.col("lang").alias("county"), "doc_id", sha.alias("source_sha256"), told.alias("fetched_at"), F.when(n % 3 == 0, "docx").alias("archive_extension"))
+    pages = rows.where("doc_id % 2 = 0").select("county", "source_sha256", F.col("fetched_at").alias("captured_at"), F.concat(F.lit("archive/"), "county", F.lit("/pages/"), "source_sha256", F.lit(".html")).alias("archive_path"))
+    parsed = t.labels.select(F.md5(F.col("doc_id").cast("string").cast("binary")).alias("source_sha256"))
+    return captures.recent_paths(rows, pages, parsed, F.lit("2024-01-20 12:00:00").cast("timestamp"))

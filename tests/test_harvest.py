@@ -218,3 +218,13 @@ def test_codes_of_the_tables(spark):
     rows = QUERIES["unique_codes"](spark, DATA).collect()
     assert {r["slug"]: r["code"] for r in rows} == chosen_in_order(slugs) and len({r["code"] for r in rows}) == len(rows)
     assert all(r["label"] == " ".join(part.capitalize() for part in r["slug"].split("-")) for r in rows)
+
+
+def test_volatile_addresses_and_routine_counties(spark):
+    known = spark.createDataFrame([("u", None, "h1"), ("u", None, "h1"), ("v", "t", None)], "url string, wayback_ts string, sha256 string")
+    refs = [("yolo", "u", None, None), ("yolo", "u", "t", None), ("yolo", "v", "t", None), ("orange", "u", None, "h1"), ("orange", "u", None, "h2"), ("orange", "v", "t", None), (None, "u", None, "x"), ("yolo", None, None, None)]
+    found = captures.upload_plan(spark.createDataFrame(refs, "county string, url string, wayback_ts string, sha256 string"), known).collect()
+    plans = {tuple(r)[:4]: r["plan"] for r in found}
+    assert len(found) == len(refs) and [plans[r] == "already-captured" for r in refs] == [True, False, True, True, False, False, True, False]
+    out = captures.routine(spark.createDataFrame([("amador",), ("yolo",)], "county string")).collect()
+    assert out[0]["skipped"].startswith("legacy dropdowns") and out[1]["skipped"] is None
