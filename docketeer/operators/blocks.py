@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from pyspark.sql.window import Window
 
 from docketeer.functions.arrays import scan
 from docketeer.functions.text import let, lines_of, strip
+from docketeer.sources.shared import written
 
 PAGE_BREAK = "\n\n"
 
@@ -56,33 +58,45 @@ def split_at(docs: DataFrame, anchor: str, keep: list[str], text: str = "text")
     return found.select(*keep, (F.col("__i") + 1).alias("position"), "__b.start", "__b.block")
 
 
-#: Phrases that are looked for in each text one by one; more are looked up by their beginnings.
-FEW_PHRASES = 500
+#: Phrases that are looked for in each text one by one; phrases, and characters of them, that one automaton holds.
+FEW_PHRASES, GROUP_PHRASES, GROUP_CHARS = 500, 100_000, 8_000_000
 
 
-def holding_any(docs: DataFrame, phrases: DataFrame, key: str, text: str, head: int = 8) -> DataFrame:
+def holding_any(docs: DataFrame, phrases: DataFrame, key: str, text: str) -> DataFrame:
     """docs plus holds: whether the text has one of the phrases (column phrase; empty ones don't count).
 
-    Up to FEW_PHRASES distinct phrases are sent along as one row, and texts stay where they are.  More are joined by
-    their first `head` characters with the places of the texts that begin so; only ids and stretches as long as the
-    longest phrase move, never whole texts.
+    Texts stay where they are.  Up to FEW_PHRASES distinct phrases are sent along as one row.  More are dealt to groups of
+    a bounded size, each an automaton that reads a text once for all its phrases.
     """
     wanted = phrases.where("phrase <> ''").select("phrase").distinct()
-    few = wanted.limit(FEW_PHRASES + 1).count() <= FEW_PHRASES
-    if few:
+    if wanted.limit(FEW_PHRASES + 1).count() <= FEW_PHRASES:
         one = wanted.agg(F.collect_list("phrase").alias("__phrases"))
         return docs.join(F.broadcast(one)).withColumn("holds", F.exists("__phrases", lambda p: F.coalesce(F.contains(F.col(text), p), F.lit(False)))).drop("__phrases")
-    heads = wanted.select("phrase", F.substring("phrase", 1, head).alias("__head"))
-    longest = wanted.agg(F.max(F.length("phrase")).alias("__longest"))
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-    stretches = docs.join(F.broadcast(longest)).select(key, F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(text), i, F.col("__longest"))))).alias("__stretch"))
-    sized = heads.select("phrase", "__head", F.length("__head").alias("__size"))
-    hits = None
-    for size in sorted(r[0] for r in sized.select("__size").distinct().collect()):  # at most `head` numbers
-        part = stretches.withColumn("__head", F.substring("__stretch", 1, size)).join(sized.where(F.col("__size") == size), "__head").where(F.startswith("__stretch", "phrase")).select(key)
-        hits = part if hits is None else hits.union(part)
-    found = hits.distinct().withColumn("holds", F.lit(True))
-    return docs.join(found, key, "left").withColumn("holds", F.coalesce("holds", F.lit(False)))
+    wanted = written(wanted, "phrases")
+    count, chars = wanted.agg(F.count("*"), F.sum(F.length("phrase"))).first()
+    groups = max(-(-count // GROUP_PHRASES), -(-chars // GROUP_CHARS))
+    out = docs.withColumn("holds", F.lit(False))
+    for group in range(groups):
+        found = _finder([r["phrase"] for r in wanted.where(F.pmod(F.xxhash64("phrase"), F.lit(groups)) == group).collect()])
+        out = out.withColumn("holds", F.col("holds") | found(F.when(~F.col("holds"), F.col(text))))
+    return out
+
+
+def _finder(phrases: list[str]):
+    """Whether a text has one of the phrases, as a function of columns; null has none."""
+
+    @F.pandas_udf(T.BooleanType())
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for phrase in phrases:
+            automaton.add_word(phrase)
+        automaton.make_automaton()
+        for batch in batches:
+            yield batch.map(lambda x: x is not None and bool(phrases) and next(automaton.iter(x), None) is not None).astype(bool)
+
+    return find
 
 
 def boundaries(rows: DataFrame, doc: str, start: str, length: str) -> DataFrame:

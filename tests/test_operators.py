@@ -211,7 +211,15 @@ def test_holding_any(spark, monkeypatch):
     phrases = spark.createDataFrame([("alphabet soup",), ("ab",), ("",)], "phrase string")
     few = rows(blocks.holding_any(docs, phrases, "id", "text").select("id", "holds"))
     monkeypatch.setattr(blocks, "FEW_PHRASES", 0)
-    assert rows(blocks.holding_any(docs, phrases, "id", "text").select("id", "holds")) == few == [(1, True), (2, False), (3, False), (4, True), (5, True)]
+    for group in (100, 1):
+        monkeypatch.setattr(blocks, "GROUP_PHRASES", group)
+        assert rows(blocks.holding_any(docs, phrases, "id", "text").select("id", "holds")) == few == [(1, True), (2, False), (3, False), (4, True), (5, True)]
+    rng = __import__("random").Random(1)
+    word = lambda n: "".join(rng.choice("abé") for _ in range(n))
+    texts, wanted = [(i, word(60)) for i in range(80)], [word(6) for _ in range(30)]
+    monkeypatch.setattr(blocks, "GROUP_PHRASES", 12)
+    found = blocks.holding_any(spark.createDataFrame(texts, "id int, text string"), spark.createDataFrame([(w,) for w in wanted], "phrase string"), "id", "text")
+    assert rows(found.select("id", "holds")) == [(i, any(w in t for w in wanted)) for i, t in texts]
 
 
 def test_version_depths(spark):
