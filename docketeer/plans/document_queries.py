@@ -168,12 +168,12 @@ def unparsed_sources(t: Tables) -> DataFrame:
 
 
 @query("""SELECT CASE WHEN length(coalesce(text, '')) < 200 THEN 'short' WHEN contains(text, ' | ') THEN 'table'
-  WHEN EXISTS (SELECT 1 FROM benchmark b WHERE contains(documents.text, substr(b.text, 1, 40))) THEN 'boilerplate' ELSE 'likely' END AS bucket,
+  WHEN EXISTS (SELECT 1 FROM benchmark b WHERE b.text <> '' AND contains(documents.text, b.text)) THEN 'boilerplate' ELSE 'likely' END AS bucket,
   count(*)::BIGINT AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1""")
 def coverage_buckets(t: Tables) -> DataFrame:
-    """Unparsed documents by what they look like; boilerplate is text that holds the start of a benchmark item."""
+    """Unparsed documents by what they look like; boilerplate is text that holds a whole benchmark item."""
     left = unparsed_sources(t).select("doc_id").join(t.documents.select("doc_id", "text"), "doc_id")
-    boiler = blocks.holding_any(left, t.benchmark.select(F.substring("text", 1, 40).alias("phrase")), "doc_id", "text")
+    boiler = blocks.holding_any(left, t.benchmark.select(F.col("text").alias("phrase")), "doc_id", "text")
     bucket = F.when(F.length(F.coalesce("text", F.lit(""))) < 200, "short").when(F.contains("text", F.lit(" | ")), "table").when(F.col("holds"), "boilerplate").otherwise("likely")
     return boiler.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
