@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from docketeer.functions import ids
 from docketeer.operators import dedupe, parsing, readers, warehouse  # noqa: F401  readers register with parsing
 from docketeer.sources import logs
+from docketeer.sources.shared import written
 
 
 def _key(prefix: str = ""):
@@ -40,7 +41,8 @@ def new_rulings(docs: DataFrame, captures: DataFrame, existing: DataFrame | None
     if "content" in named.columns:
         named = parsing.with_pages(named).drop("content")
     rows = parsing.extract_all(named) if county is None else parsing.extract(named, parsing.SPECS[county])
-    rows = dedupe.first_source_wins(rows.withColumn("ingest_ts", F.current_timestamp()), _key(), "source_sha256")
+    parsed = written(rows.withColumn("ingest_ts", F.current_timestamp()), "rulings")  # documents are parsed once, whatever reads them
+    rows = dedupe.first_source_wins(parsed, _key(), "source_sha256")
     return rows if existing is None or reparse else dedupe.new_rows(rows, existing, _key(), _key())
 
 
