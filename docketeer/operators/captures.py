@@ -132,8 +132,13 @@ def merge_pages(batch: DataFrame, state: DataFrame, latest: DataFrame) -> tuple[
     """(decisions, state, latest) after a batch, each written.
 
     Pages that weren't asked for keep their state; an index row that wasn't known yet is noted.  Pages that were there
-    have the answer's validators, those that are gone only that; latest changes where a page is stored."""
-    decided = written(page_decisions(batch, state, latest), "decisions")
+    have the answer's validators, those that are gone only that; latest changes where a page is stored.  A batch that
+    names an address more than once has a decision for each row, all by the state before it; one of them goes into state
+    and latest (stored before unchanged, gone and index; of equal ones the greatest), which keep one row an address."""
+    every = written(page_decisions(batch, state, latest), "decisions")
+    rank = F.array_position(F.array(*map(F.lit, ("index", "gone", "unchanged", "stored"))), F.col("decision"))
+    whole = F.struct("decision", *STATE[1:5], "content_key")
+    decided = every.where(rank > 0).groupBy("url").agg(F.max_by(whole, F.struct(rank, *STATE[1:5], "content_key")).alias("__d")).select("url", "__d.*")
     told = decided.where(F.col("decision").isin("unchanged", "stored")).select("url", "sha256", "etag", "last_modified", "index_row", F.lit(False).alias("gone"))
     missing = decided.where("decision = 'gone'").select("url", *(F.lit(None).cast("string").alias(c) for c in STATE[1:5]), F.lit(True).alias("gone"))
     noted = decided.where("decision = 'index'").select("url", F.col("index_row").alias("__row"))
@@ -142,7 +147,7 @@ def merge_pages(batch: DataFrame, state: DataFrame, latest: DataFrame) -> tuple[
     known = kept.unionByName(noted.join(state.select("url"), "url", "left_anti").select("url", *(F.lit(None).cast("string").alias(c) for c in STATE[1:4]), F.col("__row").alias("index_row"), F.lit(False).alias("gone")))
     stored = decided.where("decision = 'stored'").select("url", "content_key")
     newest = latest.join(stored.select("url"), "url", "left_anti").unionByName(stored)
-    return decided, written(known.select(*STATE).unionByName(changed.select(*STATE)), "state"), written(newest, "latest")
+    return every, written(known.select(*STATE).unionByName(changed.select(*STATE)), "state"), written(newest, "latest")
 
 
 # Counties that put other files at the same addresses, and those that routine harvests leave out, with why.

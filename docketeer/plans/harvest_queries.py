@@ -63,8 +63,11 @@ SELECT 1 AS batch, page_id, 'stored' AS decision FROM b
 UNION ALL SELECT 2, page_id, CASE k WHEN 0 THEN 'stored' WHEN 1 THEN 'unchanged' WHEN 2 THEN 'not_modified' WHEN 3 THEN 'index' WHEN 4 THEN 'gone' ELSE 'final' END FROM b
 UNION ALL SELECT 3, page_id, CASE k WHEN 0 THEN 'unchanged' WHEN 3 THEN 'stored' WHEN 4 THEN 'unchanged' WHEN 5 THEN 'final' ELSE 'not_modified' END FROM b""")
 def page_changes(t: Tables) -> DataFrame:
-    """Three harvests of every page, each merged into the state that the one before left."""
+    """Three harvests of every page, each merged into the state that the one before left.
+
+    Several pages of the table may have one url (or none); each is a page of its own, so that its id is part of its address."""
     kind, spark = F.col("page_id") % 6, t.spark
+    address = F.concat_ws("#", "url", F.col("page_id").cast("string")).alias("url")
     state = spark.createDataFrame([], "url string, sha256 string, etag string, last_modified string, index_row string, gone boolean")
     latest, out = spark.createDataFrame([], "url string, content_key string"), None
     for number in (1, 2, 3):
@@ -73,7 +76,7 @@ def page_changes(t: Tables) -> DataFrame:
         tag = F.when((kind == 2) | (kind == 1) & F.lit(number > 1), "b").when((kind == 4) & third, "d").when(kind == 4, "c").otherwise(F.concat(F.lit("t"), F.lit(number)))
         row = F.when(kind == 3, F.when(third, "row 2").otherwise("row 1"))
         pages = t.pages.select(
-            "page_id", "url", ((kind == 5) & F.lit(number > 1)).alias("final"), row.alias("index_row"), F.when((kind != 2) & ~((kind == 4) & second), tag).alias("etag"), F.when(kind == 2, tag).alias("last_modified"),
+            "page_id", address, ((kind == 5) & F.lit(number > 1)).alias("final"), row.alias("index_row"), F.when((kind != 2) & ~((kind == 4) & second), tag).alias("etag"), F.when(kind == 2, tag).alias("last_modified"),
             ((kind == 4) & second).alias("gone"), F.sha2(page, 256).alias("sha256"), html.content_key(page).alias("content_key"))
         decided, state, latest = captures.merge_pages(pages, state, latest)
         rows = decided.select(F.lit(number).alias("batch"), "page_id", "decision")

@@ -4,13 +4,14 @@ import datetime as dt
 import json
 import random
 
+import duckdb
 import pytest
 from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from docketeer.operators import captures, codes, status, sweeps, view, walk
 from docketeer.plans import harvest_queries
-from docketeer.plans.registry import QUERIES, Tables
+from docketeer.plans.registry import ORACLE_SQL, QUERIES, Tables
 from docketeer.streaming import batches
 from tests.conftest import DATA
 
@@ -90,6 +91,26 @@ def test_page_state_is_carried(spark):
     assert {r["url"]: r["content_key"] for r in latest.collect()} == {"a": "k1", "b": "k5", "c": "k6"}
 
 
+def test_pages_of_one_address(spark, tmp_path):
+    """Pages that share an address, or have none, are decided one by one, as the query's SQL says."""
+    rows = [(i, (None, "https://a", f"https://b/{i}")[i % 3 if i < 24 else 1], f"<p>page {i % 5}</p>") for i in range(36)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    found = sorted(tuple(r) for r in QUERIES["page_changes"](spark, str(tmp_path)).collect())
+    assert found == sorted(connection.sql(ORACLE_SQL["page_changes"]).fetchall())
+
+
+def test_state_keeps_one_row_an_address(spark):
+    none = (spark.createDataFrame([], "url string, sha256 string, etag string, last_modified string, index_row string, gone boolean"), spark.createDataFrame([], "url string, content_key string"))
+    fields = "url string, final boolean, index_row string, etag string, last_modified string, gone boolean, sha256 string, content_key string"
+    batch = spark.createDataFrame([("a", False, None, "e1", None, False, "s1", "k1"), ("a", False, None, None, None, True, None, None), ("a", False, None, "e2", None, False, "s2", "k2"), ("b", False, None, None, None, True, None, None)], fields)
+    one, state, latest = captures.merge_pages(batch, *none)
+    two, state, latest = captures.merge_pages(batch, state, latest)
+    assert (one.count(), two.count()) == (4, 4) and sorted(r["decision"] for r in two.where("url = 'a'").collect()) == ["gone", "not_modified", "stored"]
+    assert sorted(r["url"] for r in state.collect()) == ["a", "b"] and [tuple(r) for r in latest.collect()] == [("a", "k1")]
+
+
 def by_hand(events):
     """The status after each key's commands, one by one."""
     out = {}
