@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketeer.functions import dates
@@ -13,6 +16,75 @@ from docketeer.functions.text import blank, let
 OUTCOMES = ("granted", "denied", "continued", "off_calendar", "appearance_required", "other")
 
 
+def _branches(pattern: str) -> list[str]:
+    """The alternatives of a pattern outside of groups."""
+    out, depth = [""], 0
+    for piece in re.findall(r"\\.|\[[^]]*\]|.", pattern, re.S):
+        depth += (piece == "(") - (piece == ")")
+        if piece == "|" and not depth:
+            out.append("")
+        else:
+            out[-1] += piece
+    return out
+
+
+@lru_cache(maxsize=None)
+def needed(pattern: str) -> tuple[str, ...]:
+    """Plain texts of which every match of the pattern has at least one; none where that can't be told.
+
+    Each branch gives its longest stretch of letters and blanks outside of groups; a word with an ending that must be
+    one of a list, as in den(?:ied|ies|y), gives each of its forms."""
+    out = []
+    for branch in _branches(pattern):
+        branch = re.sub(r"\\.|\[[^]]*\]", "\x00", branch)
+        forms = re.search(r"([a-z]{3,})\(\?:([a-z]+(?:\|[a-z]+)*)\)(?![?*{])", branch)
+        if forms:
+            out += [forms[1] + ending for ending in forms[2].split("|")]
+            continue
+        while branch != (branch := re.sub(r"\([^()]*\)", "\x01", branch)):
+            pass
+        out.append(max(re.findall(r"[a-z ]+", re.sub(r"[a-z ][?*{]", "\x00", branch)), key=len, default=""))
+    return tuple(dict.fromkeys(out)) if min(map(len, out)) > 2 else ()
+
+
+def _first(pattern: str) -> set[str]:
+    """The letters that a match can start with; none where that can't be told."""
+    out = set()
+    for branch in _branches(pattern):
+        rest = re.sub(r"^(?:\\b)+", "", branch)
+        group = re.match(r"\(\?:((?:[^()]|\((?:[^()]|\([^()]*\))*\))*)\)(\?)?", rest)
+        if group:
+            found = [_first(group[1])] + ([_first(rest[group.end() :])] if group[2] else [])
+        else:
+            found = [{rest[0]}] if re.match(r"[a-z](?![?*{])", rest) else [set()]
+        if not all(found):
+            return set()
+        out |= set().union(*found)
+    return out
+
+
+@lru_cache(maxsize=None)
+def quick(pattern: str) -> str:
+    """The same pattern, with a look at the next letter before all else: word boundaries at every character are slow."""
+    letters = "".join(sorted(_first(pattern)))
+    return f"(?=[{letters}])(?:{pattern})" if letters else pattern
+
+
+def has(small: Column, pattern: str, plain: Callable[[str], Column] | None = None) -> Column:
+    """Whether lower-cased text has the pattern.  An expression is tried at every character, which is slow; texts that lack
+    all of its plain texts are told by these alone (plain: whether the text has one)."""
+    texts = [plain(x) if plain else F.contains(small, F.lit(x)) for x in needed(pattern)]
+    found = small.rlike(quick(pattern))
+    return _any(texts) & found if texts else found
+
+
+def _any(columns: list[Column]) -> Column:
+    out = columns[0]
+    for c in columns[1:]:
+        out = out | c
+    return out
+
+
 @dataclass(frozen=True)
 class Rules:
     """Patterns by outcome on lower-cased text, the order in which they are tried, and patterns that veto an outcome.
@@ -26,31 +98,36 @@ class Rules:
     conditional: str = "absent objection"
     xor: bool = False
 
-    def hit(self, small: Column, outcome: str) -> Column:
-        """Whether lower-cased text has the outcome's patterns."""
-        found = small.rlike(self.patterns[outcome])
+    def hit(self, test: Callable[[str], Column], outcome: str) -> Column:
+        """Whether text has the outcome's patterns; test tells whether it has one."""
+        found = test(self.patterns[outcome])
         if outcome in self.veto:
-            found = found & ~small.rlike(self.veto[outcome])
+            found = found & ~test(self.veto[outcome])
         if self.xor and outcome in ("granted", "denied"):
-            found = found & ~small.rlike(self.patterns["denied" if outcome == "granted" else "granted"])
+            found = found & ~test(self.patterns["denied" if outcome == "granted" else "granted"])
         return found
 
-    def outcome_of(self, small: Column) -> Column:
-        """The outcome of text that is lower-cased and not null."""
+    def tested(self, test: Callable[[str], Column]) -> Column:
+        """The outcome of text that has the patterns that test tells."""
         out = F.lit("other")
         for outcome in reversed(self.order):
-            out = F.when(self.hit(small, outcome), outcome.partition(":")[0]).otherwise(out)
+            out = F.when(self.hit(test, outcome), outcome.partition(":")[0]).otherwise(out)
         return out
 
+    def outcome_of(self, small: Column) -> Column:
+        """The outcome of text that is lower-cased and not null."""
+        return self.tested(lambda pattern: has(small, pattern))
+
     def outcome(self, text: Column) -> Column:
         return let(F.lower(blank(text)), self.outcome_of)
 
     def is_conditional(self, text: Column) -> Column:
-        return F.lower(F.coalesce(text, F.lit(""))).rlike(self.conditional)
+        return let(F.lower(F.coalesce(text, F.lit(""))), lambda small: has(small, self.conditional))
 
     def continued_to(self, text: Column) -> Column:
         text = F.coalesce(text, F.lit(""))
-        return dates.continued_to(text) if self.xor else F.when(self.hit(F.lower(text), "continued"), dates.continued_to(text))
+        continued = (lambda small: F.contains(small, F.lit("continued"))) if self.xor else lambda small: self.hit(lambda pattern: has(small, pattern), "continued")
+        return F.when(let(F.lower(text), continued), dates.continued_to(text))
 
     def sql_outcome(self, text: str) -> str:
         """The same in SQL for an engine with RE2 expressions; text: an SQL expression that isn't null."""
@@ -156,3 +233,16 @@ def classify_by_county(county: Column, text: Column) -> Column:
         return out
 
     return let(F.lower(blank(text)), by_county)
+
+
+def outcomes(rows: DataFrame, text: Column, rules: dict[str, Rules]) -> DataFrame:
+    """rows plus the outcome by each of the rules, under its name.  What many rules ask of a text is found once a row."""
+    patterns = list(dict.fromkeys(p for r in rules.values() for p in (*r.patterns.values(), *r.veto.values())))
+    texts = list(dict.fromkeys(x for p in patterns for x in needed(p)))
+    small = F.col("__small")
+    plain = {x: F.col(f"__text{i}") for i, x in enumerate(texts)}
+    found = {p: F.col(f"__found{i}") for i, p in enumerate(patterns)}
+    lowered = rows.select("*", F.lower(blank(text)).alias("__small"))
+    read = lowered.select("*", *(F.contains(small, F.lit(x)).alias(f"__text{i}") for i, x in enumerate(texts)))
+    tried = read.select(*rows.columns, *(has(small, p, plain.__getitem__).alias(f"__found{i}") for i, p in enumerate(patterns)))
+    return tried.select(*rows.columns, *(r.tested(found.__getitem__).alias(name) for name, r in rules.items()))

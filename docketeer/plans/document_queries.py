@@ -83,7 +83,7 @@ def _phrased(t: Tables) -> DataFrame:
 @query("SELECT doc_id, " + ", ".join(f"{r.sql_outcome('x')} AS {n}" for n, r in _ALL_RULES.items()) + f" FROM {_PHRASED_SQL}")
 def classify_precedence_variants(t: Tables) -> DataFrame:
     """Every document's outcome by the rules of every county."""
-    return _phrased(t).select("doc_id", *(r.outcome(F.col("x")).alias(name) for name, r in _ALL_RULES.items()))
+    return classify.outcomes(_phrased(t), F.col("x"), _ALL_RULES).drop("x")
 
 
 @query(f"""SELECT doc_id, regexp_matches(lower(x), '\\b(?:absent|unless|if)\\b.{{0,80}}\\bobjection') AS conditional,

@@ -1,6 +1,8 @@
 """Literal cases of the expressions."""
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,6 +113,40 @@ def test_conditional_and_continued(value):
     assert value(classify.rules_for("fresno").continued_to, "denied until 3/4/25") is None
 
 
+ALL_RULES = {"shared": classify.SHARED, **classify.COUNTY_RULES}
+
+
+def test_plain_texts_and_first_letters_change_nothing(spark):
+    """Every pattern over texts made of its own parts, against the pattern alone."""
+    rng = random.Random(3)
+    patterns = sorted({p for r in ALL_RULES.values() for p in (*r.patterns.values(), *r.veto.values(), r.conditional)})
+    texts = []
+    for pattern in patterns:
+        parts = re.findall(r"[a-z]+", re.sub(r"\\.", " ", pattern))
+        texts += ["".join(rng.choice(parts) + rng.choice(["", "", " ", " ", "\n", "  ", "-", ". ", "\u0301"]) for _ in range(rng.randrange(1, 7))) for _ in range(150)]
+    small = F.col("x")
+    differ = [F.count_if(classify.has(small, p) != small.rlike(p)).alias(f"d{i}") for i, p in enumerate(patterns)]
+    hits = [F.count_if(classify.has(small, p)).alias(f"h{i}") for i, p in enumerate(patterns)]
+    row = spark.createDataFrame([(x,) for x in texts], "x string").agg(*differ, *hits).first()
+    assert not any(row[: len(patterns)]) and sum(n > 0 for n in row[len(patterns) :]) > 0.8 * len(patterns)
+    assert all(classify.needed(p) for p in patterns)
+
+
+def test_each_pattern_is_tried_once_a_row(spark):
+    """However many counties share it: 63 patterns, not one for each county and outcome."""
+    from docketeer.plans import document_queries
+    from docketeer.plans.registry import Tables
+    from tests.conftest import DATA
+
+    patterns = {p for r in ALL_RULES.values() for p in (*r.patterns.values(), *r.veto.values())}
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    try:
+        plan = document_queries.classify_precedence_variants(Tables(spark, DATA))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert 0 < plan.count("RLIKE") <= len(patterns)
+
+
 def test_ids(value):
     import hashlib
 
