@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 from docketeer.sources.shared import written
 
 
+def digest(key: Column) -> Column:
+    """A digest of a key; null has its own."""
+    return F.sha2(F.concat(F.when(key.isNull(), "n").otherwise("v"), F.coalesce(key.cast("string"), F.lit(""))), 256)
+
+
 def first_source_wins(rows: DataFrame, key: Column, source_order: str) -> DataFrame:
     """Rows of each key's first source, all of them: repeats inside one source stay, later sources lose theirs.
 
     The first source of a key comes from an aggregation that combines before the shuffle, so that a key of many rows is
     one row there.  It is written before it is joined back: only where both sides are plain shuffles does Spark split a
-    key that holds many rows.  Digests are compared, and texts move once.
+    key that holds many rows.  Digests are compared, and texts move once.  The key is made twice: one that is costly
+    should be a column of a written table.
     """
-    keyed = rows.withColumn("__key", F.sha2(F.concat(F.when(key.isNull(), "n").otherwise("v"), F.coalesce(key.cast("string"), F.lit(""))), 256))
+    keyed = rows.withColumn("__key", digest(key))
     first = written(keyed.groupBy("__key").agg(F.min(source_order).alias("__first")), "first-sources")
     return keyed.join(first, "__key").where(F.col(source_order) == F.col("__first")).select(rows.columns)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docketeer.functions import classify, dates, ids
-from docketeer.functions.text import blank, clean_lines, collapse, first_filled, tidy_lines
+from docketeer.functions.text import blank, clean_lines, collapse, first_filled, let, tidy_lines
 from docketeer.operators import blocks
 from docketeer.sources.docx import docx_lines
 from docketeer.sources.html import html_to_text
@@ -133,10 +133,16 @@ def _parsed(docs: DataFrame, spec: ParserSpec) -> DataFrame:
 def declared(docs: DataFrame, spec: ParserSpec) -> DataFrame:
     """What the declaration alone finds in cleaned documents."""
     hints = [c for c in ("dept_hint", "division_hint") if c in docs.columns]
-    base = docs.select("source_sha256", "source_url", *hints, blocks.joined_pages(F.col("pages")).alias("j"), F.size("pages").alias("n_pages"))
     keep = ["source_sha256", "source_url", *hints, "n_pages", "starts", "hearing_date", "text"]
-    dated = base.select("source_sha256", "source_url", *hints, "n_pages", F.col("j.starts").alias("starts"), F.col("j.text").alias("text"), F.coalesce(*(dates.find_date(F.substring("j.text", 1, n) if n else F.col("j.text")) for n in spec.date_chars)).alias("hearing_date"))
-    found = blocks.split_at(dated.where("hearing_date is not null").withColumn("length", F.length("text")), spec.anchor, [c for c in keep if c != "text"] + ["length"])
+
+    def dated_text(j: Column) -> Column:
+        day = F.coalesce(*(dates.find_date(F.substring(j["text"], 1, n) if n else j["text"]) for n in spec.date_chars))
+        return F.struct(j["starts"].alias("starts"), j["text"].alias("text"), day.alias("hearing_date"))
+
+    # Documents without a date leave inside the row: a filter would be moved below, and join the pages and seek the date again.
+    one = F.filter(F.array(let(blocks.joined_pages(F.col("pages")), dated_text)), lambda x: x["hearing_date"].isNotNull())
+    dated = docs.select("source_sha256", "source_url", *hints, F.size("pages").alias("n_pages"), F.inline(one))
+    found = blocks.split_at(dated.withColumn("length", F.length("text")), spec.anchor, [c for c in keep if c != "text"] + ["length"])
 
     case = F.upper(F.regexp_extract("block", spec.number, 1))
     title = F.regexp_extract("block", spec.title.replace("CASE_NUMBER", spec.number[1:-1]), 1)

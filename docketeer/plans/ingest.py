@@ -41,8 +41,9 @@ def new_rulings(docs: DataFrame, captures: DataFrame, existing: DataFrame | None
     if "content" in named.columns:
         named = parsing.with_pages(named).drop("content")
     rows = parsing.extract_all(named) if county is None else parsing.extract(named, parsing.SPECS[county])
-    parsed = written(rows.withColumn("ingest_ts", F.current_timestamp()), "rulings")  # documents are parsed once, whatever reads them
-    rows = dedupe.first_source_wins(parsed, _key(), "source_sha256")
+    keyed = rows.withColumn("ingest_ts", F.current_timestamp()).withColumn("__logical", dedupe.digest(_key()))
+    parsed = written(keyed, "rulings")  # documents are parsed once, whatever reads them
+    rows = dedupe.first_source_wins(parsed, F.col("__logical"), "source_sha256").drop("__logical")
     return rows if existing is None or reparse else dedupe.new_rows(rows, existing, _key(), _key())
 
 

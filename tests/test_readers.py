@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from docketeer.functions import dates
 from docketeer.operators import parsing, readers
 from docketeer.plans import ruling_queries
 from docketeer.plans.registry import QUERIES, Tables
@@ -59,6 +60,24 @@ def test_labelled_page(spark):
         assert parsing.extract_all(source(spark, "santa_barbara", content=page.encode(), extension="html", url=url)).count() == 0
 
 
+def test_documents_are_read_once(spark):
+    """No step of a parser stands in its plan again, as it does below a filter on what it found."""
+
+    def plan(df):
+        spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+        try:
+            return df._jdf.queryExecution().optimizedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+    docs = spark.read.schema("source_sha256 string, source_url string, pages array<string>").parquet(f"{DATA}/pages.parquet")
+    assert plan(readers.labelled_page(docs, parsing.SPECS["santa_barbara"])).count("map_from_arrays") == 1
+    spec, page = parsing.SPECS["monterey"], F.element_at("pages", 1)
+    once = plan(docs.select(F.coalesce(*(dates.find_date(F.substring(page, 1, n) if n else page) for n in spec.date_chars)))).count("monday")
+    again = plan(docs.select(spec.rules.continued_to(page))).count("monday")  # a ruling's new date
+    assert plan(parsing.declared(docs, spec)).count("monday") == once + again > again
+
+
 def test_kinds_of_files_by_county(spark):
     rows = [("nevada", "docx"), ("nevada", "pdf"), ("nevada", "html"), ("monterey", "docx"), ("stanislaus", "html"), ("nowhere", "pdf"), (None, "pdf"), ("monterey", None), ("monterey", "PDF")]
     found = parsing.readable(spark.createDataFrame(rows, "county string, extension string")).collect()
